@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, neardup, packing, quality, secrets, suffixes
+from ledgerloom.llm import bpe, classlm, counts, mtree, neardup, packing, quality, secrets, suffixes, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -21,14 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op3_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.class_lm_scores(table(spark, sf_dir, "documents"), modulus=7, remainder=2)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -37,6 +49,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
