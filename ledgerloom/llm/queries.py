@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, classlm, counts, mtree, neardup, packing, quality, secrets, suffixes, toxicity
+from ledgerloom.llm import bpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, suffixes, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -67,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_minhash_dedup": oracles.NEAR_DUPLICATES, "op3_mtree_top_k": oracles.TOP_K, "op6_secret_scan": oracles.secret_scan()}
