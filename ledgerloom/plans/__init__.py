@@ -1,0 +1 @@
+"""Registered queries, test views and checkpoints."""

@@ -1,0 +1 @@
+"""File streams."""
