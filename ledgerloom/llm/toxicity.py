@@ -3,8 +3,8 @@
 Grades 0..3 share one weight for each sparse text feature (hashed words and word
 beginnings); ordered thresholds separate the grades, and the result is the expected
 grade. The labels say only toxic or not, so grades of toxic documents are made from
-the labelled sample: the tertiles of their share of marker words, those far more
-frequent in toxic documents. The model is fit on a bounded sample of labelled rows,
+the labelled sample: the tertiles of how much they hold of marker words, those far
+more frequent in toxic documents. Near copies in the sample count once. The model is fit on a bounded sample of labelled rows,
 the ``train_docs`` with the smallest id hashes, at most ``train_words`` words of each.
 
 Defined results: a null text is an empty one; repeated rows get the same values;
@@ -30,8 +30,8 @@ _STRIP = b".,;:!?\"'()[]{}*#$%&|<>-_"
 BEGINNINGS = (4, 5)
 
 
-def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, feature, log(1 + count)) triples sorted by document, and words of each document."""
+def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, feature, log(1 + count)) triples sorted by document."""
     words: list[bytes] = []
     size = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
@@ -40,7 +40,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         words += w
     if not words:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(float), size
+        return none, none, none.astype(float)
     codes, uniques = pd.factorize(hash_words(words))
     at = np.zeros(len(uniques), np.int64)
     at[codes[::-1]] = np.arange(len(codes))[::-1]
@@ -52,7 +52,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     doc = np.repeat(np.arange(len(texts)), size)
     pair = np.concatenate([(doc.astype(U64) << U64(BITS)) | k[codes] for k in kinds])
     pair, count = np.unique(pair, return_counts=True)
-    return (pair >> U64(BITS)).astype(np.int64), (pair & mask).astype(np.int64), np.log1p(count), size
+    return (pair >> U64(BITS)).astype(np.int64), (pair & mask).astype(np.int64), np.log1p(count)
 
 
 class CumulativeLink:
@@ -62,7 +62,7 @@ class CumulativeLink:
         self.weights, self.cuts = weights, cuts
 
     @classmethod
-    def fit(cls, doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, rounds: int = 200, decay: float = 1e-4, rate: float = 0.05) -> CumulativeLink:
+    def fit(cls, doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, rounds: int = 300, decay: float = 1e-4, rate: float = 0.05) -> CumulativeLink:
         used, col = np.unique(feature, return_inverse=True)
         n = len(grade)
         w = np.zeros(len(used))
@@ -100,18 +100,35 @@ class CumulativeLink:
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - z[:, None], -40, 40)))
 
 
-def grades(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, size: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """0 for documents that are not toxic; 1 to 3 by tertiles of the toxic ones' share of marker features."""
+def grades(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, n_docs: int, toxic: np.ndarray) -> np.ndarray:
+    """0 for documents that are not toxic; 1 to 3 by tertiles of the toxic ones' marker features, each as log(1 + count)."""
     n = 1 << BITS
     seen_t, seen_c = np.bincount(feature[toxic[doc]], minlength=n), np.bincount(feature[~toxic[doc]], minlength=n)
     marker = (seen_t >= 3) & (seen_t / max(1, toxic.sum()) > 20 * (seen_c + 0.5) / max(1, (~toxic).sum()))
-    share = np.bincount(doc, weights=np.expm1(value) * marker[feature], minlength=len(size)) / np.maximum(size, 1)
-    out = np.zeros(len(size), np.int64)
+    share = np.bincount(doc, weights=value * marker[feature], minlength=n_docs)
+    out = np.zeros(n_docs, np.int64)
     if toxic.any():
         out[toxic] = 1 + np.searchsorted(np.quantile(share[toxic], [1 / 3, 2 / 3]), share[toxic], side="right")
     return out
 
 
+def originals(doc: np.ndarray, feature: np.ndarray, n: int, bands: int = 4, rows: int = 4) -> np.ndarray:
+    """Whether a sampled document is the first of its near copies, by banded minima of its features.
+
+    Copies of one toxic document would otherwise make all its words look toxic."""
+    there, at = np.unique(doc, return_index=True)
+    out = np.ones(n, bool)
+    if not len(at):
+        return out
+    low = np.stack([np.minimum.reduceat(mix(feature.astype(U64) + U64((i + 1) << 32)), at) for i in range(bands * rows)], 1)
+    seen: set[tuple] = set()
+    for d, m in zip(there.tolist(), low.tolist(), strict=True):
+        keys = [(b, *m[b * rows : (b + 1) * rows]) for b in range(bands)]
+        out[d] = not any(k in seen for k in keys)
+        seen.update(keys)
+    return out
+
+
 def telling(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: float = 8.0) -> np.ndarray:
     """Features in three documents or more that go with toxicity: twice the rate, and a chi-square of ``least`` or more."""
     size = 1 << BITS
@@ -130,12 +147,12 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int, train_words: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                doc, feature, value, size = features([b" ".join(t.split()[:train_words]) for t in texts_of(b.column("text"))])
+                doc, feature, value = features([b" ".join(t.split()[:train_words]) for t in texts_of(b.column("text"))])
                 cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
                 data = [feature[x:y].astype("<u4").tobytes() + value[x:y].astype("<f4").tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column("toxic").cast(pa.int64()), pa.array(size), pa.array(data, pa.binary())], ["toxic", "size", "data"])
+                yield pa.RecordBatch.from_arrays([b.column("toxic").cast(pa.int64()), pa.array(data, pa.binary())], ["toxic", "data"])
 
-    got = rows.mapInArrow(run, "toxic long, size long, data binary").collect()
+    got = rows.mapInArrow(run, "toxic long, data binary").collect()
     toxic = np.array([r.toxic > 0 for r in got], bool)
     if not toxic.any() or toxic.all():
         return None
@@ -143,12 +160,21 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int, train_words: int)
     doc = np.repeat(np.arange(len(got)), n)
     feature = np.concatenate([np.frombuffer(r.data, "<u4", k) for r, k in zip(got, n, strict=True)]).astype(np.int64)
     value = np.concatenate([np.frombuffer(r.data, "<f4", k, 4 * k) for r, k in zip(got, n, strict=True)]).astype(float)
-    grade = grades(doc, feature, value, np.array([r.size for r in got]), toxic)
+    return fit(doc, feature, value, toxic)
+
+
+def fit(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, toxic: np.ndarray) -> CumulativeLink | None:
+    first = originals(doc, feature, len(toxic))
+    here = first[doc]
+    number = np.cumsum(first) - 1
+    doc, feature, value, toxic = number[doc[here]], feature[here], value[here], toxic[first]
+    if not toxic.any() or toxic.all():
+        return None
     told = telling(doc, feature, toxic)[feature]
-    return CumulativeLink.fit(doc[told], feature[told], value[told], grade)
+    return CumulativeLink.fit(doc[told], feature[told], value[told], grades(doc, feature, value, len(toxic), toxic))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 6000, train_words: int = 2000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 8000, train_words: int = 2000) -> DataFrame:
     """doc_id, severity (expected grade), p_toxic, grade (the likeliest), toxic; one row for each row of ``docs``."""
     model = train(docs, labels, train_docs, train_words)
     sc = docs.sparkSession.sparkContext
@@ -162,7 +188,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 6000, train_w
                 n = b.num_rows
                 above = np.zeros((n, GRADES - 1))
                 if known is not None:
-                    doc, feature, value, _ = features(texts_of(b.column("text")))
+                    doc, feature, value = features(texts_of(b.column("text")))
                     above = known.above(np.bincount(doc, weights=known.weights[feature] * value, minlength=n))
                 p = -np.diff(np.hstack((np.ones((n, 1)), above, np.zeros((n, 1)))), axis=1)
                 yield pa.RecordBatch.from_arrays(
