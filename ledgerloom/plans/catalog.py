@@ -15,6 +15,7 @@ from ledgerloom.operators import graphs as R
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import tables as A
 from ledgerloom.operators import windows as W
+from ledgerloom.plans.stable import shared_path
 from ledgerloom.plans.views import Source, with_views
 from ledgerloom.sources import files as I
 
@@ -115,12 +116,14 @@ def write_dimensions(v):
     return I.dimensions(v["asset_catalog"])
 
 
-@query()
+@query(
+    "WITH d AS (SELECT coalesce(b.id, k.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN k.id IS NULL THEN 'removed' END AS change FROM v_rows_base b FULL JOIN v_rows_cand k ON b.id = k.id WHERE b.id IS NULL OR k.id IS NULL) "
+    "SELECT count(*) AS rows, CAST(sum(strlen(concat('{\"id\":', id, ',\"change\":\"', change, '\"}')) + 1) AS BIGINT) AS bytes FROM d"
+)
 def write_ordered_detail(v):
-    """The change rows' lines in their order, with a digest of each range of them."""
-    rows = D.diff_rows(v["rows_base"], v["rows_cand"], ["id"])
-    line = F.to_json(F.struct("id", "change"))
-    return A.tree_digest(rows.withColumn("path", c("id").cast("string")), "path", line)
+    """Writes the rows that one side alone has to a new shared folder, and reads them back."""
+    rows = D.diff_rows(v["rows_base"].select("id"), v["rows_cand"].select("id"), ["id"])
+    return I.write_ordered_detail(rows, S.order_numeric_first(c("id").cast("string")), f"{shared_path(v.spark)}/detail")
 
 
 # --- projections and predicates --------------------------------------------------------------------------------------

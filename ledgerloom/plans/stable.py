@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the cluster's shared folder; in a folder of this run only where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's shared folder; a folder of this run only where none is set."""
+    """A reliable checkpoint in the shared folder."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(shared_path(spark))
     return df.checkpoint()
