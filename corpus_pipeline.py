@@ -15,8 +15,7 @@ from ledgerloom.llm.queries import table, tokenizer_path
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the line labels reject go."""
-    kept = quality.quality_rules(docs, table(spark, sf_dir, "labels")).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

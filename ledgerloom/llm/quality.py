@@ -216,12 +216,9 @@ def train(docs: DataFrame, labels: DataFrame | None, train_docs: int = 1500, max
     """Fit on the ``train_docs`` labelled documents with the smallest id hashes, ``max_lines`` lines of each."""
     if labels is None:
         return LineCRF.fit([])
-    rows = (
-        docs.select("doc_id", "text")
-        .join(labels.filter("quality IS NOT NULL").select("doc_id", "quality"), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
-        .limit(train_docs)
-    )
+    # The sample is drawn from the labels alone; its size bounds what is broadcast.
+    sample = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(train_docs)
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -235,22 +232,44 @@ def train(docs: DataFrame, labels: DataFrame | None, train_docs: int = 1500, max
     return LineCRF.fit(chains)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame | None, train_docs: int = 1500, content_share: float = 0.5) -> DataFrame:
-    """doc_id, base figures, content_words, base_failed, kept; one row for each row of ``docs``."""
+def _judgement(docs: DataFrame, labels: DataFrame | None, train_docs: int, content_share: float):
+    """A function from the rows' texts to their figures and verdicts."""
     crf = train(docs, labels, train_docs)
     weights, moves = crf.weights, crf.moves
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words"]
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = LineCRF(weights, moves)
+    def judge(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        x, doc, words, ids = measure(texts_of(b.column("text")))
+        label = LineCRF(weights, moves).decode(ids, doc)
+        x["content_words"] = np.bincount(doc, weights=words * label, minlength=b.num_rows).astype(np.int64)
+        x["base_failed"] = (x["n_words"] < 20) | (100 * x["n_repeat_words"] > 30 * x["n_words"])
+        x["kept"] = ~x["base_failed"] & (x["content_words"] >= content_share * x["n_words"])
+        return x
+
+    return judge
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame | None, train_docs: int = 1500, content_share: float = 0.5) -> DataFrame:
+    """doc_id, base figures, content_words, base_failed, kept; one row for each row of ``docs``."""
+    judge = _judgement(docs, labels, train_docs, content_share)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words", "base_failed", "kept"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                x, doc, words, ids = measure(texts_of(b.column("text")))
-                label = model.decode(ids, doc)
-                x["content_words"] = np.bincount(doc, weights=words * label, minlength=b.num_rows).astype(np.int64)
-                failed = (x["n_words"] < 20) | (100 * x["n_repeat_words"] > 30 * x["n_words"])
-                kept = ~failed & (x["content_words"] >= content_share * x["n_words"])
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(x[k]) for k in names], pa.array(failed), pa.array(kept)], ["doc_id", *names, "base_failed", "kept"])
-
-    schema = "doc_id long, " + ", ".join(f"{k} long" for k in names) + ", base_failed boolean, kept boolean"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(judge, schema)
+                x = judge(b)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(x[k]) for k in names]], ["doc_id", *names])
+
+    schema = "doc_id long, " + ", ".join(f"{k} long" for k in names[:6]) + ", base_failed boolean, kept boolean"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame | None, train_docs: int = 1500, content_share: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    judge = _judgement(docs, labels, train_docs, content_share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text"):
+                yield b.filter(pa.array(judge(b)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
