@@ -35,7 +35,7 @@ from ledgerloom.llm.words import U64, mix, starts_of, texts_of
 ANCHOR = 24
 END = 255
 _LUT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
-_CHUNK = 1 << 22
+_CHUNK = 1 << 16
 
 
 def anchor_hashes(buf: np.ndarray) -> np.ndarray:
@@ -80,7 +80,8 @@ def runs_of(buf: np.ndarray, first: np.ndarray, span: int) -> tuple[np.ndarray,
     new[1:] = (arg[1:] != arg[:-1]) | (doc[1:] != doc[:-1]) | ~good[:-1]
     at = np.flatnonzero(good & new)
     ends = np.flatnonzero(good & np.concatenate((new[1:] | ~good[1:], [True])))
-    return doc[at], at, ends - at + 1, h[at]
+    # The least of many hashes is small; mixed once more it deals anchors evenly.
+    return doc[at], at, ends - at + 1, mix(h[at])
 
 
 def part_of(h: np.ndarray, parts: int) -> np.ndarray:
@@ -136,63 +137,81 @@ class Block:
         return use, [list(x) for x in known], docs, part, which
 
 
+def _symbol_places(symbols: np.ndarray, at: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where places ``at``, rising, that hold ``symbols`` stand in ``order``, which lists places by symbol and then place."""
+    group = np.argsort(symbols, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(symbols[group], prepend=-1)), len(group))
+    out = np.empty(len(at), np.int64)
+    for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        mine = group[x:y]
+        lo, hi = first[symbols[mine[0]]], first[symbols[mine[0]] + 1]
+        out[mine] = lo + np.searchsorted(order[lo:hi], at[mine]) + x + np.arange(y - x)
+    return out
+
+
 def transform(frags: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of distinct fragments: each ``span``-byte string's fragment, start in it, and group of equal strings."""
     m = len(frags)
+    none = np.zeros(0, np.int64)
+    if not m:
+        return none, none, none
     size = np.fromiter(map(len, frags), np.int64, m)
     data = np.frombuffer(b"".join(frags), np.uint8)
     end = np.cumsum(size)
     # Round 0: the empty suffixes, in order of the fragments, each preceded by its fragment's last symbol.
     bwt = data[end - 1].copy()
     lcp = np.zeros(m + 1, np.uint8)
-    place = np.arange(m)
-    live = np.arange(m)
-    for j in range(int(size.max(initial=0))):
+    at, live = np.arange(m), np.arange(m)
+    # The places by symbol: entry k is the place whose suffix, with its symbol in front, is suffix m + k.
+    order = np.argsort(bwt, kind="stable").astype(np.int32)
+    k = np.empty(m, np.int64)
+    k[order] = np.arange(m)
+    first = np.append(0, np.cumsum(np.bincount(bwt, minlength=256)))
+    for j in range(int(size.max())):
         n = len(bwt)
-        order = np.argsort(bwt, kind="stable")
-        fresh = np.zeros(n, bool)
-        fresh[place] = True
-        who = np.zeros(n, np.int32)
-        who[place] = live
-        ks = np.flatnonzero(fresh[order[: n - np.count_nonzero(bwt == END)]])
-        spot = np.zeros(n, np.int64)
-        spot[order[ks]] = ks
-        at = np.flatnonzero(fresh)
-        k = spot[at]
+        c = bwt[at]
         # The neighbours in the pile are the places before and after that hold the same symbol; the common prefix grows by it.
-        before = order[np.maximum(k - 1, 0)]
-        same = (k > 0) & (bwt[before] == bwt[at])
+        same = k > first[c]
         cut = np.empty(2 * len(at), np.int64)
-        cut[0::2], cut[1::2] = np.where(same, before + 1, at), at + 1
+        cut[0::2], cut[1::2] = np.where(same, order[np.maximum(k - 1, 0)] + 1, at), at + 1
         down = np.where(same, np.minimum(np.minimum.reduceat(lcp, cut)[0::2], span - 1) + 1, 0)
-        after = order[np.minimum(k + 1, n - 1)]
-        same_up = (k + 1 < n) & (bwt[after] == bwt[at]) & (after != at)
-        a2, s2 = at[same_up], after[same_up]
-        cut = np.empty(2 * len(a2), np.int64)
-        cut[0::2], cut[1::2] = a2 + 1, s2 + 1
-        up = np.minimum(np.minimum.reduceat(lcp, cut)[0::2], span - 1) + 1 if len(a2) else a2
+        up_at = np.flatnonzero(k + 1 < first[c.astype(np.int64) + 1])
+        if len(up_at):
+            cut = np.empty(2 * len(up_at), np.int64)
+            cut[0::2], cut[1::2] = at[up_at] + 1, order[k[up_at] + 1] + 1
+            up = np.minimum(np.minimum.reduceat(lcp, cut)[0::2], span - 1) + 1
         # The sequential pass: old entries keep their order, new ones stand at their places between them.
-        old = np.ones(n + len(ks), bool)
-        old[m + ks] = False
-        f = who[order[ks]]
-        left = size[f] - j - 2
-        new_bwt = np.empty(n + len(ks), np.uint8)
+        new = m + k
+        old = np.ones(n + len(k), bool)
+        old[new] = False
+        left = size[live] - j - 2
+        symbol = np.where(left >= 0, data[np.maximum(end[live] - j - 2, 0)], END).astype(np.uint8)
+        new_bwt = np.empty(n + len(k), np.uint8)
         new_bwt[old] = bwt
-        new_bwt[m + ks] = np.where(left >= 0, data[np.maximum(end[f] - j - 2, 0)], END)
-        new_lcp = np.zeros(n + len(ks) + 1, np.uint8)
+        new_bwt[new] = symbol
+        new_lcp = np.zeros(n + len(k) + 1, np.uint8)
         new_lcp[:-1][old] = lcp[:-1]
-        new_lcp[m + k] = down
-        new_lcp[m + k[same_up] + 1] = up
-        going = left >= 0
-        bwt, lcp, place, live = new_bwt, new_lcp, (m + ks)[going], f[going]
-    n = len(bwt)
-    order = np.argsort(bwt, kind="stable")[: n - np.count_nonzero(bwt == END)]
-    follow = np.zeros(n, np.int64)
-    follow[order] = m + np.arange(len(order))
-    group = np.cumsum(lcp[:-1] < span)
+        new_lcp[new] = down
+        if len(up_at):
+            new_lcp[new[up_at] + 1] = up
+        order = np.flatnonzero(old).astype(np.int32)[order]
+        going = np.flatnonzero(left >= 0)
+        going = going[np.argsort(k[going])]
+        at, live, c = new[going], live[going], symbol[going]
+        k = _symbol_places(c, at, order, first)
+        old = np.ones(len(order) + len(k), bool)
+        old[k] = False
+        new_order = np.empty(len(old), np.int32)
+        new_order[old] = order
+        new_order[k] = at
+        bwt, lcp, order = new_bwt, new_lcp, new_order
+        first = first + np.append(0, np.cumsum(np.bincount(c, minlength=256)))
+    follow = np.zeros(len(bwt), np.int32)
+    follow[order] = m + np.arange(len(order), dtype=np.int32)
+    group = np.cumsum(lcp[:-1] < span, dtype=np.int32)
     at, live = np.arange(m), np.arange(m)
     out_f, out_s, out_g = [], [], []
-    for j in range(1, int(size.max(initial=0)) + 1):
+    for j in range(1, int(size.max()) + 1):
         still = size[live] >= j
         at, live = follow[at[still]], live[still]
         if j >= span:
@@ -200,7 +219,6 @@ def transform(frags: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np
             out_s.append(size[live] - j)
             out_g.append(group[at])
     if not out_f:
-        none = np.zeros(0, np.int64)
         return none, none, none
     return np.concatenate(out_f), np.concatenate(out_s), np.concatenate(out_g)
 
@@ -264,19 +282,16 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
     blocks, part = table.column("block").to_pylist(), table.column("part")[0].as_py()
     got = [_anchor_counts(x) for x in table.column("data").to_pylist()]
     key, many = np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got])
-    source = np.repeat(np.arange(len(got)), [len(x) for x, _ in got])
     order = np.argsort(key, kind="stable")
     s = key[order]
     same = s[1:] == s[:-1]
     hit = many[order].copy()
     hit[1:] |= same
     hit[:-1] |= same
-    # A key with a bit in one block is shared wherever else it stands, which the neighbours above have seen.
     flag = np.zeros(len(key), bool)
     flag[order] = hit
     rows = []
     at = starts_of(np.fromiter((len(x) for x, _ in got), np.int64, len(got)))
-    del source
     for b, (x, y) in zip(blocks, zip(at[:-1], at[1:], strict=True), strict=True):
         if flag[x:y].any():
             rows.append((b, 0, part, _pack40(key[x:y][flag[x:y]])))
@@ -399,7 +414,7 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
     return run
 
 
-def without_repeats(docs: DataFrame, span: int, finish: Callable, schema: T.StructType, part_bytes: int = 4 << 20) -> DataFrame:
+def without_repeats(docs: DataFrame, span: int, finish: Callable, schema: T.StructType, part_bytes: int = 2 << 20) -> DataFrame:
     """Rows of ``docs`` after ``finish(rows, marks, texts)``; a mark has True for each byte that a smaller document repeats."""
     if not ANCHOR < span <= 128:
         raise ValueError("span must be over the anchor's length and 128 at most")
