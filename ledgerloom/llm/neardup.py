@@ -5,13 +5,14 @@ of the whole set; classes then carry many universal hash minima. Bands of minima
 give buckets; each bucket links its members to its smallest one, a byte of each
 minimum verifies a pair, whole sets confirm it, and components are found by
 alternating large-star and small-star. Members of a bucket that are still in
-different components after that are compared with each other, in blocks, so no
-link inside a bucket is lost and no group's pairs are ever all written out.
+different components after that are compared with each other, in blocks, to which
+their sets are brought; a pair is judged in the first bucket that it shares. So no
+link inside a bucket is lost, and no group's pairs are ever written out.
 
 Defined results: a null or wordless text has an empty set and is linked with
 nothing; a null ``doc_id`` is kept and linked with nothing; rows that share a
-``doc_id`` count as one document; an empty table gives an empty result; further
-columns are ignored.
+``doc_id`` are judged each by its own text; an empty table gives an empty result;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from ledgerloom.llm.store import save
 from ledgerloom.llm.words import U64, hash_words, mix, slices, starts_of, texts_of
 
 BANDS, ROWS = 32, 5
-#: Of BANDS * ROWS minima, so many at least agree in their lowest byte; pairs at 0.8 fall below with chance 1e-9.
-AGREE = 96
-BLOCK = 256
+#: Of BANDS * ROWS minima, so many at least agree in their lowest byte; pairs at 0.8 fall below with chance 1e-6.
+AGREE = 104
+BLOCK = 1024
 BROADCAST_ROWS = 1_000_000
 
 
@@ -109,8 +110,8 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, bands array<long>, low array<tinyint>")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(node, items) for the documents in ``ids``; ids are broadcast only if they are few."""
+def sets_of(docs: DataFrame, ids: DataFrame, few: bool, k: int) -> DataFrame:
+    """(node, items) for the documents in ``ids``, which are broadcast only if they are few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -118,92 +119,150 @@ def sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(texts_of(b.column("text")), k)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "items"])
 
-    few = ids.count() <= BROADCAST_ROWS
     ids = ids.withColumnRenamed("node", "doc_id")
     found = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    return found.mapInArrow(run, "node long, items array<long>").dropDuplicates(["node"])
+    return found.mapInArrow(run, "node long, items array<long>")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose whole sets reach the similarity."""
+    """Pairs (u, v), of a written table, whose whole sets reach the similarity."""
     ids = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = save(sets_of(docs, ids, k), "sets")
+    sets = save(sets_of(docs, ids, 2 * pairs.count() <= BROADCAST_ROWS, k), "sets")
     both = pairs.select("u", "v").join(sets.select(F.col("node").alias("v"), F.col("items").alias("vs")), "v")
     both = both.join(sets.select(F.col("node").alias("u"), F.col("items").alias("us")), "u")
     same = F.size(F.array_intersect("us", "vs"))
     return both.filter(100 * same >= percent * (F.size("us") + F.size("vs") - same)).select("u", "v")
 
 
+def _are_stars(e: DataFrame) -> bool:
+    """Whether each node with a smaller neighbour has one only, which has none itself."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+    return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up > 0 AND down > 0)").limit(1).count()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root) of every node with an edge, by alternating large-star and small-star until nothing changes."""
+    """(node, root) of every node with an edge but the roots, by alternating large-star and small-star until all are stars."""
     e = save(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
     for _ in range(rounds):
+        if _are_stars(e):
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.filter("v > u").join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        e = save(small, "edges")
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-
-
-def _alike(low: list, other: list) -> np.ndarray:
-    return (np.asarray(low, np.int8)[:, None, :] == np.asarray(other, np.int8)[None, :, :]).sum(2)
-
-
-def _block_pairs(percent: int):
-    """Pairs of different components inside sorted runs of (key, i, j); side 0 meets side 1."""
-
-    def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        left = [r for r in rows if r[3] == r[1]]
-        right = left if rows[0][1] == rows[0][2] else [r for r in rows if r[3] == r[2]]
-        if not left or not right:
-            return
-        ln, rn = np.array([r[5] for r in left]), np.array([r[5] for r in right])
-        lr, rr = np.array([r[6] for r in left]), np.array([r[6] for r in right])
-        ok = (lr[:, None] != rr[None, :]) & (100 * np.minimum(ln[:, None], rn[None, :]) >= percent * np.maximum(ln[:, None], rn[None, :]))
-        if left is right:
-            ok &= np.triu(np.ones(ok.shape, bool), 1)
-        if ok.any():
-            rv = np.stack([r[7] for r in right])
-            for i in np.flatnonzero(ok.any(1)):
-                js = np.flatnonzero(ok[i])
-                for j in js[(rv[js] == left[i][7]).sum(1) >= AGREE]:
-                    a, b = left[i][4], right[j][4]
-                    yield max(a, b), min(a, b)
+        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+        e = save(small.distinct(), "edges")
+    raise RuntimeError("components did not settle")
+
+
+def _in_blocks(rest: DataFrame) -> DataFrame:
+    """Slots cut a bucket of m members into blocks; each pair of blocks is a unit of work of its own."""
+    rest = rest.withColumn("slots", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    rest = rest.select("key", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "node", "n", "root", "bands", "low")
+    return _together(rest)
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+_MEMBER = "key long, i int, j int, slot int, node long, n long, root long, bands array<long>, low array<tinyint>"
+_NAMES = [x.split()[0] for x in _MEMBER.split(", ")]
+
+
+def _matrix(b: pa.RecordBatch, name: str) -> np.ndarray:
+    return b.column(name).flatten().to_numpy().reshape(b.num_rows, -1)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], items: bool) -> Iterator[list[tuple]]:
+    """Runs of rows with one (key, i, j); at most two blocks each."""
+    held: list[tuple] = []
+    for b in batches:
+        cols = [b.column(c).to_pylist() for c in _NAMES[:-2]]
+        extra = [_matrix(b, "bands"), _matrix(b, "low")]
+        if items:
+            at = np.concatenate(([0], np.cumsum(b.column("items").value_lengths().to_numpy(zero_copy_only=False))))
+            flat = b.column("items").flatten().to_numpy()
+            extra.append([flat[x:y] for x, y in zip(at[:-1], at[1:], strict=True)])
+        for row in zip(*cols, *extra, strict=True):
+            if held and row[:3] != held[0][:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _candidates(rows: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a group that this group has to judge, best first: in different components, near enough by size and bytes, and
+    with this bucket as the first that they share. Members of slot i meet those of slot j."""
+    key, i, j = rows[0][:3]
+    slot, n, root = (np.array([r[c] for r in rows]) for c in (3, 5, 6))
+    bands, low = np.stack([r[7] for r in rows]), np.stack([r[8] for r in rows])
+    side = np.flatnonzero(slot == j)
+    us, vs, scores = [], [], []
+    for x in np.flatnonzero(slot == i):
+        ys = side[(root[side] != root[x]) & (100 * np.minimum(n[side], n[x]) >= percent * np.maximum(n[side], n[x]))]
+        if i == j:
+            ys = ys[ys > x]
+        if len(ys):
+            same = (low[ys] == low[x]).sum(1)
+            ys, same = ys[same >= AGREE], same[same >= AGREE]
+        if len(ys):
+            mine = bands[x][(bands[ys] == bands[x]).argmax(1)] == key
+            us.append(np.full(mine.sum(), x))
+            vs.append(ys[mine])
+            scores.append(same[mine])
+    if not us:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    u, v, score = np.concatenate(us), np.concatenate(vs), np.concatenate(scores)
+    order = np.argsort(-score, kind="stable")
+    return u[order], v[order], score[order]
+
+
+def _with_candidates(percent: int):
+    """The rows of groups that have candidate pairs, without the members that are in none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, False):
+            if len(rows) > 1:
+                u, v, _ = _candidates(rows, percent)
+                if len(u):
+                    cols = list(zip(*[rows[x] for x in np.union1d(u, v)], strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(c, t) for c, t in zip(cols[:7], [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], strict=True)], pa.array(cols[7], pa.list_(pa.int64())), pa.array(cols[8], pa.list_(pa.int8()))],
+                        _NAMES,
+                    )
+
+    return run
+
+
+def _links_in_groups(percent: int):
+    """Links confirmed on whole sets; a pair that earlier links of the group already join needs no look."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        us: list[int] = []
-        vs: list[int] = []
-
-        def flush() -> None:
-            for u, v in pairs(held) if len(held) > 1 else ():
-                us.append(u)
-                vs.append(v)
-            held.clear()
-
-        for b in batches:
-            low = b.column("low").flatten().to_numpy().reshape(b.num_rows, BANDS * ROWS)
-            cols = [b.column(c).to_pylist() for c in ("key", "i", "j", "slot", "node", "n", "root")]
-            for row in zip(*cols, low, strict=True):
-                if held and row[:3] != held[0][:3]:
-                    flush()
-                held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
-            us.clear()
-            vs.clear()
-        if held:
-            flush()
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+        for rows in _groups(batches, True):
+            us, vs, above = [], [], {}
+
+            def top(x: int) -> int:
+                while above.get(x, x) != x:
+                    x = above[x]
+                return x
+
+            for x, y in zip(*(z.tolist() for z in _candidates(rows, percent)[:2]), strict=True):
+                a, b = top(rows[x][6]), top(rows[y][6])
+                if a == b:
+                    continue
+                p, q = rows[x][9], rows[y][9]
+                same = len(np.intersect1d(p, q, assume_unique=True))
+                if 100 * same >= percent * (len(p) + len(q) - same):
+                    above[max(a, b)] = min(a, b)
+                    us.append(rows[x][4])
+                    vs.append(rows[y][4])
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
     return run
 
@@ -229,20 +288,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     links = save(confirm(star, docs, shingle_words, percent), "links")
     roots = components(links)
 
+    # What buckets hold in different components still is judged in blocks.
     rooted = rows.select("key", "m", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b AND a IS NOT NULL").select("key")
-    rest = rooted.join(mixed, "key", "left_semi").join(low, "node")
-    # Slots cut a bucket of m members into blocks; each pair of blocks is a unit of work of its own.
-    rest = rest.withColumn("slots", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-    rest = rest.select("key", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "node", "n", "root", "low")
-    found = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_block_pairs(percent), "u long, v long").distinct()
-    found = save(found.join(star, ["u", "v"], "left_anti"), "more_pairs")
-    if found.limit(1).count():
-        more = confirm(found, docs, shingle_words, percent)
-        roots = components(links.union(more))
-    member = full.select("doc_id", "digest").join(classes.select("digest", "node"), "digest").groupBy("doc_id").agg(F.min("node").alias("node"))
-    member = member.join(roots, "node", "left").select("doc_id", F.least(F.coalesce("root", "node"), "node").alias("component_id"))
-    out = sig.select("doc_id", F.col("n").alias("n_shingles")).join(member, "doc_id", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
+    rest = rooted.join(mixed, "key", "left_semi").join(classes.select("node", "bands", "low"), "node")
+    rest = save(_in_blocks(rest).mapInArrow(_with_candidates(percent), _MEMBER), "members")
+    ids = rest.select("node").distinct()
+    sets = sets_of(docs, ids, rest.count() <= BROADCAST_ROWS, shingle_words)
+    more = _together(rest.join(sets, "node").select(*_NAMES, "items")).mapInArrow(_links_in_groups(percent), "u long, v long")
+    more = save(more, "more_links")
+    if more.limit(1).count():
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+    placed = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
+    out = sig.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
+    # Rows without a set join nothing; they are kept apart so that they do not meet in one task.
+    full = out.filter("digest IS NOT NULL").join(placed, "digest").select("doc_id", "n_shingles", "component_id")
+    out = full.unionByName(out.filter("digest IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))

@@ -97,20 +97,24 @@ def test_near_duplicates(docs, k):
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(6, 30)] + [(70, 71), (71, 70)]
     got = {r["node"]: r["root"] for r in neardup.components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {**{i: 100 for i in range(101, 141)}, **{i: 5 for i in range(6, 30)}, 71: 70}
+    assert got == {**dict.fromkeys(range(101, 141), 100), **dict.fromkeys(range(6, 30), 5), 71: 70}
 
 
 def test_members_of_one_bucket_in_other_components_meet():
-    """Blocks compare what the bucket's smallest member did not link."""
+    """Blocks judge what the bucket's smallest member did not link, in the first bucket that a pair shares, once connected no more."""
     import pyarrow as pa
 
-    n = neardup.BANDS * neardup.ROWS
-    rows = [(7, 0, 0, 0, 10, 50, 10), (7, 0, 0, 0, 11, 50, 11), (7, 0, 0, 0, 12, 49, 12), (8, 0, 1, 0, 20, 9, 20), (8, 0, 1, 1, 21, 9, 21)]
-    low = [[1] * n, [2] * n, [2] * n, [3] * n, [3] * n]
-    cols = list(zip(*rows, strict=True))
-    batch = pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.array(low, pa.list_(pa.int8()))], ["key", "i", "j", "slot", "node", "n", "root", "low"])
-    out = [(u, v) for b in neardup._block_pairs(80)([batch]) for u, v in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-    assert out == [(12, 11), (21, 20)]
+    n, sets = neardup.BANDS * neardup.ROWS, {10: range(50), 11: range(100, 150), 12: range(102, 151), 13: range(103, 150), 20: range(9), 21: range(9)}
+    rows = [(7, 0, 0, 0, d, len(sets[d]), d) for d in (10, 11, 12, 13)] + [(8, 0, 1, 0, 20, 9, 20), (8, 0, 1, 1, 21, 9, 21), (9, 0, 0, 0, 11, 50, 11), (9, 0, 0, 0, 12, 49, 12)]
+    bands = [[8 if d in (20, 21) else 7, 9 if d in (11, 12) else d] + [1000 * d + k for k in range(neardup.BANDS - 2)] for _, _, _, _, d, _, _ in rows]
+    low = [[1 if d == 10 else 2] * n for _, _, _, _, d, _, _ in rows]
+    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], strict=True)]
+    batch = pa.RecordBatch.from_arrays([*cols, pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.list_(pa.int8()))], neardup._NAMES)
+    kept = list(neardup._with_candidates(80)([batch]))
+    assert [b.column("node").to_pylist() for b in kept] == [[11, 12, 13], [20, 21]]
+    full = [pa.RecordBatch.from_arrays([*b.columns, pa.array([list(sets[d]) for d in b.column("node").to_pylist()], pa.list_(pa.int64()))], [*neardup._NAMES, "items"]) for b in kept]
+    out = [(u, v) for b in neardup._links_in_groups(80)(iter(full)) for u, v in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert out == [(11, 12), (11, 13), (20, 21)]
 
 
 @pytest.mark.parametrize("span", [50, 25])
