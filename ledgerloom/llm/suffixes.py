@@ -371,8 +371,9 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
         b = Block(rows_of(blocks), span)
         mask = np.zeros(len(b.raw) + 1, np.int32)
         told = {p: d for k, p, d in zip(*(answers.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == 1}
-        if told:
-            use, frags, docs, part, which = b.fragments(_flagged(answers), parts, span)
+        flagged = _flagged(answers)
+        if len(flagged):  # what no partition answered is still judged within the block
+            use, frags, docs, part, which = b.fragments(flagged, parts, span)
             owner = b.ids[b.doc[use]]
             for p, frag in enumerate(frags):
                 if not frag:

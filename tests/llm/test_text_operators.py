@@ -151,6 +151,13 @@ def test_transform_groups_equal_strings():
         assert len(f) == sum(len(x) - span + 1 for x in frags)
 
 
+def test_a_repeat_that_no_partition_answers(spark):
+    same = "A passage of more than fifty bytes that two documents of one block share."
+    rows = spark.createDataFrame([(1, same), (2, same)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffixes.repeat_digests(rows, 50).collect()}
+    assert got == {1: (0, 0), 2: (len(same), 1)}
+
+
 def test_cut_texts_keep_whole_characters(spark):
     same = "é" * 40
     rows = [(1, f"a{same}b", "k"), (2, f"c{same}d", "k"), (3, None, "k")]
