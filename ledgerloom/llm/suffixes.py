@@ -8,9 +8,12 @@ ones, go through the construction: each round puts one further symbol in front o
 every fragment, finds the new suffixes' places from the transform so far, and
 carries the transform and the common prefixes forward in one sequential pass.
 At the end suffixes whose common prefix reaches ``span`` are equal strings, and the
-smallest document of each group is known. A partition's arrays are of bounded
-size, as the number of partitions follows the input; they take the place of the
-external files, and Spark's shuffle files hold the fragments.
+smallest document of each group is known. The number of partitions follows the
+input, and an anchor with more than ``HOT`` fragments is not kept together: its
+strings are dealt one by one, by a hash of the whole string, to partitions of their
+own, where equal strings meet without a transform. So no partition grows with one
+passage. The arrays take the place of the external files, and Spark's shuffle files
+hold the fragments.
 
 Defined results: a null text is an empty one; a null ``doc_id`` takes no part and
 loses nothing; rows that share a ``doc_id`` do not count against each other; texts
@@ -20,6 +23,7 @@ shorter than ``span`` lose nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +38,9 @@ from ledgerloom.llm.words import U64, mix, starts_of, texts_of
 
 ANCHOR = 24
 END = 255
+#: Fragments of one anchor (at most 1.2 MB at span 50) above which its strings are dealt one by one.
+HOT = 1 << 14
+_MOST = (1 << 16) - 1
 _LUT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _CHUNK = 1 << 16
 
@@ -93,6 +100,13 @@ def _key(h: np.ndarray, parts: int) -> np.ndarray:
     return (part_of(h, parts).astype(U64) << U64(40)) | (mix(h) & U64((1 << 40) - 1))
 
 
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 def _pack40(x: np.ndarray) -> bytes:
     return x.astype("<u4").tobytes() + (x >> U64(32)).astype(np.uint8).tobytes()
 
@@ -114,27 +128,34 @@ class Block:
         self.first = starts_of(np.fromiter((len(self.texts[i]) for i in self.order), np.int64, len(self.order)))
         self.doc, self.at, self.n, self.hash = runs_of(np.frombuffer(self.raw, np.uint8), self.first, span)
 
-    def fragments(self, flagged: np.ndarray, parts: int, span: int) -> tuple[np.ndarray, list[list[bytes]], list[list[int]], np.ndarray, np.ndarray]:
-        """Of the runs with a flagged anchor: their index; for each partition the distinct fragments and the first document of
-        each; each run's partition and fragment."""
+    def fragments(self, flagged: np.ndarray, hot: np.ndarray, parts: int, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[list[bytes], list[int]]]]:
+        """Of the pieces with a flagged anchor: their place, document id, partition and fragment; and for each partition the
+        distinct fragments and the first document of each. A piece is a run, or one string of a run if its anchor is hot."""
         key = _key(self.hash, parts)
-        pos = np.minimum(np.searchsorted(flagged, key), max(0, len(flagged) - 1))
-        use = np.flatnonzero(flagged[pos] == key) if len(flagged) else np.zeros(0, np.int64)
-        part = part_of(self.hash[use], parts)
-        known: list[dict[bytes, int]] = [{} for _ in range(parts)]
-        docs: list[list[int]] = [[] for _ in range(parts)]
-        which = np.zeros(len(use), np.int64)
+        use = np.flatnonzero(_among(key, flagged))
+        single = _among(key[use], hot)
+        reps = np.where(single, self.n[use], 1)
+        run, single = np.repeat(use, reps), np.repeat(single, reps)
+        at = self.at[run] + np.arange(len(run)) - np.repeat(starts_of(reps)[:-1], reps)
+        stop = at + np.where(single, 1, self.n[run]) + span - 1
+        owner = self.ids[self.doc[run]]
+        part, which = np.zeros(len(run), np.int64), np.zeros(len(run), np.int64)
+        known: dict[int, dict[bytes, int]] = {}
+        docs: dict[int, list[int]] = {}
         raw = self.raw
-        owner = self.ids[self.doc[use]].tolist()
-        for i, (p, a, b, d) in enumerate(zip(part.tolist(), self.at[use].tolist(), (self.at[use] + self.n[use] + span - 1).tolist(), owner, strict=True)):
-            mine = known[p]
+        for i, (p, x, a, b, d) in enumerate(zip(part_of(self.hash[run], parts).tolist(), single.tolist(), at.tolist(), stop.tolist(), owner.tolist(), strict=True)):
             f = raw[a:b]
+            if x:
+                p = parts + (zlib.crc32(f) * parts >> 32)
+            mine = known.get(p)
+            if mine is None:
+                mine, docs[p] = known.setdefault(p, {}), []
             k = mine.get(f)
             if k is None:
                 k = mine[f] = len(mine)
                 docs[p].append(d)
-            which[i] = k
-        return use, [list(x) for x in known], docs, part, which
+            part[i], which[i] = p, k
+        return at, owner, part, which, {p: (list(known[p]), docs[p]) for p in sorted(known)}
 
 
 def _symbol_places(symbols: np.ndarray, at: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -244,7 +265,8 @@ def _rows(rows: list[tuple]) -> pa.Table:
 
 
 def _ask_anchors(parts: int, span: int):
-    """Each block's distinct anchors by partition, with a bit for those in more than one of its documents."""
+    """Each block's distinct anchors by partition, with a bit for those in more than one of its documents, and the number of
+    distinct fragments for those with more than one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,47 +281,67 @@ def _ask_anchors(parts: int, span: int):
                 at = np.flatnonzero(head)
                 tail = np.concatenate((at[1:], [len(key)])).astype(np.int64) - 1
                 many = owner[at] != owner[tail[: len(at)]]
+                count = np.ones(len(at), np.int64)
+                begin, stop = b.at[order], (b.at + b.n + span - 1)[order]
+                for g in np.flatnonzero(tail[: len(at)] > at).tolist():
+                    x, y = at[g], tail[g] + 1
+                    count[g] = len({b.raw[s:e] for s, e in zip(begin[x:y].tolist(), stop[x:y].tolist(), strict=True)})
                 key = key[at]
                 cuts = np.searchsorted(key >> U64(40), np.arange(parts + 1, dtype=U64))
                 block = one.column("block")[0].as_py()
-                rows = [(block, 0, p, _pack40(key[x:y] & U64((1 << 40) - 1)) + np.packbits(many[x:y]).tobytes()) for p, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+                low = key & U64((1 << 40) - 1)
+                rows = [(block, 0, p, _pack_counts(low[x:y], many[x:y], count[x:y])) for p, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
                 yield from _rows(rows).to_batches()
 
     return run
 
 
-def _anchor_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(data) * 8 // 41
-    while 5 * n + (n + 7) // 8 > len(data):
-        n -= 1
-    while 5 * (n + 1) + (n + 8) // 8 <= len(data):
-        n += 1
-    return _unpack40(data[: 5 * n]), np.unpackbits(np.frombuffer(data, np.uint8, offset=5 * n), count=n).astype(bool)
-
-
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """To each block, those of its anchors that stand in more than one document anywhere."""
-    blocks, part = table.column("block").to_pylist(), table.column("part")[0].as_py()
-    got = [_anchor_counts(x) for x in table.column("data").to_pylist()]
-    key, many = np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got])
-    order = np.argsort(key, kind="stable")
-    s = key[order]
-    same = s[1:] == s[:-1]
-    hit = many[order].copy()
-    hit[1:] |= same
-    hit[:-1] |= same
-    flag = np.zeros(len(key), bool)
-    flag[order] = hit
-    rows = []
-    at = starts_of(np.fromiter((len(x) for x, _ in got), np.int64, len(got)))
-    for b, (x, y) in zip(blocks, zip(at[:-1], at[1:], strict=True), strict=True):
-        if flag[x:y].any():
-            rows.append((b, 0, part, _pack40(key[x:y][flag[x:y]])))
-    return _rows(rows)
-
-
-def _flagged(rows: pa.Table) -> np.ndarray:
-    got = [_unpack40(d) | (U64(p) << U64(40)) for k, p, d in zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == 0]
+def _pack_counts(key: np.ndarray, many: np.ndarray, count: np.ndarray) -> bytes:
+    more = np.flatnonzero(count > 1)
+    n = np.array([len(key)], "<u4").tobytes()
+    return n + _pack40(key) + np.packbits(many).tobytes() + more.astype("<u4").tobytes() + np.minimum(count[more], _MOST).astype("<u2").tobytes()
+
+
+def _anchor_counts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    bits, rest = 4 + 5 * n, 4 + 5 * n + (n + 7) // 8
+    m = (len(data) - rest) // 6
+    count = np.ones(n, np.int64)
+    count[np.frombuffer(data, "<u4", m, rest)] = np.frombuffer(data, "<u2", m, rest + 4 * m)
+    return _unpack40(data[4:bits]), np.unpackbits(np.frombuffer(data, np.uint8, rest - bits, bits), count=n).astype(bool), count
+
+
+def _shared_anchors(hot: int):
+    """To each block, those of its anchors that stand in more than one document anywhere (kind 0), and which of them have more
+    than ``hot`` fragments, equal ones counted once a block (kind 2)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        blocks, part = table.column("block").to_pylist(), table.column("part")[0].as_py()
+        got = [_anchor_counts(x) for x in table.column("data").to_pylist()]
+        key, many, count = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.argsort(key, kind="stable")
+        s = key[order]
+        same = s[1:] == s[:-1]
+        hit = many[order].copy()
+        hit[1:] |= same
+        hit[:-1] |= same
+        head = np.flatnonzero(np.concatenate(([True], ~same)))
+        total = np.repeat(np.add.reduceat(count[order], head), np.diff(np.append(head, len(s))))
+        flag, large = np.zeros(len(key), bool), np.zeros(len(key), bool)
+        flag[order], large[order] = hit, hit & (total > hot)
+        rows = []
+        at = starts_of(np.fromiter((len(x[0]) for x in got), np.int64, len(got)))
+        for b, (x, y) in zip(blocks, zip(at[:-1], at[1:], strict=True), strict=True):
+            for kind, pick in ((0, flag[x:y]), (2, large[x:y])):
+                if pick.any():
+                    rows.append((b, kind, part, _pack40(key[x:y][pick])))
+        return _rows(rows)
+
+    return run
+
+
+def _flagged(rows: pa.Table, kind: int = 0) -> np.ndarray:
+    got = [_unpack40(d) | (U64(p) << U64(40)) for k, p, d in zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == kind]
     return np.sort(np.concatenate(got)) if got else np.zeros(0, U64)
 
 
@@ -308,20 +350,20 @@ def _cut_fragments(parts: int, span: int):
         if not blocks.num_rows or not answers.num_rows:
             return _rows([])
         b = Block(rows_of(blocks), span)
-        _, frags, docs, _, _ = b.fragments(_flagged(answers), parts, span)
+        *_, frags = b.fragments(_flagged(answers), _flagged(answers, 2), parts, span)
         number = blocks.column("block")[0].as_py()
         rows = []
-        for p, (f, d) in enumerate(zip(frags, docs, strict=True)):
-            if f:
-                n = np.array([len(f)], "<i8").tobytes()
-                rows.append((number, 1, p, n + np.fromiter(map(len, f), "<u1", len(f)).tobytes() + np.array(d, "<i8").tobytes() + b"".join(f)))
+        for p, (f, d) in frags.items():
+            n = np.array([len(f)], "<i8").tobytes()
+            rows.append((number, 1, p, n + np.fromiter(map(len, f), "<u1", len(f)).tobytes() + np.array(d, "<i8").tobytes() + b"".join(f)))
         return _rows(rows)
 
     return run
 
 
-def _judge_fragments(span: int):
-    """Merge a partition's fragments, transform them, and tell each block where a smaller document has its strings."""
+def _judge_fragments(parts: int, span: int):
+    """Merge a partition's fragments, transform them, and tell each block where a smaller document has its strings. Partitions
+    from ``parts`` on hold single strings, which are merged already."""
 
     def run(table: pa.Table) -> pa.Table:
         blocks, part = table.column("block").to_pylist(), table.column("part")[0].as_py()
@@ -346,7 +388,10 @@ def _judge_fragments(span: int):
             asked.append((which, docs))
         frags = list(known)
         del known, table
-        doc, first = smallest_documents(frags, np.array(least, np.int64), span)
+        if part < parts:
+            doc, first = smallest_documents(frags, np.array(least, np.int64), span)
+        else:
+            doc, first = np.array(least, np.int64), np.arange(len(frags) + 1)
         head = np.ones(len(doc), bool)
         head[1:] = doc[1:] != doc[:-1]
         head[first[:-1]] = True
@@ -373,12 +418,11 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
         told = {p: d for k, p, d in zip(*(answers.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == 1}
         flagged = _flagged(answers)
         if len(flagged):  # what no partition answered is still judged within the block
-            use, frags, docs, part, which = b.fragments(flagged, parts, span)
-            owner = b.ids[b.doc[use]]
-            for p, frag in enumerate(frags):
-                if not frag:
-                    continue
-                mine = np.flatnonzero(part == p)
+            place, owner, part, which, frags = b.fragments(flagged, _flagged(answers, 2), parts, span)
+            by_part = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[by_part], np.array([*frags, 2 * parts]))
+            for (p, (frag, docs)), c0, c1 in zip(frags.items(), cuts[:-1], cuts[1:], strict=True):
+                mine = by_part[c0:c1]
                 size = np.fromiter(map(len, frag), np.int64, len(frag)) - span + 1
                 if p in told:
                     data = told[p]
@@ -393,7 +437,7 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
                 n2 = np.where(silent, 1, n)
                 at = starts_of(n2)
                 l2, d2 = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
-                l2[at[:-1][silent]], d2[at[:-1][silent]] = size[silent], np.array(docs[p], np.int64)[silent]
+                l2[at[:-1][silent]], d2[at[:-1][silent]] = size[silent], np.array(docs, np.int64)[silent]
                 full = np.ones(at[-1], bool)
                 full[at[:-1][silent]] = False
                 l2[full], d2[full] = length, doc
@@ -402,7 +446,7 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
                 reps = n2[k]
                 pick = np.repeat(at[:-1][k] - starts_of(reps)[:-1], reps) + np.arange(reps.sum())
                 gone = d2[pick] < np.repeat(owner[mine], reps)
-                x = np.repeat(b.at[use[mine]], reps)[gone] + begin[pick][gone]
+                x = np.repeat(place[mine], reps)[gone] + begin[pick][gone]
                 np.add.at(mask, x, 1)
                 np.add.at(mask, x + l2[pick][gone] + span - 1, -1)
         gone = np.cumsum(mask[:-1]) > 0
@@ -415,20 +459,26 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
     return run
 
 
-def without_repeats(docs: DataFrame, span: int, finish: Callable, schema: T.StructType, part_bytes: int = 2 << 20) -> DataFrame:
-    """Rows of ``docs`` after ``finish(rows, marks, texts)``; a mark has True for each byte that a smaller document repeats."""
-    if not ANCHOR < span <= 128:
-        raise ValueError("span must be over the anchor's length and 128 at most")
+def ask_blocks(docs: DataFrame, span: int, part_bytes: int = 2 << 20, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Blocks, their anchors that are shared, the fragments by partition, and the number of partitions."""
     blocks, total = write_blocks(docs)
     parts = max(8, min(1 << 20, -(-total // part_bytes)))
     asked = blocks.mapInArrow(_ask_anchors(parts, span), _SCHEMA)
-    flagged = save(asked.groupBy("part").applyInArrow(_shared_anchors, _SCHEMA), "anchors")
+    flagged = save(asked.groupBy("part").applyInArrow(_shared_anchors(hot), _SCHEMA), "anchors")
     cut = blocks.groupBy("block").cogroup(flagged.groupBy("block")).applyInArrow(_cut_fragments(parts, span), _SCHEMA)
-    told = save(cut.groupBy("part").applyInArrow(_judge_fragments(span), _SCHEMA), "repeats")
+    return blocks, flagged, cut, parts
+
+
+def without_repeats(docs: DataFrame, span: int, finish: Callable, schema: T.StructType, hot: int = HOT) -> DataFrame:
+    """Rows of ``docs`` after ``finish(rows, marks, texts)``; a mark has True for each byte that a smaller document repeats."""
+    if not ANCHOR < span <= 128:
+        raise ValueError("span must be over the anchor's length and 128 at most")
+    blocks, flagged, cut, parts = ask_blocks(docs, span, hot=hot)
+    told = save(cut.groupBy("part").applyInArrow(_judge_fragments(parts, span), _SCHEMA), "repeats")
     return blocks.groupBy("block").cogroup(flagged.union(told).groupBy("block")).applyInArrow(_apply(parts, span, docs.columns, finish), schema)
 
 
-def repeat_digests(docs: DataFrame, span: int = 50) -> DataFrame:
+def repeat_digests(docs: DataFrame, span: int = 50, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row."""
 
     def finish(rows: pa.RecordBatch, marks: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -443,7 +493,7 @@ def repeat_digests(docs: DataFrame, span: int = 50) -> DataFrame:
         return pa.RecordBatch.from_arrays([rows.column("doc_id"), *[pa.array(o, pa.int64()) for o in out[:3]], pa.array(out[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return without_repeats(docs, span, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return without_repeats(docs, span, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", hot)
 
 
 def remove_repeats(docs: DataFrame, span: int = 50) -> DataFrame:

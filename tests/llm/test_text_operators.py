@@ -158,6 +158,32 @@ def test_a_repeat_that_no_partition_answers(spark):
     assert got == {1: (0, 0), 2: (len(same), 1)}
 
 
+def test_no_partition_holds_a_hot_anchor(spark):
+    r = np.random.default_rng(3)
+    passage = "".join(r.choice(list("abcdefghij"), 80))
+    rows = [(i, "".join(r.choice(list("klmnopqrst"), 60)) + passage + "".join(r.choice(list("uvwxyz"), 60))) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def largest(hot):
+        held = Counter()
+        for x in suffixes.ask_blocks(docs, 50, part_bytes=1 << 10, hot=hot)[2].collect():
+            held[x["part"]] += int(np.frombuffer(x["data"], "<i8", 1)[0])
+        return max(held.values())
+
+    whole, dealt = largest(1 << 60), largest(64)
+    assert whole > 1500 and dealt < 600, (whole, dealt)
+    names = "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    got = suffixes.repeat_digests(docs, 50, hot=64).collect()
+    assert as_counter(suffixes.repeat_digests(docs, 50), *names) == Counter(tuple(x[n] for n in names) for x in got)
+    assert all((x["n_removed"] >= 80) == (x["doc_id"] > 0) for x in got)
+
+
+@pytest.mark.parametrize("hot", [0, 2])
+def test_hot_anchors_change_no_result(docs, hot):
+    names = "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    assert as_counter(suffixes.repeat_digests(docs, 50, hot=hot), *names) == as_counter(suffixes.repeat_digests(docs, 50), *names)
+
+
 def test_cut_texts_keep_whole_characters(spark):
     same = "é" * 40
     rows = [(1, f"a{same}b", "k"), (2, f"c{same}d", "k"), (3, None, "k")]
