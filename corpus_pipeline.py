@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import neardup, packing, quality, secrets, store, suffixes
 from ledgerloom.llm.queries import table, tokenizer_path
+from ledgerloom.operators import windows
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +20,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group one document stays, that with the smallest id; five-word shingles, similarity 0.8 or more."""
-    gone = neardup.near_duplicates(docs, shingle_words=5, percent=80).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group one document stays, that with the smallest id; five-word shingles, similarity 0.8 or more. Where rows share
+    an id, each is judged by its own text: the verdict is on the row, and of rows with one id and text one stays."""
+    known = docs.filter("doc_id IS NOT NULL")
+    if not known.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        gone = neardup.near_duplicates(docs, shingle_words=5, percent=80).filter("NOT kept").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    sha = F.coalesce(F.sha2("text", 256), F.lit(""))
+    one = known.groupBy("doc_id", sha.alias("sha")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    # Numbers in the order of the ids stand for them, so that no two texts are one node.
+    rows = store.save(windows.global_position(one, ["doc_id", "sha"], "number").select("number", "row.*"), "numbered")
+    verdicts = neardup.near_duplicates(rows.select(F.col("number").alias("doc_id"), "text"), shingle_words=5, percent=80)
+    kept = rows.join(verdicts.filter("NOT kept").select(F.col("doc_id").alias("number")), "number", "left_anti")
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

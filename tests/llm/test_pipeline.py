@@ -101,3 +101,13 @@ def test_stages_with_odd_rows(odd_docs, no_docs, spark):
             out = stage(spark, docs, SMALL)
             assert name == "packing" or out.columns == docs.columns
             assert out.count() <= max(1, docs.count()) * 100
+
+
+def test_near_duplicates_are_dropped_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (4, b + " more"), (None, a), (None, a), (5, None), (5, "")]
+    docs = spark.createDataFrame([(*r, "en", "s", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(cp.STAGES)["near-duplicates"](spark, docs, SMALL)
+    assert out.columns == docs.columns
+    want = [(1, a), (2, b), (3, c), (None, a), (None, a), (5, None), (5, "")]
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(want)
