@@ -67,17 +67,18 @@ def longest_path_dag(edges: DataFrame, weights: DataFrame, max_rounds: int = 10_
     return done, left.select("node")
 
 
-def json_walk_refs(df: DataFrame, key: str, value: str, name: str, max_depth: int = 8) -> DataFrame:
+def json_walk_refs(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Every text under the key ``name`` at any depth of a variant column, through objects and arrays."""
     level = df.select(F.col(key).alias("k"), F.col(value).alias("v"))
     found = None
-    for _ in range(max_depth):
+    while True:
         level.createOrReplaceTempView("__ledgerloom_level")
         one = df.sparkSession.sql("SELECT k, e.key AS name, e.value AS v FROM __ledgerloom_level, LATERAL variant_explode_outer(v) AS e WHERE e.pos IS NOT NULL")
         hit = one.filter(F.col("name") == name).select(F.col("k").alias(key), F.variant_get("v", "$", "string").alias("ref")).filter("ref IS NOT NULL") if name else one
         found = hit if found is None else found.unionByName(hit)
-        level = one.filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")).select("k", "v")
-    return found
+        level = stable(one.filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")).select("k", "v"))
+        if not level.limit(1).count():
+            return found
 
 
 def flatten_rule_tree(df: DataFrame, key: str, value: str, kind: str = "kind", children: str = "children", max_depth: int = 8) -> DataFrame:

@@ -212,3 +212,12 @@ def test_global_position_of_many_ties(spark):
     df = spark.range(1000).withColumn("k", c("id") % 3)
     got = [r["pos"] for r in W.global_position(df, ["k", "id"]).orderBy("k", "id").collect()]
     assert got == list(range(1000))
+
+
+def test_json_refs_at_any_depth(spark):
+    deep = '{"assetId":"low"}'
+    for _ in range(12):
+        deep = '{"x":[' + deep + "]}"
+    df = spark.createDataFrame([(1, deep), (2, '{"assetId":"top"}')], "id long, raw string").select("id", F.parse_json("raw").alias("v"))
+    got = R.json_walk_refs(df, "id", "v", "assetId").select("id", "ref").collect()
+    assert sorted(map(tuple, got)) == [(1, "low"), (2, "top")]
