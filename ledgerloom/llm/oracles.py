@@ -22,13 +22,13 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, m.component_id
 FROM documents d JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 TOP_K = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
-  SELECT q.vec_id AS query_id, k.vec_id, CAST(list_sum(list_transform(list_zip(q.v, k.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v q JOIN v k ON q.vec_id <> k.vec_id AND q.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+  SELECT q.row, q.vec_id AS query_id, k.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.v, k.v), lambda z: CAST(z[1] AS HUGEINT) * z[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v k ON q.row <> k.row AND q.vec_id % 50 = 0 AND len(q.v) = len(k.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
 

@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -101,41 +102,91 @@ def test_token_counts_with_ties():
 
 
 def brute_top(rows, k):
-    x = {d: np.floor(256 * np.array(v, float)).astype(int) for d, v in rows if d is not None and v and all(c is not None and math.isfinite(c) for c in v)}
+    x = [(d, [math.floor(256 * Fraction(c)) for c in v]) for d, v in rows if d is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     out = Counter()
-    for q in x:
+    for i, (q, v) in enumerate(x):
         if q % 50 == 0:
-            best = sorted(((-int(x[q] @ x[d]), d) for d in x if d != q and len(x[d]) == len(x[q])))[:k]
-            out.update((q, i, d, -s) for i, (s, d) in enumerate(best, 1))
+            best = sorted((-sum(a * b for a, b in zip(v, w)), d) for j, (d, w) in enumerate(x) if j != i and len(w) == len(v))[:k]
+            out.update((q, r, d, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, d) in enumerate(best, 1))
     return out
 
 
 def test_top_k_small(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in table(spark, MORE, "embeddings").collect()]
+    want = brute_top(rows, 5)
     for part in (60, 16384):
-        got = Counter(tuple(r) for r in mtree.top_k(table(spark, MORE, "embeddings"), part_rows=part, query_rows=4).collect())
-        assert got == brute_top(rows, 5)
+        assert Counter(tuple(r) for r in mtree.top_k(table(spark, MORE, "embeddings"), part_rows=part, query_rows=4).collect()) == want
 
 
 def test_top_k_odd_rows(spark):
     r = np.random.default_rng(9)
     rows = [(i, [float(x) for x in r.integers(-2, 3, 4) / 4], "x") for i in range(160)]
     rows += [(i, [0.5, 0.5, 0.5, 0.5], "y") for i in range(160, 260)]
-    rows += [(300, None, "z"), (301, [1.0, None, 0.0, 0.0], "z"), (302, [float("nan"), 1.0, 1.0, 1.0], "z"), (303, [float("inf")] * 4, "z"), (350, [], "z"), (None, [1.0] * 4, "z"), (400, [1.0, 1.0], "z"), (0, rows[0][1], "again")]
+    rows += [(300, None, "z"), (301, [1.0, None, 0.0, 0.0], "z"), (302, [float("nan"), 1.0, 1.0, 1.0], "z"), (303, [float("inf")] * 4, "z"), (None, [1.0] * 4, "z")]
+    rows += [(350, [], "z"), (351, [], "z"), (400, [1.0, 1.0], "z"), (0, rows[0][1], "again"), (0, rows[0][1], "again"), (50, [0.25, -0.5, 0.0, 1.0], "other vector")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
-    assert Counter(tuple(x) for x in mtree.top_k(df, part_rows=30, query_rows=2).collect()) == brute_top(list({d: (d, v) for d, v, _ in rows}.values()), 5)
+    for part, routing in ((30, 512), (1000, 512), (20, 2)):
+        assert Counter(tuple(x) for x in mtree.top_k(df, part_rows=part, query_rows=2, routing=routing).collect()) == brute_top([x[:2] for x in rows], 5)
     assert mtree.top_k(df.limit(0)).count() == 0
+    assert mtree.top_k(df.filter("vec_id = 1")).count() == 0
+
+
+@pytest.mark.parametrize("size", [9e6, 3e15, 1e30, 1e300])
+def test_top_k_large_components(spark, size):
+    """Scores are exact integers; beyond 64 bits they are ranked exactly and shown as the nearest long."""
+    r = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in r.normal(size=3) * size]) for i in range(120)] + [(200, [1.7e308, 1.0, 2.0]), (201, [0.5, 9e6, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(tuple(x) for x in mtree.top_k(df, part_rows=40).collect()) == brute_top(rows, 5)
 
 
 def test_m_tree_skips_and_stays_exact():
     r = np.random.default_rng(10)
     centre = r.normal(size=(30, 16)) * 400
-    x = (centre[r.integers(0, 30, 4000)] + r.normal(size=(4000, 16)) * 8).astype(int)
+    x = np.floor(centre[r.integers(0, 30, 4000)] + r.normal(size=(4000, 16)) * 8)
     tree = mtree.MTree(x)
+    got = tree.search(x[:40], 5, [[j] for j in range(len(x))], list(range(40)))
+    scores = x[:40].astype(int) @ x.astype(int).T
     for i in range(40):
-        want = sorted((-int(x[i] @ y), j) for j, y in enumerate(x) if j != i)[:5]
-        assert [(-s, d) for s, d in tree.search(x[i], 5, [[j] for j in range(len(x))], i)] == want
-    assert tree.computed < 0.5 * 40 * len(x)
+        assert got[i] == sorted((-int(s), j) for j, s in enumerate(scores[i]) if j != i)[:5]
+    assert tree.computed < 0.1 * 40 * len(x)
+
+
+def test_regions_are_skipped(spark):
+    """With vectors in groups, queries ask few of the trees."""
+    r = np.random.default_rng(13)
+    centre = r.normal(size=(20, 8)) * 10
+    rows = [(i, [float(x) for x in centre[i % 20] + r.normal(size=8) * 0.05]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.sparkContext.accumulator(0)
+    real = mtree._meet
+
+    def counted(k, scale):
+        run = real(k, scale)
+
+        def meet(trees, asks):
+            asked.add(asks.num_rows)
+            return run(trees, asks)
+
+        return meet
+
+    mtree._meet = counted
+    try:
+        got = mtree.top_k(df, part_rows=100).collect()
+    finally:
+        mtree._meet = real
+    assert Counter(map(tuple, got)) == brute_top(rows, 5)
+    assert asked.value < 0.5 * 40 * 20
+
+
+def test_computed_distances_on_the_given_vectors(spark):
+    """The given vectors are nearly orthogonal: what the tree can skip of them is little, and it computes each distance once at most."""
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings").orderBy("vec_id").collect()
+    x = np.floor(256 * np.array([r["embedding"] for r in rows], float)) / 256
+    at = [i for i, r in enumerate(rows) if r["vec_id"] % 50 == 0]
+    tree = mtree.MTree(x, 256)
+    tree.search(x[at], 5, [[r["vec_id"]] for r in rows], [rows[i]["vec_id"] for i in at])
+    assert tree.computed <= len(at) * (1.05 * len(x) + 1)
 
 
 def test_empty_tables(no_docs, spark):
