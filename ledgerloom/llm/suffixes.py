@@ -8,16 +8,18 @@ ones, go through the construction: each round puts one further symbol in front o
 every fragment, finds the new suffixes' places from the transform so far, and
 carries the transform and the common prefixes forward in one sequential pass.
 At the end suffixes whose common prefix reaches ``span`` are equal strings, and the
-smallest document of each group is known. The number of partitions follows the
-input, and an anchor with more than ``HOT`` fragments is not kept together: its
-strings are dealt one by one, by a hash of the whole string, to partitions of their
-own, where equal strings meet without a transform. So no partition grows with one
-passage. The arrays take the place of the external files, and Spark's shuffle files
-hold the fragments.
+smallest document of each group is known. An anchor with one distinct fragment has
+nothing to be sorted against and stays out of the rounds. The number of partitions
+follows the input, and an anchor with more than ``HOT`` fragments is not kept
+together: its strings are dealt one by one, by a hash of the whole string, to
+partitions of their own, where equal strings meet without a transform. So no
+partition grows with one passage. The arrays take the place of the external files,
+and Spark's shuffle files hold the fragments.
 
 Defined results: a null text is an empty one; a null ``doc_id`` takes no part and
 loses nothing; rows that share a ``doc_id`` do not count against each other; texts
-shorter than ``span`` lose nothing; an empty table gives an empty result.
+shorter than ``span`` lose nothing; an empty table gives an empty result;
+``remove_repeats`` keeps further columns, of any name, as they are.
 """
 
 from __future__ import annotations
@@ -41,6 +43,9 @@ END = 255
 #: Fragments of one anchor (at most 1.2 MB at span 50) above which its strings are dealt one by one.
 HOT = 1 << 14
 _MOST = (1 << 16) - 1
+#: Bits that tell anchors of one partition apart; the rest of a key is the partition's number.
+_TAG = U64(34)
+_MOST_PARTS = 1 << 30
 _LUT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _CHUNK = 1 << 16
 
@@ -96,8 +101,15 @@ def part_of(h: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _key(h: np.ndarray, parts: int) -> np.ndarray:
-    """What partitions know of an anchor: its partition and 40 bits. More than one anchor to a key only adds work."""
-    return (part_of(h, parts).astype(U64) << U64(40)) | (mix(h) & U64((1 << 40) - 1))
+    """What partitions know of an anchor: its partition and ``_TAG`` bits. More than one anchor to a key only adds work."""
+    return (part_of(h, parts).astype(U64) << _TAG) | (mix(h) >> (U64(64) - _TAG))
+
+
+def _runs_by_part(key: np.ndarray) -> list[tuple[int, int, int]]:
+    """(partition, from, to) of sorted keys, for the partitions that have any."""
+    part = (key >> _TAG).astype(np.int64)
+    at = np.flatnonzero(np.diff(part, prepend=-1))
+    return list(zip(part[at].tolist(), at.tolist(), np.append(at, len(part))[1:].tolist(), strict=True))
 
 
 def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -117,45 +129,57 @@ def _unpack40(b: bytes) -> np.ndarray:
 
 
 class Block:
-    """A block's documents in order of their ids, and the runs in them; documents without an id take no part."""
+    """A block's documents in order of their ids; documents without an id take no part."""
 
-    def __init__(self, rows: pa.RecordBatch, span: int):
+    def __init__(self, rows: pa.RecordBatch):
         self.rows, self.texts = rows, texts_of(rows.column("text"))
         ids = rows.column("doc_id").to_pylist()
         self.order = sorted((i for i, x in enumerate(ids) if x is not None), key=lambda i: ids[i])
         self.ids = np.array([ids[i] for i in self.order], np.int64)
         self.raw = b"".join([self.texts[i] for i in self.order])
         self.first = starts_of(np.fromiter((len(self.texts[i]) for i in self.order), np.int64, len(self.order)))
-        self.doc, self.at, self.n, self.hash = runs_of(np.frombuffer(self.raw, np.uint8), self.first, span)
-
-    def fragments(self, flagged: np.ndarray, hot: np.ndarray, parts: int, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[list[bytes], list[int]]]]:
-        """Of the pieces with a flagged anchor: their place, document id, partition and fragment; and for each partition the
-        distinct fragments and the first document of each. A piece is a run, or one string of a run if its anchor is hot."""
-        key = _key(self.hash, parts)
-        use = np.flatnonzero(_among(key, flagged))
-        single = _among(key[use], hot)
-        reps = np.where(single, self.n[use], 1)
-        run, single = np.repeat(use, reps), np.repeat(single, reps)
-        at = self.at[run] + np.arange(len(run)) - np.repeat(starts_of(reps)[:-1], reps)
-        stop = at + np.where(single, 1, self.n[run]) + span - 1
-        owner = self.ids[self.doc[run]]
-        part, which = np.zeros(len(run), np.int64), np.zeros(len(run), np.int64)
-        known: dict[int, dict[bytes, int]] = {}
-        docs: dict[int, list[int]] = {}
-        raw = self.raw
-        for i, (p, x, a, b, d) in enumerate(zip(part_of(self.hash[run], parts).tolist(), single.tolist(), at.tolist(), stop.tolist(), owner.tolist(), strict=True)):
-            f = raw[a:b]
-            if x:
-                p = parts + (zlib.crc32(f) * parts >> 32)
-            mine = known.get(p)
-            if mine is None:
-                mine, docs[p] = known.setdefault(p, {}), []
-            k = mine.get(f)
-            if k is None:
-                k = mine[f] = len(mine)
-                docs[p].append(d)
-            part[i], which[i] = p, k
-        return at, owner, part, which, {p: (list(known[p]), docs[p]) for p in sorted(known)}
+
+    def runs(self, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return runs_of(np.frombuffer(self.raw, np.uint8), self.first, span)
+
+
+#: A piece of a block that a partition has to judge: first string, number of strings, document in the block, partition, and
+#: number among the distinct fragments that the block sends to that partition.
+_PLACE = np.dtype([("at", "<u4"), ("n", "u1"), ("doc", "<u4"), ("part", "<i4"), ("which", "<u4")])
+
+
+def fragments(b: Block, flagged: np.ndarray, hot: np.ndarray, parts: int, span: int) -> tuple[np.ndarray, dict[int, tuple[list[bytes], list[int], list[int]]]]:
+    """Places of the pieces with a flagged anchor; and for each partition the distinct fragments, the first document of each and
+    a part of its anchor's key. A piece is a run, or one string of a run if its anchor is hot."""
+    doc, at, n, h = b.runs(span)
+    key = _key(h, parts)
+    use = np.flatnonzero(_among(key, flagged))
+    single = _among(key[use], hot)
+    reps = np.where(single, n[use], 1)
+    run, single = np.repeat(use, reps), np.repeat(single, reps)
+    places = np.zeros(len(run), _PLACE)
+    at = at[run] + np.arange(len(run)) - np.repeat(starts_of(reps)[:-1], reps)
+    size = np.where(single, 1, n[run])
+    places["at"], places["n"], places["doc"] = at, size, doc[run]
+    part, which = np.zeros(len(run), np.int64), np.zeros(len(run), np.int64)
+    sent: dict[int, tuple[list[bytes], list[int], list[int]]] = {}
+    known: dict[int, dict[bytes, int]] = {}
+    raw, stop, owner, tag = b.raw, at + size + span - 1, b.ids[doc[run]], key[run] & U64((1 << 32) - 1)
+    for i, (p, x, start, end, d, t) in enumerate(zip((key[run] >> _TAG).tolist(), single.tolist(), at.tolist(), stop.tolist(), owner.tolist(), tag.tolist(), strict=True)):
+        f = raw[start:end]
+        if x:
+            p = parts + (zlib.crc32(f) * parts >> 32)
+        mine = known.get(p)
+        if mine is None:
+            mine, sent[p] = known.setdefault(p, {}), ([], [], [])
+        k = mine.get(f)
+        if k is None:
+            k = mine[f] = len(mine)
+            for o, v in zip(sent[p], (f, d, t), strict=True):
+                o.append(v)
+        part[i], which[i] = p, k
+    places["part"], places["which"] = part, which
+    return places, sent
 
 
 def _symbol_places(symbols: np.ndarray, at: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -272,9 +296,10 @@ def _ask_anchors(parts: int, span: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 one = pa.Table.from_batches([batch.slice(i, 1)])
-                b = Block(rows_of(one), span)
-                key = _key(b.hash, parts)
-                owner = b.ids[b.doc] if len(b.doc) else np.zeros(0, np.int64)
+                b = Block(rows_of(one))
+                doc, place, n, h = b.runs(span)
+                key = _key(h, parts)
+                owner = b.ids[doc] if len(doc) else np.zeros(0, np.int64)
                 order = np.lexsort((owner, key))
                 key, owner = key[order], owner[order]
                 head = np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))
@@ -282,15 +307,14 @@ def _ask_anchors(parts: int, span: int):
                 tail = np.concatenate((at[1:], [len(key)])).astype(np.int64) - 1
                 many = owner[at] != owner[tail[: len(at)]]
                 count = np.ones(len(at), np.int64)
-                begin, stop = b.at[order], (b.at + b.n + span - 1)[order]
+                begin, stop = place[order], (place + n + span - 1)[order]
                 for g in np.flatnonzero(tail[: len(at)] > at).tolist():
                     x, y = at[g], tail[g] + 1
                     count[g] = len({b.raw[s:e] for s, e in zip(begin[x:y].tolist(), stop[x:y].tolist(), strict=True)})
                 key = key[at]
-                cuts = np.searchsorted(key >> U64(40), np.arange(parts + 1, dtype=U64))
                 block = one.column("block")[0].as_py()
-                low = key & U64((1 << 40) - 1)
-                rows = [(block, 0, p, _pack_counts(low[x:y], many[x:y], count[x:y])) for p, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+                low = key & ((U64(1) << _TAG) - U64(1))
+                rows = [(block, 0, p, _pack_counts(low[x:y], many[x:y], count[x:y])) for p, x, y in _runs_by_part(key)]
                 yield from _rows(rows).to_batches()
 
     return run
@@ -341,47 +365,66 @@ def _shared_anchors(hot: int):
 
 
 def _flagged(rows: pa.Table, kind: int = 0) -> np.ndarray:
-    got = [_unpack40(d) | (U64(p) << U64(40)) for k, p, d in zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == kind]
+    got = [_unpack40(d) | (U64(p) << _TAG) for k, p, d in zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == kind]
     return np.sort(np.concatenate(got)) if got else np.zeros(0, U64)
 
 
 def _cut_fragments(parts: int, span: int):
+    """Fragments for the partitions (kind 1); and for the block itself its places (kind 3), dealt to negative partitions, which
+    hand them on, so that no later step hashes the text again."""
+
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         if not blocks.num_rows or not answers.num_rows:
             return _rows([])
-        b = Block(rows_of(blocks), span)
-        *_, frags = b.fragments(_flagged(answers), _flagged(answers, 2), parts, span)
+        places, sent = fragments(Block(rows_of(blocks)), _flagged(answers), _flagged(answers, 2), parts, span)
         number = blocks.column("block")[0].as_py()
-        rows = []
-        for p, (f, d) in frags.items():
+        rows = [(number, 3, -1 - (zlib.crc32(str(number).encode()) * parts >> 32), places.tobytes())]
+        for p, (f, d, t) in sent.items():
             n = np.array([len(f)], "<i8").tobytes()
-            rows.append((number, 1, p, n + np.fromiter(map(len, f), "<u1", len(f)).tobytes() + np.array(d, "<i8").tobytes() + b"".join(f)))
+            rows.append((number, 1, p, n + np.fromiter(map(len, f), "<u1", len(f)).tobytes() + np.array(t, "<u4").tobytes() + np.array(d, "<i8").tobytes() + b"".join(f)))
         return _rows(rows)
 
     return run
 
 
+def _least_documents(frags: list[bytes], least: np.ndarray, tags: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``smallest_documents``; fragments that are alone with their anchor equal no others and need no rounds."""
+    first = starts_of(np.fromiter((len(x) - span + 1 for x in frags), np.int64, len(frags)))
+    doc = np.repeat(least, np.diff(first))
+    _, at, count = np.unique(tags, return_inverse=True, return_counts=True)
+    more = np.flatnonzero(count[at] > 1)
+    if len(more):
+        got, begin = smallest_documents([frags[i] for i in more.tolist()], least[more], span)
+        doc[np.repeat(first[more] - begin[:-1], np.diff(begin)) + np.arange(len(got))] = got
+    return doc, first
+
+
 def _judge_fragments(parts: int, span: int):
     """Merge a partition's fragments, transform them, and tell each block where a smaller document has its strings. Partitions
-    from ``parts`` on hold single strings, which are merged already."""
+    from ``parts`` on hold single strings, which are merged already; negative ones hand places on."""
 
     def run(table: pa.Table) -> pa.Table:
         blocks, part = table.column("block").to_pylist(), table.column("part")[0].as_py()
+        if part < 0:
+            return table.select(_ROW)
         known: dict[bytes, int] = {}
         least: list[int] = []
+        tags: list[int] = []
         asked = []
         for data in table.column("data").to_pylist():
             n = int(np.frombuffer(data, "<i8", 1)[0])
             size = np.frombuffer(data, "<u1", n, 8)
-            docs = np.frombuffer(data, "<i8", n, 8 + n)
-            at = starts_of(size.astype(np.int64)) + 8 + 9 * n
+            tag = np.frombuffer(data, "<u4", n, 8 + n)
+            docs = np.frombuffer(data, "<i8", n, 8 + 5 * n)
+            at = starts_of(size.astype(np.int64)) + 8 + 13 * n
             which = np.zeros(n, np.int64)
-            for i, (x, y, d) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), docs.tolist(), strict=True)):
+            for i, (x, y, d, t) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), docs.tolist(), tag.tolist(), strict=True)):
                 f = data[x:y]
                 k = known.get(f)
                 if k is None:
                     k = known[f] = len(least)
                     least.append(d)
+                    tags.append(t)
                 elif d < least[k]:
                     least[k] = d
                 which[i] = k
@@ -389,7 +432,7 @@ def _judge_fragments(parts: int, span: int):
         frags = list(known)
         del known, table
         if part < parts:
-            doc, first = smallest_documents(frags, np.array(least, np.int64), span)
+            doc, first = _least_documents(frags, np.array(least, np.int64), np.array(tags, np.int64), span)
         else:
             doc, first = np.array(least, np.int64), np.arange(len(frags) + 1)
         head = np.ones(len(doc), bool)
@@ -411,42 +454,41 @@ def _judge_fragments(parts: int, span: int):
     return run
 
 
-def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.RecordBatch, list[np.ndarray | None], list[bytes]], pa.RecordBatch]):
+def _apply(span: int, columns: list[str], finish: Callable[[pa.RecordBatch, list[np.ndarray | None], list[bytes]], pa.RecordBatch]):
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        b = Block(rows_of(blocks), span)
+        b = Block(rows_of(blocks))
         mask = np.zeros(len(b.raw) + 1, np.int32)
-        told = {p: d for k, p, d in zip(*(answers.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == 1}
-        flagged = _flagged(answers)
-        if len(flagged):  # what no partition answered is still judged within the block
-            place, owner, part, which, frags = b.fragments(flagged, _flagged(answers, 2), parts, span)
-            by_part = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[by_part], np.array([*frags, 2 * parts]))
-            for (p, (frag, docs)), c0, c1 in zip(frags.items(), cuts[:-1], cuts[1:], strict=True):
-                mine = by_part[c0:c1]
-                size = np.fromiter(map(len, frag), np.int64, len(frag)) - span + 1
+        got = list(zip(*(answers.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True))
+        told = {p: d for k, p, d in got if k == 1}
+        for places in (np.frombuffer(d, _PLACE) for k, _, d in got if k == 3):
+            places = places[np.argsort(places["part"], kind="stable")]
+            cuts = np.append(np.flatnonzero(np.diff(places["part"], prepend=-1)), len(places))
+            for c0, c1 in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                mine = places[c0:c1]
+                place, k, owner = mine["at"].astype(np.int64), mine["which"].astype(np.int64), b.ids[mine["doc"]]
+                _, head = np.unique(k, return_index=True)
+                size, docs = mine["n"][head].astype(np.int64), owner[head]
+                p = int(mine["part"][0])
+                # Fragments of which nothing was told have their first document here as the smallest.
+                n, length, doc = np.zeros(len(size), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
                 if p in told:
-                    data = told[p]
-                    m = int(np.frombuffer(data, "<i8", 1)[0])
+                    data, m = told[p], len(size)
                     n = np.frombuffer(data, "<u1", m, 8).astype(np.int64)
                     length = np.frombuffer(data, "<u1", n.sum(), 8 + m).astype(np.int64)
                     doc = np.frombuffer(data, "<i8", n.sum(), 8 + m + n.sum())
-                else:
-                    n, length, doc = np.zeros(len(frag), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-                # Fragments of which nothing was told have their first document here as the smallest.
                 silent = n == 0
                 n2 = np.where(silent, 1, n)
                 at = starts_of(n2)
                 l2, d2 = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
-                l2[at[:-1][silent]], d2[at[:-1][silent]] = size[silent], np.array(docs, np.int64)[silent]
+                l2[at[:-1][silent]], d2[at[:-1][silent]] = size[silent], docs[silent]
                 full = np.ones(at[-1], bool)
                 full[at[:-1][silent]] = False
                 l2[full], d2[full] = length, doc
                 begin = starts_of(l2)[:-1] - np.repeat(starts_of(size)[:-1], n2)
-                k = which[mine]
                 reps = n2[k]
                 pick = np.repeat(at[:-1][k] - starts_of(reps)[:-1], reps) + np.arange(reps.sum())
-                gone = d2[pick] < np.repeat(owner[mine], reps)
-                x = np.repeat(place[mine], reps)[gone] + begin[pick][gone]
+                gone = d2[pick] < np.repeat(owner, reps)
+                x = np.repeat(place, reps)[gone] + begin[pick][gone]
                 np.add.at(mask, x, 1)
                 np.add.at(mask, x + l2[pick][gone] + span - 1, -1)
         gone = np.cumsum(mask[:-1]) > 0
@@ -462,7 +504,7 @@ def _apply(parts: int, span: int, columns: list[str], finish: Callable[[pa.Recor
 def ask_blocks(docs: DataFrame, span: int, part_bytes: int = 2 << 20, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Blocks, their anchors that are shared, the fragments by partition, and the number of partitions."""
     blocks, total = write_blocks(docs)
-    parts = max(8, min(1 << 20, -(-total // part_bytes)))
+    parts = max(8, min(_MOST_PARTS, -(-total // part_bytes)))
     asked = blocks.mapInArrow(_ask_anchors(parts, span), _SCHEMA)
     flagged = save(asked.groupBy("part").applyInArrow(_shared_anchors(hot), _SCHEMA), "anchors")
     cut = blocks.groupBy("block").cogroup(flagged.groupBy("block")).applyInArrow(_cut_fragments(parts, span), _SCHEMA)
@@ -473,9 +515,9 @@ def without_repeats(docs: DataFrame, span: int, finish: Callable, schema: T.Stru
     """Rows of ``docs`` after ``finish(rows, marks, texts)``; a mark has True for each byte that a smaller document repeats."""
     if not ANCHOR < span <= 128:
         raise ValueError("span must be over the anchor's length and 128 at most")
-    blocks, flagged, cut, parts = ask_blocks(docs, span, hot=hot)
+    blocks, _, cut, parts = ask_blocks(docs, span, hot=hot)
     told = save(cut.groupBy("part").applyInArrow(_judge_fragments(parts, span), _SCHEMA), "repeats")
-    return blocks.groupBy("block").cogroup(flagged.union(told).groupBy("block")).applyInArrow(_apply(parts, span, docs.columns, finish), schema)
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(span, docs.columns, finish), schema)
 
 
 def repeat_digests(docs: DataFrame, span: int = 50, hot: int = HOT) -> DataFrame:

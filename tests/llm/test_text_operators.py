@@ -167,7 +167,7 @@ def test_no_partition_holds_a_hot_anchor(spark):
     def largest(hot):
         held = Counter()
         for x in suffixes.ask_blocks(docs, 50, part_bytes=1 << 10, hot=hot)[2].collect():
-            held[x["part"]] += int(np.frombuffer(x["data"], "<i8", 1)[0])
+            held[x["part"]] += x["kind"] == 1 and int(np.frombuffer(x["data"], "<i8", 1)[0])
         return max(held.values())
 
     whole, dealt = largest(1 << 60), largest(64)
@@ -191,6 +191,16 @@ def test_cut_texts_keep_whole_characters(spark):
     assert out == {1: rows[0][1], 2: "cd", 3: None}
 
 
+def test_cut_texts_keep_their_rows_and_columns(odd_docs):
+    """Columns with clashing names stay; rows with one id and two texts do not count against each other."""
+    want = Counter(tuple(r[c] for c in odd_docs.columns if c != "text") for r in odd_docs.collect())
+    got = suffixes.remove_repeats(odd_docs, 50)
+    assert got.schema == odd_docs.schema and Counter(tuple(r[c] for c in odd_docs.columns if c != "text") for r in got.collect()) == want
+    same = "One passage of more than fifty bytes that stands in three rows of two documents."
+    rows = odd_docs.sparkSession.createDataFrame([(1, f"a {same}"), (1, f"b {same}"), (2, f"c {same}")], "doc_id long, text string")
+    assert sorted(r["text"] for r in suffixes.remove_repeats(rows, 50).collect()) == [f"a {same}", f"b {same}", "c"]
+
+
 def library():
     from tokenizers import Tokenizer
 
