@@ -143,12 +143,26 @@ class Block:
         return runs_of(np.frombuffer(self.raw, np.uint8), self.first, span)
 
 
-#: A piece of a block that a partition has to judge: first string, number of strings, document in the block, partition, and
-#: number among the distinct fragments that the block sends to that partition.
-_PLACE = np.dtype([("at", "<u4"), ("n", "u1"), ("doc", "<u4"), ("part", "<i4"), ("which", "<u4")])
-
-
-def fragments(b: Block, flagged: np.ndarray, hot: np.ndarray, parts: int, span: int) -> tuple[np.ndarray, dict[int, tuple[list[bytes], list[int], list[int]]]]:
+def _pack_places(part: np.ndarray, at: np.ndarray, n: np.ndarray, which: np.ndarray) -> bytes:
+    """Places, by partition: first string, number of strings, and number among the distinct fragments that went there."""
+    order = np.argsort(part, kind="stable")
+    parts, count = np.unique(part, return_counts=True)
+    wide = len(which) and int(which.max()) >> 16 > 0
+    head = np.array([len(parts), len(part), wide], "<i8").tobytes() + parts.astype("<i4").tobytes() + count.astype("<u4").tobytes()
+    return head + at[order].astype("<u4").tobytes() + n[order].astype("<u1").tobytes() + which[order].astype("<u4" if wide else "<u2").tobytes()
+
+
+def _places(data: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    m, k, wide = np.frombuffer(data, "<i8", 3).tolist()
+    parts, count = np.frombuffer(data, "<i4", m, 24), np.frombuffer(data, "<u4", m, 24 + 4 * m)
+    a = 24 + 8 * m
+    at, n, which = (x.astype(np.int64) for x in (np.frombuffer(data, "<u4", k, a), np.frombuffer(data, "<u1", k, a + 4 * k), np.frombuffer(data, "<u4" if wide else "<u2", k, a + 5 * k)))
+    cuts = starts_of(count.astype(np.int64)).tolist()
+    for p, x, y in zip(parts.tolist(), cuts[:-1], cuts[1:], strict=True):
+        yield p, at[x:y], n[x:y], which[x:y]
+
+
+def fragments(b: Block, flagged: np.ndarray, hot: np.ndarray, parts: int, span: int) -> tuple[bytes, dict[int, tuple[list[bytes], list[int], list[int]]]]:
     """Places of the pieces with a flagged anchor; and for each partition the distinct fragments, the first document of each and
     a part of its anchor's key. A piece is a run, or one string of a run if its anchor is hot."""
     doc, at, n, h = b.runs(span)
@@ -157,10 +171,8 @@ def fragments(b: Block, flagged: np.ndarray, hot: np.ndarray, parts: int, span:
     single = _among(key[use], hot)
     reps = np.where(single, n[use], 1)
     run, single = np.repeat(use, reps), np.repeat(single, reps)
-    places = np.zeros(len(run), _PLACE)
     at = at[run] + np.arange(len(run)) - np.repeat(starts_of(reps)[:-1], reps)
     size = np.where(single, 1, n[run])
-    places["at"], places["n"], places["doc"] = at, size, doc[run]
     part, which = np.zeros(len(run), np.int64), np.zeros(len(run), np.int64)
     sent: dict[int, tuple[list[bytes], list[int], list[int]]] = {}
     known: dict[int, dict[bytes, int]] = {}
@@ -178,8 +190,7 @@ def fragments(b: Block, flagged: np.ndarray, hot: np.ndarray, parts: int, span:
             for o, v in zip(sent[p], (f, d, t), strict=True):
                 o.append(v)
         part[i], which[i] = p, k
-    places["part"], places["which"] = part, which
-    return places, sent
+    return _pack_places(part, at, size, which), sent
 
 
 def _symbol_places(symbols: np.ndarray, at: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -378,7 +389,7 @@ def _cut_fragments(parts: int, span: int):
             return _rows([])
         places, sent = fragments(Block(rows_of(blocks)), _flagged(answers), _flagged(answers, 2), parts, span)
         number = blocks.column("block")[0].as_py()
-        rows = [(number, 3, -1 - (zlib.crc32(str(number).encode()) * parts >> 32), places.tobytes())]
+        rows = [(number, 3, -1 - (zlib.crc32(str(number).encode()) * parts >> 32), places)]
         for p, (f, d, t) in sent.items():
             n = np.array([len(f)], "<i8").tobytes()
             rows.append((number, 1, p, n + np.fromiter(map(len, f), "<u1", len(f)).tobytes() + np.array(t, "<u4").tobytes() + np.array(d, "<i8").tobytes() + b"".join(f)))
@@ -460,15 +471,11 @@ def _apply(span: int, columns: list[str], finish: Callable[[pa.RecordBatch, list
         mask = np.zeros(len(b.raw) + 1, np.int32)
         got = list(zip(*(answers.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True))
         told = {p: d for k, p, d in got if k == 1}
-        for places in (np.frombuffer(d, _PLACE) for k, _, d in got if k == 3):
-            places = places[np.argsort(places["part"], kind="stable")]
-            cuts = np.append(np.flatnonzero(np.diff(places["part"], prepend=-1)), len(places))
-            for c0, c1 in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                mine = places[c0:c1]
-                place, k, owner = mine["at"].astype(np.int64), mine["which"].astype(np.int64), b.ids[mine["doc"]]
+        for data in (d for k, _, d in got if k == 3):
+            for p, place, size, k in _places(data):
+                owner = b.ids[np.searchsorted(b.first, place, side="right") - 1]
                 _, head = np.unique(k, return_index=True)
-                size, docs = mine["n"][head].astype(np.int64), owner[head]
-                p = int(mine["part"][0])
+                size, docs = size[head], owner[head]
                 # Fragments of which nothing was told have their first document here as the smallest.
                 n, length, doc = np.zeros(len(size), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
                 if p in told:
