@@ -8,13 +8,15 @@ mandatory trigrams is searched in every text.
 
 Defined results: a null text is an empty one and has no spans; rows that share a
 ``doc_id`` share candidates and are searched each; a null ``doc_id`` is searched by
-every rule; an empty table gives an empty result; further columns are ignored.
+every rule; an empty table gives an empty result; further columns, of any name, stay
+as they are, but a column with the name of the result gives way to it.
 """
 
 from __future__ import annotations
 
 import re._constants as rc
 import re._parser as rp
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -137,38 +139,92 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return met.filter(whole).groupBy("doc_id").agg(F.sum(F.expr("shiftleft(1L, rule)")).cast("long").alias("mask"))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums, or the like, of an array of longs that are 0 or more; ``combine(x, 0)`` is x.
+
+    The array is cut into about as many chunks as a chunk has values, as each step of ``aggregate`` copies what it carries."""
+    none = F.array().cast("array<bigint>")
+
+    def along(xs: Column) -> Column:
+        zero = F.struct(F.lit(0).cast("long").alias("last"), none.alias("out"))
+
+        def step(s: Column, x: Column) -> Column:
+            v = combine(x, s["last"])
+            return F.struct(v.alias("last"), F.concat(s["out"], F.array(v)).alias("out"))
+
+        return F.aggregate(xs, zero, step, lambda s: s["out"])
+
+    def chunked(xs: Column) -> Column:
+        def with_size(c: Column) -> Column:
+            chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / c).cast("int")), lambda k: along(F.slice(xs, k * c + 1, c)))
+
+            def shifted(inner: Column) -> Column:
+                ends = along(F.transform(inner, lambda x: F.element_at(x, -1)))
+                before = F.concat(F.array(F.lit(0).cast("long")), ends)
+                return F.flatten(F.zip_with(inner, F.slice(before, 1, F.size(inner)), lambda xs, b: F.transform(xs, lambda x: combine(x, b))))
+
+            return bind(chunks, shifted)
+
+        return F.when(F.size(xs) == 0, none).otherwise(bind(F.ceil(F.sqrt(F.size(xs))).cast("int"), with_size))
+
+    return bind(values, chunked)
+
+
 def rule_spans(text: Column, rule: Rule, number: int) -> Column:
     """array<struct<start, kind, end>> of a rule's matches that are long enough; code points, end exclusive."""
     pattern = F.lit(rule.exact or rule.pattern)
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    empty = F.array().cast(_SPANS)
 
     def place(t: Column) -> Column:
         found = F.regexp_extract_all(t, pattern, F.lit(0))
-        group = F.regexp_extract_all(t, pattern, F.lit(rule.group)) if rule.group else found
         between = F.split(t, rule.exact or rule.pattern, -1)
-        rows = F.zip_with(F.slice(between, 1, F.size(found)), F.arrays_zip(found.alias("m"), group.alias("g")), lambda b, x: F.struct(F.length(b).cast("long").alias("gap"), F.length(x["m"]).cast("long").alias("size"), F.length(x["g"]).alias("part")))
-        zero = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
-        one = lambda s, x: F.array(F.struct((s["at"] + x["gap"]).alias("start"), F.lit(number).alias("kind"), (s["at"] + x["gap"] + x["size"]).alias("end")))
-        step = lambda s, x: F.struct((s["at"] + x["gap"] + x["size"]).alias("at"), F.when(x["part"] >= rule.least, F.concat(s["out"], one(s, x))).otherwise(s["out"]).alias("out"))
-        return F.aggregate(rows, zero, step, lambda s: s["out"])
+        part = [F.regexp_extract_all(t, pattern, F.lit(rule.group)).alias("part")] if rule.group else []
+
+        def spans(m: Column) -> Column:
+            steps = F.zip_with(F.slice(m["between"], 1, F.size(m["found"])), m["found"], lambda b, x: (F.length(b) + F.length(x)).cast("long"))
+            made = F.zip_with(
+                running(steps, lambda x, y: x + y),
+                F.arrays_zip(m["found"].alias("m"), m["part" if rule.group else "found"].alias("g")),
+                lambda e, x: F.when(F.length(x["g"]) >= rule.least, F.struct((e - F.length(x["m"])).alias("start"), F.lit(number).alias("kind"), e.alias("end"))),
+            )
+            return F.filter(made, lambda x: x.isNotNull()).cast(_SPANS)
+
+        return bind(F.struct(found.alias("found"), between.alias("between"), *part), spans)
 
     return F.when(F.regexp_like(text, pattern), place(text)).otherwise(empty)
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All columns of ``docs`` and ``spans``, sorted by start and kind."""
-    named = docs.select("doc_id", "text")
-    may = save(candidates(named, rules).withColumnRenamed("doc_id", "__doc"), "candidates")
+_SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores after it where ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, name: str = "spans") -> DataFrame:
+    """All columns of ``docs`` and ``name``, the spans sorted by start and kind; a column of that name gives way to it."""
+    docs = docs.drop(name)
+    key, bits = unused(docs, "candidate"), unused(docs, "mask")
+    may = save(candidates(docs.select("doc_id", "text"), rules), "candidates").select(F.col("doc_id").alias(key), F.col("mask").alias(bits))
     few = may.count() <= BROADCAST_ROWS
-    joined = docs.join(F.broadcast(may) if few else may, docs["doc_id"] == may["__doc"], "left").drop("__doc")
+    joined = docs.join(F.broadcast(may) if few else may, docs["doc_id"] == may[key], "left").drop(key)
     text = F.coalesce(F.col("text"), F.lit(""))
-    mask = F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(F.coalesce(F.col("mask"), F.lit(0).cast("long")))
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    mask = F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(F.coalesce(F.col(bits), F.lit(0).cast("long")))
+    empty = F.array().cast(_SPANS)
     parts = []
     for r, rule in enumerate(rules):
         found = rule_spans(text, rule, r)
         parts.append(F.when(mask.bitwiseAND(F.lit(1 << r)) != 0, found).otherwise(empty) if trigram_query(rule.pattern) else found)
-    return joined.withColumn("spans", F.array_sort(F.concat(*parts))).drop("mask")
+    return joined.withColumn(name, F.array_sort(F.concat(*parts))).drop(bits)
 
 
 def _listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -186,15 +242,32 @@ def secret_report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *[count(i).alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)], F.sha2(_listed(base, RULES), 256).alias("base_sha256"), _listed(s, RULES).alias("spans"))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each span, or run of overlapping spans, replaced by ``mark``."""
-    found = find_secrets(docs)
-    t, zero = F.col("text"), F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+_CHUNK = 4096
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(t, (a["at"] + 1).cast("int"), F.greatest(F.lit(0).cast("long"), s["start"] - a["at"]).cast("int"))
-        out = F.concat(a["out"], gap, F.when(s["start"] >= a["at"], F.lit(mark)).otherwise(F.lit("")))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
 
-    clean = F.aggregate("spans", zero, step, lambda a: F.concat(a["out"], F.substring(t, (a["at"] + 1).cast("int"), F.length(t))))
-    return found.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(t)).select(*docs.columns)
+def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with each span, or run of overlapping spans, replaced by ``mark``; all other columns stay, whatever their names."""
+    name = unused(docs, "spans")
+    found = find_secrets(docs, name=name)
+    t, spans = F.col("text"), F.col(name)
+
+    def piece(chunks: Column, a: Column, b: Column) -> Column:
+        """Code points a to b of the text, from its chunks, so that no piece reads the whole text."""
+        i, j = F.floor(a / _CHUNK).cast("int"), F.floor((b - 1) / _CHUNK).cast("int")
+        at = (a % _CHUNK + 1).cast("int")
+        inside = F.substring(chunks[i], at, (b - a).cast("int"))
+        across = F.concat(F.substring(chunks[i], at, F.lit(_CHUNK)), F.array_join(F.slice(chunks, i + 2, j - i - 1), ""), F.substring(chunks[j], F.lit(1), (b - j * _CHUNK).cast("int")))
+        return F.when(b <= a, F.lit("")).when(i == j, inside).otherwise(across)
+
+    def clean(chunks: Column) -> Column:
+        reach = running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+
+        def joined(ends: Column) -> Column:
+            before = F.concat(F.array(F.lit(0).cast("long")), ends)
+            parts = F.zip_with(spans, F.slice(before, 1, F.size(ends)), lambda s, a: F.when(s["start"] >= a, F.concat(piece(chunks, a, s["start"]), F.lit(mark))).otherwise(F.lit("")))
+            return F.concat(F.array_join(parts, ""), piece(chunks, F.element_at(ends, -1), F.length(t).cast("long")))
+
+        return bind(reach, joined)
+
+    whole = bind(F.regexp_extract_all(t, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)), clean)
+    return found.withColumn("text", F.when(F.size(spans) > 0, whole).otherwise(t)).select(*docs.columns)

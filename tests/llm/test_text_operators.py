@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -289,6 +290,29 @@ def test_redaction(docs):
     assert as_counter(secrets.redact(docs), "doc_id", "text") == want
 
 
+def test_redaction_keeps_clashing_columns(spark):
+    rows = [(1, "my password = hunter2hunter2hunter2 x", 5, "m", "c"), (1, "clean", 6, "n", "d"), (None, "token: 0123456789abcdef01", 7, None, "e")]
+    out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, spans int, mask string, candidate string"))
+    assert out.columns == ["doc_id", "text", "spans", "mask", "candidate"]
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == [(1, "my [SECRET] x", 5, "m", "c"), (1, "clean", 6, "n", "d"), (None, "[SECRET]", 7, None, "e")]
+
+
+def test_a_long_text_with_many_secrets(spark):
+    """100,000 hexadecimal words in one text, with overlaps and characters of more than one byte."""
+    text = " ".join(f"é{i:016x}" if i % 3 else f"token: {i:016x}" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text, 0)], "doc_id long, text string, spans int")
+    want = brute_spans(text)
+    begin = time.time()
+    got = secrets.find_secrets(docs).first()["spans"]
+    assert [tuple(x) for x in got] == want
+    out, at = [], 0
+    for a, _, b in want:
+        out.append(text[at:a] + "[SECRET]" if a >= at else "")
+        at = max(at, b)
+    assert secrets.redact(docs).first()["text"] == "".join(out) + text[at:]
+    assert time.time() - begin < 60
+
+
 def test_trigram_queries():
     q = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
     assert q["hex"] == [] and q["access"] == [{frozenset(["aki", "kia"])}]
