@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import slices, starts_of, texts_of
 
-#: Words and chunks remembered by a worker; more only costs a new start of the memory.
-REMEMBERED = 400_000
+#: Words and chunks remembered by a worker, and the longest of them in bytes; more only costs a new start of the memory.
+REMEMBERED, LONGEST = 400_000, 64
 
 
 def read_file(spark: SparkSession, path: str) -> str:
@@ -52,6 +53,11 @@ def byte_symbols() -> list[str]:
     return out
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordBPE:
     """A word-level BPE vocabulary whose merged tokens are numbered in merge order."""
 
@@ -60,7 +66,7 @@ class WordBPE:
         model = j["model"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
         vocab: dict[str, int] = model["vocab"]
-        self.special = {t["content"]: t["id"] for t in j.get("added_tokens", [])}
+        self.special = self.added(j)
         self.strings = {i: s for s, i in (vocab | self.special).items()}
         shown = byte_symbols()
         # One character stands for each symbol: a byte, or a byte that ends a word.
@@ -93,10 +99,21 @@ class WordBPE:
         self.fits: dict[tuple[int, int], bool] = {}
         split = next(p["pattern"]["Regex"] for p in j["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words_in = regex.compile(split).findall
-        self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        self.cut = self.cutter(self.special)
         self.words: dict[str, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
 
+    @staticmethod
+    def added(j: dict) -> dict[str, int]:
+        special = {t["content"]: t["id"] for t in j.get("added_tokens", [])}
+        if any(s.split() != [s] for s in special):
+            raise ValueError("added tokens must not hold white space, which cuts texts into chunks")
+        return special
+
+    @staticmethod
+    def cutter(special: dict[str, int]) -> regex.Pattern | None:
+        return regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
+
     def _pack(self, s: str) -> str:
         if self.suffix and s.endswith(self.suffix) and s != self.suffix:
             s = s[: -len(self.suffix)]
@@ -164,12 +181,17 @@ class WordBPE:
         if got is None:
             b = word.encode()
             s = b.decode("latin-1")
-            got = np.array(self.encode_symbols(s[:-1] + self.end_of[s[-1]] if self.suffix else s), "<u4").tobytes()
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = got
+            got = packed_ids(self.encode_symbols(s[:-1] + self.end_of[s[-1]] if self.suffix else s))
+            self.remember(self.words, word, got)
         return got
 
+    @staticmethod
+    def remember(known: dict, key: str | bytes, ids: bytes) -> None:
+        if len(key) <= LONGEST:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[key] = ids
+
     def _normal(self, s: str) -> list[str]:
         s = unicodedata.normalize("NFC", s)
         s = "".join(c.lower() for c in s) if "Σ" in s else s.lower()
@@ -179,27 +201,26 @@ class WordBPE:
         """Ids of a run of text without ASCII white space, as little-endian 32-bit integers."""
         s = chunk.decode()
         out, at = [], 0
-        if self.cut is not None and "<" in s:
+        if self.cut is not None and self.cut.search(s):
             for m in self.cut.finditer(s):
                 out += map(self.encode_word, self._normal(s[at : m.start()]))
-                out.append(np.array([self.special[m[0]]], "<u4").tobytes())
+                out.append(packed_ids([self.special[m[0]]]))
                 at = m.end()
         out += map(self.encode_word, self._normal(s[at:] if at else s))
         return b"".join(out)
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a whole text. White space ends words in every rule, so chunks are independent."""
-        known = self.chunks
-        out = []
-        for c in text.split():
-            got = known.get(c)
-            if got is None:
-                got = self.encode_chunk(c)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(c) <= 64:
-                    known[c] = got
-            out.append(got)
+        known, chunks = self.chunks, text.split()
+        out = list(map(known.get, chunks))
+        if None in out:
+            for i, c in enumerate(chunks):
+                if out[i] is None:
+                    got = known.get(c)
+                    if got is None:
+                        got = self.encode_chunk(c)
+                        self.remember(known, c, got)
+                    out[i] = got
         return b"".join(out)
 
     @property

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import REMEMBERED, WordBPE
+from ledgerloom.llm.bpe import WordBPE, packed_ids
 from ledgerloom.llm.store import save
 from ledgerloom.llm.words import slices, texts_of
 
@@ -51,18 +51,16 @@ class LibraryEncoder(WordBPE):
 
         with open(path, encoding="utf-8") as f:
             j = json.load(f)
-        self.special = {t["content"]: t["id"] for t in j["added_tokens"]}
+        self.special = self.added(j)
         self.words_in = regex.compile(next(p["pattern"]["Regex"] for p in j["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")).findall
-        self.cut = regex.compile("|".join(map(regex.escape, self.special)))
+        self.cut = self.cutter(self.special)
         self.words, self.chunks = {}, {}
 
     def encode_word(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
-            got = np.array([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.shown))], "<u4").tobytes()
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = got
+            got = packed_ids([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.shown))])
+            self.remember(self.words, word, got)
         return got
 
 
@@ -72,19 +70,19 @@ def library_encoder(path: str) -> LibraryEncoder:
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """part, before (tokens before the row in its partition), doc_id, n, ids as little-endian 16-bit integers."""
+    """part, before (tokens before the row in its partition), doc_id, n, ids as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part, before = library_encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = packed_ids([end_id])
         for whole in batches:
             for b in slices(whole, "text"):
-                ids = [np.frombuffer(model.encode(t) + end, "<u4") for t in texts_of(b.column("text"))]
-                n = np.fromiter(map(len, ids), np.int64, len(ids))
+                ids = [model.encode(t) + end for t in texts_of(b.column("text"))]
+                n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 at = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), part, np.int64)), pa.array(at), b.column("doc_id"), pa.array(n), pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())],
+                    [pa.array(np.full(len(n), part, np.int64)), pa.array(at), b.column("doc_id"), pa.array(n), pa.array(ids, pa.binary())],
                     ["part", "before", "doc_id", "n", "ids"],
                 )
 
@@ -103,13 +101,12 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1) -> Dat
         for whole in batches:
             for b in slices(whole, "ids"):
                 out: list[list] = [[] for _ in names]
-                for doc, n, at, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "at", "ids")), strict=True):
-                    ids = np.frombuffer(raw, "<u2").astype("<u4")
+                for doc, n, at, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "at", "ids")), strict=True):
                     start = 0
                     while start < n:
                         sequence, offset = divmod(at + start, window)
                         size = min(n - start, window - offset)
-                        piece = ids[start : start + size].tobytes()
+                        piece = ids[4 * start : 4 * (start + size)]
                         for o, v in zip(out, (doc, start, size, zlib.crc32(piece), n, sequence, offset, piece), strict=True):
                             o.append(v)
                         start += size
