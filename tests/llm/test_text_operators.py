@@ -60,6 +60,53 @@ def test_line_labels_agree_with_all_paths():
         assert list(crf.decode(ids, np.zeros(n, int))) == list(best)
 
 
+def line_features(text):
+    """Words and feature numbers of each line with a word, read off one line at a time."""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    hit = {k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)}
+    out, at, known = [], 0, set()
+    for line in text.split("\n"):
+        w = WORD.findall(line)
+        if not w:
+            continue
+        chars = sum(map(len, w))
+        value = {k: sum(x in v for x in line.encode()) / chars for k, v in quality._CLASSES.items()}
+        value["words"], value["wordlen"], value["seen"] = len(w), chars / len(w), line in known
+        value["repeats"] = sum(k in hit for k in range(at, at + len(w))) / len(w)
+        value["echo"] = sum(a == b for a, b in zip(w, w[1:])) / len(w)
+        value["notice"] = bool(re.search("(?<![a-z0-9\x80-\U0010ffff])(" + "|".join(x.decode() for x in quality._NOTICE) + ")(?![a-z0-9\x80-\U0010ffff])", re.sub("[A-Z]", lambda m: m[0].lower(), line)))
+        out.append((len(w), [0, *[quality._OFFSETS[k] + sum(value[k] >= x for x in bands) for k, bands in quality._BANDS.items()]]))
+        at += len(w)
+        known.add(line)
+    return out
+
+
+def test_quality_verdicts_by_brute_force(docs, spark):
+    """``kept`` and ``content_words`` of every row, from the trained weights, with lines read and decoded one at a time."""
+    labels = table(spark, SMALL, "labels")
+    crf = quality.train(docs, labels, 60)
+    want = Counter()
+    for d, t in rows_of(docs):
+        lines, score, back = line_features(t or ""), None, []
+        for _, ids in lines:
+            e = crf.weights[ids].sum(0)
+            if score is None:
+                score = list(e)
+            else:
+                back.append([max((1, 0), key=lambda a: score[a] + crf.moves[a, b]) for b in (0, 1)])  # noqa: B023
+                score = [score[back[-1][b]] + crf.moves[back[-1][b], b] + e[b] for b in (0, 1)]
+        label = [max((1, 0), key=lambda a: score[a])] if lines else []  # noqa: B023
+        for step in reversed(back):
+            label.append(step[label[-1]])
+        content = sum(n for (n, _), x in zip(lines, reversed(label), strict=True) if x)
+        words = sum(n for n, _ in lines)
+        want[d, content, content >= 0.5 * words] += 1
+    got = quality.quality_rules(docs, labels, train_docs=60).collect()
+    assert Counter((r["doc_id"], r["content_words"], r["content_words"] >= 0.5 * r["n_words"]) for r in got) == want
+    assert all(r["kept"] == (not r["base_failed"] and r["content_words"] >= 0.5 * r["n_words"]) for r in got)
+
+
 def test_quality_verdicts_hold_out(spark):
     d = "/root/testdata/sf0.01"
     got = quality.quality_rules(table(spark, d, "documents"), table(spark, d, "labels"), train_docs=200)
@@ -69,6 +116,43 @@ def test_quality_verdicts_hold_out(spark):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.2
 
 
+def test_lines_of_one_text_get_mixed_labels(spark):
+    """Menus and decorated lines set between the two halves of good texts are boilerplate; the prose round them is content."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    crf = quality.train(docs, labels, 200)
+    texts = [r["text"] for r in docs.join(labels.filter("quality = 1"), "doc_id").orderBy("doc_id").collect() if 6 <= len(r["text"].split("\n")) <= 40 and len(set(r["text"].split("\n"))) == len(r["text"].split("\n"))][:60]
+    menu = ["Home | Products | Login | Cart | *** | Help", "# Search $$$ | <<< | About & Jobs | ###", "** Sign in ** | Menu | >>> | Next & Last |"]
+    right = total = mixed = 0
+    for t in texts:
+        lines = t.split("\n")
+        half = len(lines) // 2
+        _, doc, _, ids = quality.measure(["\n".join([*lines[:half], *menu, *lines[half:]]).encode()])
+        label = crf.decode(ids, doc)
+        want = np.array([1] * half + [0] * 3 + [1] * (len(lines) - half))
+        right, total, mixed = right + (label == want).sum(), total + len(want), mixed + (0 < label.sum() < len(label))
+    assert len(texts) > 20 and mixed > 0.9 * len(texts) and right > 0.9 * total, (len(texts), mixed, right, total)
+
+
+def test_marginals_agree_with_all_paths():
+    r = np.random.default_rng(4)
+    crf = quality.LineCRF(r.normal(size=(quality.N_FEATURES, 2)), r.normal(size=(2, 2)))
+    doc = np.repeat([0, 1, 2, 3], [1, 4, 7, 2])
+    ids = r.integers(0, quality.N_FEATURES, (len(doc), 3)).astype(np.int32)
+    p, q = crf.marginals(ids, doc)
+    e, row = crf.weights[ids].sum(1), 0
+    for k in range(4):
+        at = np.flatnonzero(doc == k)
+        paths = [(z >> np.arange(len(at))) & 1 for z in range(2 ** len(at))]
+        weight = np.exp([sum(e[i, x] for i, x in zip(at, z)) + sum(crf.moves[a, b] for a, b in zip(z, z[1:])) for z in paths])
+        weight /= weight.sum()
+        for j, i in enumerate(at):
+            assert np.isclose(p[i, 1], sum(w for w, z in zip(weight, paths) if z[j]))
+            if j:
+                assert np.isclose(q[row, 1, 0], sum(w for w, z in zip(weight, paths) if z[j - 1] == 1 and z[j] == 0))
+                row += 1
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(docs, k):
     def shingles(t):
