@@ -9,7 +9,7 @@ key that stands in every document is asked once a block, not once a row.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -21,33 +21,46 @@ from ledgerloom.llm.store import shared_dir
 from ledgerloom.llm.words import slices
 
 
+#: The most buckets that Spark lets a table have.
+MOST_BUCKETS = 100_000
+
+
 def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long") + 16), F.lit(0))).first()[0]
 
 
-def write_blocks(docs: DataFrame, size: int = 2 << 20, per_bucket: int = 8 << 20) -> tuple[DataFrame, int]:
-    """(block, rows) with all columns of ``docs`` in ``rows``, and the total bytes of text."""
+def write_packed(docs: DataFrame, pack: Callable[[pa.RecordBatch], list[pa.Array]], fields: T.StructType, size: int = 2 << 20, per_bucket: int = 8 << 20) -> tuple[DataFrame, int]:
+    """One row for each block of about ``size`` bytes of text, with its number ``block`` and what ``pack`` makes of it; and the
+    total bytes of text. Past 800 GB a bucket, which is a task's work, holds more blocks; a block and what it asks do not grow."""
     total = text_bytes(docs)
-    buckets = max(1, min(50_000, -(-total // per_bucket)))
-    names = docs.columns
+    buckets = max(1, min(MOST_BUCKETS, -(-total // per_bucket)))
+    names = ["block", *fields.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for whole in batches:
             for b in slices(whole, "text", size):
-                rows = pa.StructArray.from_arrays(b.columns, names)
-                offsets = pa.array([0, b.num_rows], pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.ListArray.from_arrays(offsets, rows)], ["block", "rows"])
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *pack(b)], names)
                 number += 1
 
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])))])
-    blocks = docs.mapInArrow(run, schema)
+    blocks = docs.mapInArrow(run, T.StructType([T.StructField("block", T.LongType()), *fields]))
     name = f"ledgerloom_blocks_{uuid.uuid4().hex}"
     spark = docs.sparkSession
     blocks.write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/blocks").saveAsTable(name)
     return spark.table(name), total
 
 
+def write_blocks(docs: DataFrame, size: int = 2 << 20, per_bucket: int = 8 << 20) -> tuple[DataFrame, int]:
+    """(block, rows) with all columns of ``docs`` in ``rows``, and the total bytes of text."""
+    names = docs.columns
+
+    def pack(b: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), pa.StructArray.from_arrays(b.columns, names))]
+
+    rows = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema]))
+    return write_packed(docs, pack, T.StructType([T.StructField("rows", rows)]), size, per_bucket)
+
+
 def rows_of(table: pa.Table) -> pa.RecordBatch:
     """The rows of the one block in a group's table."""
     flat = table.column("rows").combine_chunks()

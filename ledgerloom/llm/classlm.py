@@ -1,14 +1,18 @@
 """Class-based bigrams: P(w | v) = P(class of w | class of v) * P(w | class of w).
 
-Words are clustered by exchange. The most frequent words are exchanged one at a
-time, on exact corpus-wide bigram counts, until no move helps. All other words,
-however rare, are then moved at once to the class that their own neighbours make
-likeliest, under corpus-wide class counts, and everything is counted anew; this
-is done ``passes`` times. Nothing about a word is left out: each block of rows
-asks hash partitions with its merged counts and gets answers in the same order.
+Words are clustered by exchange. The ``head`` most frequent words are exchanged one at
+a time, on exact corpus-wide bigram counts, until no move helps; that seeds the
+classes. From there on all words are exchanged in batches: each moves to the class
+that its own neighbours make likeliest under the corpus-wide class counts, everything
+is counted anew, and a further batch follows for as long as the likelihood of the
+training tokens rises by ``gain`` of itself; a batch that lowers it is not taken.
+Texts are cut into words once; each block then asks hash partitions with its merged
+counts and gets answers in the same order, so nothing about a word is left out.
 
 Transitions are smoothed by the classes' shares; emissions by absolute discounting,
-whose mass goes to unknown words, and after an unknown word the shares hold.
+whose mass goes to unknown words, and after an unknown word the shares hold. All
+unknown words are one outcome, as they are in the base score, so both sum to one over
+the known words and that outcome.
 
 Defined results: a null text is an empty one and is its end token alone; a null
 ``doc_id`` trains; repeated rows count each; with no training rows every token is
@@ -19,18 +23,22 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.llm.blocks import rows_of, write_blocks
+from ledgerloom.llm.blocks import write_packed
 from ledgerloom.llm.store import save
 from ledgerloom.llm.words import U64, hash_words, starts_of, texts_of
 
 CLASSES, HEAD, STRENGTH = 48, 400, 20.0
+#: Batches go on while each raises the likelihood by this part of itself.
+GAIN = 1e-3
 #: Class 0 holds the end token alone; the class after the others is "not clustered yet".
 _NAMES = ["block", "kind", "part", "data"]
 _SCHEMA = "block long, kind int, part int, data binary"
@@ -45,11 +53,10 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], _NAMES)
 
 
-class Tokens:
-    """A block's tokens as numbers of its distinct words, which are sorted by hash and so by partition."""
+def _cut_words(modulus: int, remainder: int):
+    """A block's ids, held-out marks, tokens of each row, and tokens as numbers of its distinct words, sorted by hash."""
 
-    def __init__(self, rows: pa.RecordBatch, parts: int, modulus: int, remainder: int):
-        self.rows = rows
+    def pack(rows: pa.RecordBatch) -> list[pa.Array]:
         words: list[bytes] = []
         size = []
         for t in texts_of(rows.column("text")):
@@ -57,19 +64,34 @@ class Tokens:
             words += w
             words.append(b"")
             size.append(len(w) + 1)
-        self.first = starts_of(np.array(size, np.int64))
-        h = hash_words(words) if words else np.zeros(0, U64)
-        codes, uniques = pd.factorize(h)
+        codes, uniques = pd.factorize(hash_words(words) if words else np.zeros(0, U64))
         order = np.argsort(uniques)
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), "<u4")
         rank[order] = np.arange(len(order))
-        self.hash, self.token = uniques[order], rank[codes]
-        out = np.array([held_out(d, modulus, remainder) for d in rows.column("doc_id").to_pylist()], bool)
-        self.held_out = out
-        self.train = np.repeat(~out, size)
-        part = ((self.hash >> U64(40)) * U64(parts)) >> U64(24)
-        self.cuts = np.searchsorted(part, np.arange(parts + 1, dtype=U64))
-        self.parts = [p for p in range(parts) if self.cuts[p + 1] > self.cuts[p]]
+        out = np.array([held_out(d, modulus, remainder) for d in rows.column("doc_id").to_pylist()], "u1")
+        ids = pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("doc_id"))
+        return [ids, *[pa.array([x], pa.binary()) for x in (out.tobytes(), np.array(size, "<i8").tobytes(), rank[codes].tobytes(), uniques[order].astype("<u8").tobytes())]]
+
+    return pack
+
+
+_PACKED = T.StructType([T.StructField("doc_id", T.ArrayType(T.LongType())), *[T.StructField(c, T.BinaryType()) for c in ("held_out", "size", "token", "hash")]])
+
+
+class Tokens:
+    """A block's tokens as numbers of its distinct words, which are sorted by hash and so by partition."""
+
+    def __init__(self, row: pa.Table, parts: int):
+        self.doc_id = row.column("doc_id").combine_chunks().flatten()
+        out, size, self.token, self.hash = (np.frombuffer(row.column(c)[0].as_py(), t) for c, t in (("held_out", "u1"), ("size", "<i8"), ("token", "<u4"), ("hash", "<u8")))
+        self.token = self.token.astype(np.int64)
+        self.first = starts_of(size)
+        self.held_out = out.astype(bool)
+        self.train = np.repeat(~self.held_out, size)
+        part = (((self.hash >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64)
+        at = np.flatnonzero(np.diff(part, prepend=-1))
+        #: (partition, from, to) of the block's words.
+        self.parts = list(zip(part[at].tolist(), at.tolist(), np.append(at, len(part))[1:].tolist(), strict=True))
         self.counts = np.bincount(self.token[self.train], minlength=len(self.hash))
 
     def before(self, values: np.ndarray, start: int) -> np.ndarray:
@@ -81,17 +103,17 @@ class Tokens:
 
     def answers(self, table: pa.Table, kind: int, dtype: str) -> np.ndarray:
         got = {p: d for k, p, d in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True) if k == kind}
-        return np.concatenate([np.frombuffer(got[p], dtype) for p in self.parts]) if self.parts else np.zeros(0, dtype)
+        return np.concatenate([np.frombuffer(got[p], dtype) for p, _, _ in self.parts]) if self.parts else np.zeros(0, dtype)
 
 
-def _ask_counts(parts: int, split: tuple[int, int]):
+def _ask_counts(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 one = pa.Table.from_batches([batch.slice(i, 1)])
-                t = Tokens(rows_of(one), parts, *split)
+                t = Tokens(one, parts)
                 block = one.column("block")[0].as_py()
-                rows = [(block, 0, p, t.hash[a:b].astype("<u8").tobytes() + t.counts[a:b].astype("<u4").tobytes()) for p in t.parts for a, b in [t.cuts[p : p + 2]]]
+                rows = [(block, 0, p, t.hash[a:b].tobytes() + t.counts[a:b].astype("<u4").tobytes()) for p, a, b in t.parts]
                 yield from _table(rows).to_batches()
 
     return run
@@ -116,7 +138,7 @@ def _count(head: int):
     return run
 
 
-def _pair_counts(parts: int, split: tuple[int, int], words: np.ndarray):
+def _pair_counts(parts: int, words: np.ndarray):
     """Bigram counts among the frequent words; all others count as one further word. One row a task and first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +148,7 @@ def _pair_counts(parts: int, split: tuple[int, int], words: np.ndarray):
         end = int(np.flatnonzero(words == hash_words([b""])[0])[0]) if len(words) else 0
         for batch in batches:
             for i in range(batch.num_rows):
-                t = Tokens(rows_of(pa.Table.from_batches([batch.slice(i, 1)])), parts, *split)
+                t = Tokens(pa.Table.from_batches([batch.slice(i, 1)]), parts)
                 at = np.minimum(np.searchsorted(words[order], t.hash), n - 2)
                 number = np.where(words[order][at] == t.hash, order[at], n - 1)[t.token]
                 total += np.bincount((t.before(number, end) * n + number)[t.train], minlength=n * n).reshape(n, n)
@@ -136,11 +158,11 @@ def _pair_counts(parts: int, split: tuple[int, int], words: np.ndarray):
     return run
 
 
-def _class_pairs(parts: int, split: tuple[int, int], classes: int):
+def _class_pairs(parts: int, classes: int):
     """Bigram counts of classes, with words and tokens of each class; one row for each block and first class."""
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        t = Tokens(rows_of(blocks), parts, *split)
+        t = Tokens(blocks, parts)
         c = t.answers(answers, 1, "u1").astype(np.int64)[t.token]
         n = classes + 1
         total = np.bincount((t.before(c, 0) * n + c)[t.train], minlength=n * n).reshape(n, n)
@@ -150,13 +172,15 @@ def _class_pairs(parts: int, split: tuple[int, int], classes: int):
 
 
 def _summed(rows: DataFrame) -> DataFrame:
-    """Vectors of counts summed by ``part``, in two steps, so that no group grows with the input."""
+    """Vectors of counts summed by ``part``, first by groups of about 4,096 blocks, so that no group grows with the input past
+    millions of blocks."""
 
     def add(table: pa.Table) -> pa.Table:
         total = np.sum([np.frombuffer(d, "<i8") for d in table.column("data").to_pylist()], axis=0)
         return _table([(None, 0, table.column("part")[0].as_py(), total.astype("<i8").tobytes())])
 
-    return rows.groupBy("part", F.pmod(F.xxhash64("block", "data"), F.lit(64))).applyInArrow(add, _SCHEMA).groupBy("part").applyInArrow(add, _SCHEMA)
+    rows = rows.withColumn("group", F.shiftright(F.xxhash64("block", "data"), 52))
+    return rows.groupBy("part", "group").applyInArrow(add, _SCHEMA).groupBy("part").applyInArrow(add, _SCHEMA)
 
 
 def _matrix(rows: DataFrame, n: int) -> np.ndarray:
@@ -176,10 +200,11 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(pairs: np.ndarray, end: int, classes: int, rounds: int = 12) -> np.ndarray:
+def exchange(pairs: np.ndarray, end: int, classes: int, rounds: int = 100) -> np.ndarray:
     """Classes 1.. of words numbered by falling frequency, from exact bigram counts; the last number stands for all other words.
 
-    Each word in turn goes to the class with the best likelihood of the class bigrams; it stops when a round moves none."""
+    Each word in turn goes to the class with the best likelihood of the class bigrams; it stops when a round moves none, or none
+    but those that gains lost in rounding move to and fro."""
     n = len(pairs) - 1
     of = np.array([1 + i % (classes - 1) for i in range(n)] + [classes])
     if n:
@@ -205,6 +230,8 @@ def exchange(pairs: np.ndarray, end: int, classes: int, rounds: int = 12) -> np.
             gain += _xlogx(diag + nxt + prv + own) - _xlogx(diag + nxt) - _xlogx(diag + prv) + _xlogx(diag)
             gain -= _xlogx(row + nxt.sum() + own) - _xlogx(row) + _xlogx(col + prv.sum() + own) - _xlogx(col)
             best = 1 + int(np.argmax(gain[1:classes]))
+            if gain[best] <= gain[of[w]] + 1e-9 * abs(gain[best]):
+                best = of[w]
             moved += best != of[w]
             of[w] = best
             m[best] += nxt
@@ -215,11 +242,11 @@ def exchange(pairs: np.ndarray, end: int, classes: int, rounds: int = 12) -> np.
     return of[:n]
 
 
-def _contexts(parts: int, split: tuple[int, int], words: np.ndarray | None, of: np.ndarray | None, classes: int):
+def _contexts(parts: int, words: np.ndarray | None, of: np.ndarray | None, classes: int):
     """To the partitions, for each distinct word of a block the classes of its neighbours in training rows."""
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        t = Tokens(rows_of(blocks), parts, *split)
+        t = Tokens(blocks, parts)
         if words is None:
             c = t.answers(answers, 1, "u1").astype(np.int64)
         else:
@@ -236,12 +263,11 @@ def _contexts(parts: int, split: tuple[int, int], words: np.ndarray | None, of:
         code, count = np.unique(code, return_counts=True)
         word, what = code // (2 * n), (code % (2 * n)).astype("u1")
         entries = np.bincount(word, minlength=len(t.hash)).astype("u1")
-        at = np.searchsorted(word, t.cuts)
+        at = np.searchsorted(word, np.array([a for _, a, _ in t.parts] + [len(t.hash)]))
         block = blocks.column("block")[0].as_py()
         rows = []
-        for p in t.parts:
-            (a, b), (x, y) = t.cuts[p : p + 2], at[p : p + 2]
-            rows.append((block, 7, p, np.array([b - a], "<i8").tobytes() + t.hash[a:b].astype("<u8").tobytes() + entries[a:b].tobytes() + what[x:y].tobytes() + count[x:y].astype("<u4").tobytes()))
+        for (p, a, b), x, y in zip(t.parts, at[:-1], at[1:], strict=True):
+            rows.append((block, 7, p, np.array([b - a], "<i8").tobytes() + t.hash[a:b].tobytes() + entries[a:b].tobytes() + what[x:y].tobytes() + count[x:y].astype("<u4").tobytes()))
         return _table(rows)
 
     return run
@@ -288,11 +314,11 @@ def _assign(m: np.ndarray, classes: int):
     return run
 
 
-def _score(parts: int, split: tuple[int, int], totals: tuple[int, int, float], m: np.ndarray | None, sizes: np.ndarray | None, classes: int):
+def _score(parts: int, totals: tuple[int, int, float], m: np.ndarray | None, sizes: np.ndarray | None, classes: int):
     tokens, types, discount = totals
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        t = Tokens(rows_of(blocks), parts, *split)
+        t = Tokens(blocks, parts)
         count = t.answers(answers, 0, "<i8")
         doc = np.repeat(np.arange(len(t.first) - 1), np.diff(t.first))
         base = np.log10((count + 1) / (tokens + types + 1))
@@ -317,29 +343,40 @@ def _score(parts: int, split: tuple[int, int], totals: tuple[int, int, float], m
             ok = known[t.token]
             score = add(np.where(ok, move[before, np.where(ok, state, 0)] + emit[t.token], unknown[before]))
         n = np.diff(t.first)
-        cols = [t.rows.column("doc_id"), pa.array(t.held_out), pa.array(n), pa.array(add(known[t.token]).astype(np.int64)), pa.array(np.full(len(n), tokens)), pa.array(base_score), pa.array(score), pa.array(10 ** (-score / n))]
+        cols = [t.doc_id, pa.array(t.held_out), pa.array(n), pa.array(add(known[t.token]).astype(np.int64)), pa.array(np.full(len(n), tokens)), pa.array(base_score), pa.array(score), pa.array(10 ** (-score / n))]
         return pa.table(cols, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
     return run
 
 
-def class_lm_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, classes: int = CLASSES, head: int = HEAD, passes: int = 2, part_bytes: int = 4 << 20) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity of each row.
+def likelihood(m: np.ndarray) -> float:
+    """Log-likelihood of the class bigrams, and of words in their classes but for what no clustering changes."""
+    return float(_xlogx(m).sum() - _xlogx(m.sum(0)).sum() - _xlogx(m.sum(1)).sum())
 
-    Rows whose crc32 of the id, modulo ``modulus``, is ``remainder`` are held out from all counts."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    split = (modulus, remainder)
-    blocks, total = write_blocks(docs)
-    parts = max(8, min(1 << 20, -(-total // part_bytes)))
-    counted = save(blocks.mapInArrow(_ask_counts(parts, split), _SCHEMA).groupBy("part").applyInArrow(_count(head), _SCHEMA), "counts")
+
+class ClassModel(NamedTuple):
+    blocks: DataFrame
+    parts: int
+    totals: tuple[int, int, float]
+    #: Counts (kind 0) and classes (kind 1) of each block's words, by partition.
+    answers: DataFrame
+    moves: np.ndarray | None
+    sizes: np.ndarray | None
+    #: The likelihood after each batch.
+    rises: list[float]
+
+
+def train_classes(docs: DataFrame, modulus: int, remainder: int, classes: int, head: int, passes: int, gain: float, part_bytes: int) -> ClassModel:
+    blocks, total = write_packed(docs, _cut_words(modulus, remainder), _PACKED)
+    parts = max(8, min(1 << 30, -(-total // part_bytes)))
+    counted = save(blocks.mapInArrow(_ask_counts(parts), _SCHEMA).groupBy("part").applyInArrow(_count(head), _SCHEMA), "counts")
     counts = counted.filter("kind = 0")
     tokens, types, once, twice = (int(x) for x in _total(counted, 2, 4))
     discount = once / (once + 2 * twice) if once else 0.5
     totals = (tokens, types, min(0.9, max(0.1, discount)))
-    grouped = blocks.groupBy("block")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
     if not tokens:
-        return grouped.cogroup(counts.groupBy("block")).applyInArrow(_score(parts, split, totals, None, None, classes), schema)
+        return ClassModel(blocks, parts, totals, counts, None, None, [])
+    grouped = blocks.groupBy("block")
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -353,19 +390,39 @@ def class_lm_scores(docs: DataFrame, modulus: int = 7, remainder: int = 2, class
     if end not in words:
         words = np.append(words, end)
     at_end = int(np.flatnonzero(words == end)[0])
-    pairs = _matrix(blocks.mapInArrow(_pair_counts(parts, split, words), _SCHEMA), len(words) + 1)
+    pairs = _matrix(blocks.mapInArrow(_pair_counts(parts, words), _SCHEMA), len(words) + 1)
     of = exchange(pairs.astype(float), at_end, classes)
     n = classes + 1
     m = np.zeros((n, n))
     full = np.append(of, classes)
     np.add.at(m, (full[:, None], full[None, :]), pairs)
-    assigned = None
+    taken: tuple[DataFrame, np.ndarray, np.ndarray] | None = None
+    rises: list[float] = []
     for i in range(passes):
-        known = counts if assigned is None else assigned
-        asked = grouped.cogroup(known.groupBy("block")).applyInArrow(_contexts(parts, split, *((words, of) if assigned is None else (None, None)), classes), _SCHEMA)
+        known = counts if taken is None else taken[0]
+        asked = grouped.cogroup(known.groupBy("block")).applyInArrow(_contexts(parts, *((words, of) if taken is None else (None, None)), classes), _SCHEMA)
         told = save(asked.groupBy("part").applyInArrow(_assign(m, classes), _SCHEMA), f"classes_{i}")
         assigned = told.filter("kind = 1")
         # Distinct training words of each class, and bigrams of classes.
         sizes = _total(told, 6, n).astype(float)
-        m = _matrix(grouped.cogroup(assigned.groupBy("block")).applyInArrow(_class_pairs(parts, split, classes), _SCHEMA), n).astype(float)
-    return grouped.cogroup(counts.union(assigned).groupBy("block")).applyInArrow(_score(parts, split, totals, m, sizes, classes), schema)
+        new = _matrix(grouped.cogroup(assigned.groupBy("block")).applyInArrow(_class_pairs(parts, classes), _SCHEMA), n).astype(float)
+        rises.append(likelihood(new))
+        if len(rises) > 1 and rises[-1] < rises[-2]:
+            break
+        taken, m = (assigned, new, sizes), new
+        if len(rises) > 1 and rises[-1] - rises[-2] < gain * abs(rises[-2]):
+            break
+    return ClassModel(blocks, parts, totals, counts.union(taken[0]), taken[1], taken[2], rises)
+
+
+def class_lm_scores(
+    docs: DataFrame, modulus: int = 7, remainder: int = 2, classes: int = CLASSES, head: int = HEAD, passes: int = 50, gain: float = GAIN, part_bytes: int = 4 << 20
+) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity of each row.
+
+    Rows whose crc32 of the id, modulo ``modulus``, is ``remainder`` are held out from all counts."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    model = train_classes(docs, modulus, remainder, classes, head, passes, gain, part_bytes)
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
+    score = _score(model.parts, model.totals, model.moves, model.sizes, classes)
+    return model.blocks.groupBy("block").cogroup(model.answers.groupBy("block")).applyInArrow(score, schema)

@@ -32,6 +32,47 @@ def test_class_lm_base_figures(docs):
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
 
 
+def test_class_lm_score_by_brute_force(docs):
+    """Counts, transitions, emissions and scores anew from the words' classes; both scores sum to one over known words and one unknown."""
+    import pyarrow as pa
+
+    rows = [(r["doc_id"], [*(w.encode() for w in WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))), b""]) for r in docs.select("doc_id", "text").collect()]
+    model = classlm.train_classes(docs.select(docs["doc_id"].cast("long"), "text"), 7, 2, classlm.CLASSES, classlm.HEAD, 50, classlm.GAIN, 1 << 16)
+    told = {(r["block"], r["part"]): r["data"] for r in model.answers.filter("kind = 1").collect()}
+    of = {}
+    for r in model.blocks.toArrow().to_pylist():
+        one = pa.Table.from_pylist([r], schema=model.blocks.limit(0).toArrow().schema)
+        t = classlm.Tokens(one, model.parts)
+        for part, a, b in t.parts:
+            of.update(zip(t.hash[a:b].tolist(), told[r["block"], part], strict=True))
+    cls = {w: of[int(h)] for w in {w for _, ws in rows for w in ws} for h in classlm.hash_words([w])}
+    train = [ws for d, ws in rows if not classlm.held_out(d, 7, 2)]
+    count = Counter(w for ws in train for w in ws)
+    m = Counter((cls[v], cls[w]) for ws in train for v, w in zip([b"", *ws], ws))
+    tokens, kinds = Counter(cls[w] for ws in train for w in ws), Counter(cls[w] for w in count)
+    before = Counter()
+    for (a, _), n in m.items():
+        before[a] += n
+    once, twice = (sum(n == k for n in count.values()) for k in (1, 2))
+    d = {c: 0.0 if c == 0 else min(0.9, max(0.1, once / (once + 2 * twice))) for c in tokens}
+    total = sum(tokens.values())
+    move = lambda a, c: tokens[c] / total if a is None else (m[a, c] + classlm.STRENGTH * tokens[c] / total) / (before[a] + classlm.STRENGTH)
+    emit = lambda w: (count[w] - d[cls[w]]) / tokens[cls[w]]
+    unknown = lambda a: sum(move(a, c) * d[c] * kinds[c] / tokens[c] for c in tokens)
+    for a in (None, 0, cls[max(count, key=count.get)]):
+        assert math.isclose(sum(move(a, cls[w]) * emit(w) for w in count) + unknown(a), 1, rel_tol=1e-9)
+    want = Counter()
+    for doc, ws in rows:
+        score, a = 0.0, 0
+        for w in ws:
+            score += math.log10(move(a, cls[w]) * emit(w) if count[w] else unknown(a))
+            a = cls[w] if count[w] else None
+        want[doc, round(score, 4)] += 1
+    got = classlm.class_lm_scores(docs, part_bytes=1 << 16).collect()
+    assert Counter((r["doc_id"], round(r["score"], 4)) for r in got) == want
+    assert all(x <= y for x, y in zip(model.rises, model.rises[1:-1]))
+
+
 def test_class_lm_beats_the_base_on_held_out_rows(spark):
     got = classlm.class_lm_scores(table(spark, MORE, "documents")).filter("held_out").groupBy().sum("score", "base_score", "n_tokens").first()
     assert got[0] > 0.85 * got[1]
