@@ -1,20 +1,23 @@
 """Toxicity by cumulative-link (proportional-odds) ordinal regression.
 
-Grades 0..3 share one weight for each sparse text feature (hashed words and word
-beginnings); ordered thresholds separate the grades, and the result is the expected
-grade. The labels say only toxic or not, so grades of toxic documents are made from
-the labelled sample: the tertiles of how much they hold of marker words, those far
-more frequent in toxic documents. Near copies in the sample count once. The model is fit on a bounded sample of labelled rows,
-the ``train_docs`` with the smallest id hashes, at most ``train_words`` words of each.
-
-Defined results: a null text is an empty one; repeated rows get the same values;
-with no labelled rows every severity is 0; an empty table gives an empty result;
-further columns are ignored.
+The distinct values of the ``toxic`` label, in order, are the grades: K values give
+K - 1 thresholds, and labels that say only 0 or 1 give one. Grades share one weight
+for each sparse text feature (hashed words and word beginnings); ordered thresholds
+separate them, and the result is the expected grade. The model is fit on a bounded
+number of labelled ids, the ``train_docs`` with the smallest hashes, in order of their
+ids and with whole texts; near copies in the sample count once.
+
+Defined results: a null text is an empty one; repeated rows get the same values; an
+id with several labels has its greatest, and of rows that share a labelled id one
+trains; with fewer than two grades in the sample every document has the one grade, or
+0 without any; more than ``MOST_GRADES`` grades are an error; an empty table gives an
+empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import U64, hash_words, mix, slices, starts_of, texts_of
 
-BITS, GRADES = 20, 4
+BITS, MOST_GRADES = 20, 64
 _STRIP = b".,;:!?\"'()[]{}*#$%&|<>-_"
 #: Lengths of word beginnings that are features beside the whole word.
 BEGINNINGS = (4, 5)
@@ -64,12 +67,12 @@ class CumulativeLink:
     @classmethod
     def fit(cls, doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, rounds: int = 300, decay: float = 1e-4, rate: float = 0.05) -> CumulativeLink:
         used, col = np.unique(feature, return_inverse=True)
-        n = len(grade)
+        n, grades = len(grade), int(grade.max()) + 1
         w = np.zeros(len(used))
-        raw = np.array([2.0, *[0.0] * (GRADES - 2)])  # the first cut, then logs of the gaps
+        raw = np.array([2.0, *[0.0] * (grades - 2)])  # the first cut, then logs of the gaps
         moment = [np.zeros(len(w)), np.zeros(len(raw))], [np.zeros(len(w)), np.zeros(len(raw))]
         sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-        share = np.bincount(grade, minlength=GRADES) / n
+        share = np.bincount(grade, minlength=grades) / n
         each = 1 / np.sqrt(np.maximum(share[grade], 1e-3))
         each /= each.sum()
         for step in range(1, rounds + 1):
@@ -81,10 +84,10 @@ class CumulativeLink:
             p = np.maximum(hi - lo, 1e-9)
             dhi, dlo = hi * (1 - hi) / p * each, lo * (1 - lo) / p * each
             gz = -(dhi - dlo)
-            gc = np.zeros(GRADES + 1)
+            gc = np.zeros(grades + 1)
             np.add.at(gc, grade + 1, dhi)
             np.add.at(gc, grade, -dlo)
-            gc = gc[1:GRADES]
+            gc = gc[1:grades]
             graw = np.concatenate(([gc.sum()], [gc[i + 1 :].sum() * g for i, g in enumerate(gaps)]))
             gw = np.bincount(col, weights=gz[doc] * value, minlength=len(w)) - decay * w
             for i, (x, g) in enumerate(((w, gw), (raw, graw))):
@@ -100,20 +103,8 @@ class CumulativeLink:
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - z[:, None], -40, 40)))
 
 
-def grades(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, n_docs: int, toxic: np.ndarray) -> np.ndarray:
-    """0 for documents that are not toxic; 1 to 3 by tertiles of the toxic ones' marker features, each as log(1 + count)."""
-    n = 1 << BITS
-    seen_t, seen_c = np.bincount(feature[toxic[doc]], minlength=n), np.bincount(feature[~toxic[doc]], minlength=n)
-    marker = (seen_t >= 3) & (seen_t / max(1, toxic.sum()) > 20 * (seen_c + 0.5) / max(1, (~toxic).sum()))
-    share = np.bincount(doc, weights=value * marker[feature], minlength=n_docs)
-    out = np.zeros(n_docs, np.int64)
-    if toxic.any():
-        out[toxic] = 1 + np.searchsorted(np.quantile(share[toxic], [1 / 3, 2 / 3]), share[toxic], side="right")
-    return out
-
-
 def originals(doc: np.ndarray, feature: np.ndarray, n: int, bands: int = 4, rows: int = 4) -> np.ndarray:
-    """Whether a sampled document is the first of its near copies, by banded minima of its features.
+    """Whether a sampled document is the first of its near copies, by banded minima of its features; documents are in order of ids.
 
     Copies of one toxic document would otherwise make all its words look toxic."""
     there, at = np.unique(doc, return_index=True)
@@ -139,60 +130,76 @@ def telling(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: floa
     return (a + b >= 3) & (a * n_c > 2 * b * n_t) & (chi > least)
 
 
-def train(docs: DataFrame, labels: DataFrame, train_docs: int, train_words: int) -> CumulativeLink | None:
+class Severity(NamedTuple):
+    """The model, if there are two grades or more, and the grades' values in order."""
+
+    link: CumulativeLink | None
+    values: np.ndarray
+
+    def chances(self, z: np.ndarray) -> np.ndarray:
+        """P(grade) for each grade of the documents whose features sum to ``z``."""
+        above = self.link.above(z) if self.link is not None else np.zeros((len(z), 0))
+        return -np.diff(np.hstack((np.ones((len(z), 1)), above, np.zeros((len(z), 1)))), axis=1)
+
+
+def train(docs: DataFrame, labels: DataFrame, train_docs: int) -> Severity:
     # The sample is drawn from the labels alone; its size bounds what is broadcast.
-    sample = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(train_docs)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
+    known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("double")).alias("toxic"))
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                doc, feature, value = features([b" ".join(t.split()[:train_words]) for t in texts_of(b.column("text"))])
+                doc, feature, value = features(texts_of(b.column("text")))
                 cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
                 data = [feature[x:y].astype("<u4").tobytes() + value[x:y].astype("<f4").tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column("toxic").cast(pa.int64()), pa.array(data, pa.binary())], ["toxic", "data"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(data, pa.binary())], ["doc_id", "toxic", "data"])
 
-    got = rows.mapInArrow(run, "toxic long, data binary").collect()
-    toxic = np.array([r.toxic > 0 for r in got], bool)
-    if not toxic.any() or toxic.all():
-        return None
+    got = sorted(rows.mapInArrow(run, "doc_id long, toxic double, data binary").collect(), key=lambda r: r.doc_id)
     n = [len(r.data) // 8 for r in got]
+    none = np.zeros(0)
     doc = np.repeat(np.arange(len(got)), n)
-    feature = np.concatenate([np.frombuffer(r.data, "<u4", k) for r, k in zip(got, n, strict=True)]).astype(np.int64)
-    value = np.concatenate([np.frombuffer(r.data, "<f4", k, 4 * k) for r, k in zip(got, n, strict=True)]).astype(float)
-    return fit(doc, feature, value, toxic)
+    feature = np.concatenate([none, *[np.frombuffer(r.data, "<u4", k) for r, k in zip(got, n, strict=True)]]).astype(np.int64)
+    value = np.concatenate([none, *[np.frombuffer(r.data, "<f4", k, 4 * k) for r, k in zip(got, n, strict=True)]])
+    return fit(doc, feature, value, np.array([r.toxic for r in got], float))
 
 
-def fit(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, toxic: np.ndarray) -> CumulativeLink | None:
-    first = originals(doc, feature, len(toxic))
+def fit(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray) -> Severity:
+    first = originals(doc, feature, len(label))
     here = first[doc]
     number = np.cumsum(first) - 1
-    doc, feature, value, toxic = number[doc[here]], feature[here], value[here], toxic[first]
-    if not toxic.any() or toxic.all():
-        return None
-    told = telling(doc, feature, toxic)[feature]
-    return CumulativeLink.fit(doc[told], feature[told], value[told], grades(doc, feature, value, len(toxic), toxic))
-
-
-def toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 8000, train_words: int = 2000) -> DataFrame:
-    """doc_id, severity (expected grade), p_toxic, grade (the likeliest), toxic; one row for each row of ``docs``."""
-    model = train(docs, labels, train_docs, train_words)
+    doc, feature, value = number[doc[here]], feature[here], value[here]
+    values, grade = np.unique(label[first], return_inverse=True)
+    if len(values) > MOST_GRADES:
+        raise ValueError(f"{len(values)} distinct labels are no grades; {MOST_GRADES} at most")
+    if len(values) < 2:
+        return Severity(None, values if len(values) else np.zeros(1))
+    told = telling(doc, feature, grade > 0)[feature]
+    return Severity(CumulativeLink.fit(doc[told], feature[told], value[told], grade), values)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = 8000) -> DataFrame:
+    """doc_id, severity (expected grade), p_toxic (chance of a grade over the lowest), grade (the likeliest), toxic; one row for each
+    row of ``docs``."""
+    model = train(docs, labels, train_docs)
     sc = docs.sparkSession.sparkContext
     # One weight for each of 2^BITS features: a fixed 4 MB.
-    shared = sc.broadcast(None if model is None else (model.weights, model.cuts))
+    shared = sc.broadcast((None if model.link is None else (model.link.weights, model.link.cuts), model.values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = CumulativeLink(*shared.value) if shared.value is not None else None
+        link, values = shared.value
+        known = Severity(CumulativeLink(*link) if link is not None else None, values)
         for whole in batches:
             for b in slices(whole, "text"):
-                n = b.num_rows
-                above = np.zeros((n, GRADES - 1))
-                if known is not None:
+                z = np.zeros(b.num_rows)
+                if link is not None:
                     doc, feature, value = features(texts_of(b.column("text")))
-                    above = known.above(np.bincount(doc, weights=known.weights[feature] * value, minlength=n))
-                p = -np.diff(np.hstack((np.ones((n, 1)), above, np.zeros((n, 1)))), axis=1)
+                    z = np.bincount(doc, weights=known.link.weights[feature] * value, minlength=b.num_rows)
+                p = known.chances(z)
+                toxic = 1 - p[:, 0]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(above.sum(1)), pa.array(above[:, 0]), pa.array(p.argmax(1).astype(np.int32)), pa.array(above[:, 0] >= 0.5)],
+                    [b.column("doc_id"), pa.array(p @ values), pa.array(toxic), pa.array(values[p.argmax(1)].astype(np.int32)), pa.array(toxic >= 0.5)],
                     ["doc_id", "severity", "p_toxic", "grade", "toxic"],
                 )
 

@@ -95,7 +95,7 @@ def test_toxicity_on_held_out_rows(spark):
     docs, labels = table(spark, MORE, "documents"), table(spark, MORE, "labels")
     got = toxicity.toxicity(docs, labels.filter("doc_id % 3 <> 0"))
     got = got.join(labels.filter("doc_id % 3 = 0").selectExpr("doc_id", "toxic AS label"), "doc_id").collect()
-    assert all(0 <= r["severity"] <= 3 and r["toxic"] == (r["p_toxic"] >= 0.5) for r in got)
+    assert all(0 <= r["severity"] <= 1 and r["toxic"] == (r["p_toxic"] >= 0.5) for r in got)
     assert np.mean([r["toxic"] for r in got if r["label"] == 0]) < 0.05
     assert np.mean([r["toxic"] for r in got if r["label"] == 1]) > 0.6
 
@@ -114,6 +114,26 @@ def test_cumulative_link_recovers_grades():
     assert np.corrcoef(severity, grade)[0, 1] > 0.85
 
 
+def test_toxicity_by_brute_force(docs, spark):
+    """Severities of all rows from the trained weights, one word at a time; three grades and so two thresholds."""
+    labels = spark.createDataFrame([(i, (0, 0, 1, 3)[i % 4]) for i in range(300)] + [(2, 0)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, 8000)
+    assert model.values.tolist() == [0, 1, 3] and len(model.link.cuts) == 2 and (np.diff(model.link.cuts) > 0).all()
+    want = Counter()
+    number = lambda w, n: int((toxicity.mix(toxicity.hash_words([w]) + np.uint64(n)) & np.uint64((1 << toxicity.BITS) - 1))[0])
+    for r in docs.select("doc_id", "text").collect():
+        bare = [w.lower().strip(toxicity._STRIP) for w in (r["text"] or "").encode().split()]
+        counts_ = Counter(number(w[: n or None], n) for w in bare for n in (0, *toxicity.BEGINNINGS))
+        z = sum(float(model.link.weights[f]) * math.log1p(c) for f, c in counts_.items())
+        above = [1 / (1 + math.exp(min(40, max(-40, c - z)))) for c in model.link.cuts]
+        p = [1 - above[0], above[0] - above[1], above[1]]
+        want[r["doc_id"], round(p[1] + 3 * p[2], 4), round(above[0], 4)] += 1
+    got = toxicity.toxicity(docs, labels).collect()
+    assert Counter((r["doc_id"], round(r["severity"], 4), round(r["p_toxic"], 4)) for r in got) == want
+    again = toxicity.toxicity(docs.repartition(7), labels).collect()
+    assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in got), "the sample does not depend on the rows' order"
+
+
 def test_toxicity_odd_rows(odd_docs, spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     assert toxicity.toxicity(odd_docs, labels).count() == odd_docs.count()
