@@ -11,7 +11,8 @@ link inside a bucket is lost, and no group's pairs are ever written out.
 
 Defined results: a null or wordless text has an empty set and is linked with
 nothing; a null ``doc_id`` is kept and linked with nothing; rows that share a
-``doc_id`` are judged each by its own text; an empty table gives an empty result;
+``doc_id`` are judged each by its own text (two texts of the smallest id of a class
+are then both kept, as ``kept`` speaks of ids); an empty table gives an empty result;
 further columns are ignored.
 """
 
@@ -27,11 +28,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.store import save
 from ledgerloom.llm.words import U64, hash_words, mix, slices, starts_of, texts_of
+from ledgerloom.operators.windows import global_position
 
 BANDS, ROWS = 32, 5
 #: Of BANDS * ROWS minima, so many at least agree in their lowest byte; pairs at 0.8 fall below with chance 1e-6.
 AGREE = 104
-BLOCK = 1024
+#: Members of a block, and shingles (8 bytes each) that its members hold together, about.
+BLOCK, BLOCK_ITEMS = 1024, 1 << 22
 BROADCAST_ROWS = 1_000_000
 
 
@@ -156,8 +159,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def _in_blocks(rest: DataFrame) -> DataFrame:
-    """Slots cut a bucket of m members into blocks; each pair of blocks is a unit of work of its own."""
-    rest = rest.withColumn("slots", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    """Slots cut a bucket of m members into blocks of bounded members and shingles; each pair of blocks is a unit of work of its own."""
+    rest = rest.withColumn("slots", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("items") / BLOCK_ITEMS)).cast("int")).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
     rest = rest.select("key", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "node", "n", "root", "bands", "low")
     return _together(rest)
@@ -267,6 +270,17 @@ def _links_in_groups(percent: int):
     return run
 
 
+def _numbered(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """Where an id stands for more than one text, numbers in the order of the ids take its place, so that each text is a node."""
+    sha = F.coalesce(F.sha2("text", 256), F.lit(""))
+    docs = docs.withColumn("sha", sha)
+    known = save(global_position(docs.filter("doc_id IS NOT NULL").select("doc_id", "sha").distinct(), ["doc_id", "sha"], "number"), "numbers")
+    rows = save(docs.join(known, ["doc_id", "sha"], "left").select(F.col("number").alias("doc_id"), "text"), "numbered")
+    found = near_duplicates(rows, shingle_words, percent).withColumnRenamed("doc_id", "number")
+    found = found.join(known.select("number", "doc_id"), "number", "left").join(known.select(F.col("number").alias("component_id"), F.col("doc_id").alias("root")), "component_id", "left")
+    return found.select("doc_id", "n_shingles", F.col("root").alias("component_id"), F.col("root").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row for each row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -274,9 +288,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     full = sig.filter("n > 0 AND doc_id IS NOT NULL")
     # All rows of a class hold the same n, bands and bytes, so any row's will do.
     classes = save(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low")), "classes")
+    if classes.groupBy("node").count().filter("count > 1").limit(1).count():
+        return _numbered(docs, shingle_words, percent)
     keyed = classes.select("node", "n", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("hub")).filter("m > 1")
-    hubs = save(hubs.select("key", "m", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
+    hubs = keyed.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("items"), F.min(F.struct("node", "n")).alias("hub")).filter("m > 1")
+    hubs = save(hubs.select("key", "m", "items", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
     rows = save(keyed.join(hubs, "key"), "buckets")
 
     near = rows.filter("node <> hub").filter(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
@@ -289,7 +305,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     roots = components(links)
 
     # What buckets hold in different components still is judged in blocks.
-    rooted = rows.select("key", "m", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rows.select("key", "m", "items", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
     rest = rooted.join(mixed, "key", "left_semi").join(classes.select("node", "bands", "low"), "node")
     rest = save(_in_blocks(rest).mapInArrow(_with_candidates(percent), _MEMBER), "members")
