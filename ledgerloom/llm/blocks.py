@@ -8,7 +8,6 @@ key that stands in every document is asked once a block, not once a row.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.store import shared_dir
+from ledgerloom.llm.store import save_bucketed
 from ledgerloom.llm.words import slices
 
 
@@ -44,10 +43,7 @@ def write_packed(docs: DataFrame, pack: Callable[[pa.RecordBatch], list[pa.Array
                 number += 1
 
     blocks = docs.mapInArrow(run, T.StructType([T.StructField("block", T.LongType()), *fields]))
-    name = f"ledgerloom_blocks_{uuid.uuid4().hex}"
-    spark = docs.sparkSession
-    blocks.write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/blocks").saveAsTable(name)
-    return spark.table(name), total
+    return save_bucketed(blocks, buckets, "block"), total
 
 
 def write_blocks(docs: DataFrame, size: int = 2 << 20, per_bucket: int = 8 << 20) -> tuple[DataFrame, int]:

@@ -1,7 +1,8 @@
 """Shared tables: lineage is cut by Parquet tables below ``spark.checkpoint.dir``.
 
 A table that is written there is committed once and can be read by any executor,
-so a lost executor costs no more than the tasks it was running.
+so a lost executor costs no more than the tasks it was running. Results read these
+tables, so they stay until ``drop_tables`` is called once the results are written.
 """
 
 from __future__ import annotations
@@ -11,14 +12,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a folder of this run only where it is unset."""
+    """A new folder below the session's ``spark.checkpoint.dir``. Where that is unset, a local session gets a folder of its own;
+    on a cluster it is an error, as machines would not see each other's files."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def save(df: DataFrame, name: str = "table") -> DataFrame:
@@ -27,3 +36,21 @@ def save(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def save_bucketed(df: DataFrame, buckets: int, column: str) -> DataFrame:
+    spark = df.sparkSession
+    name = f"ledgerloom_blocks_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("path", f"{shared_dir(spark)}/blocks").saveAsTable(name)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete this application's shared tables; what reads them cannot be run again."""
+    app = spark.sparkContext.applicationId
+    for name in _TABLES.pop(app, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for folder in _FOLDERS.pop(app, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

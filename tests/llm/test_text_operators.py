@@ -179,6 +179,14 @@ def test_near_duplicates(docs, k):
     assert as_counter(neardup.near_duplicates(docs, k, 80), "doc_id", "n_shingles", "component_id", "kept") == want
 
 
+def test_two_texts_of_one_id_are_two_nodes(spark):
+    """Texts 5a and 7a are near, as are 3 and 7b; the classes do not merge through the id 7."""
+    a, b = [" ".join(f"{x}{i}" for i in range(60)) for x in "ab"]
+    rows = [(5, a), (7, a + " tail"), (3, b), (7, b + " tail"), (7, "a text of its own"), (7, a + " tail"), (None, a), (9, None)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert Counter(map(tuple, got)) == Counter([(5, 59, 5, True), (7, 60, 5, False), (3, 59, 3, True), (7, 60, 3, False), (7, 4, 7, True), (7, 60, 5, False), (None, 59, None, True), (9, 0, 9, True)])
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(6, 30)] + [(70, 71), (71, 70)]
     got = {r["node"]: r["root"] for r in neardup.components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -404,6 +412,26 @@ def test_trigram_queries():
     assert {frozenset(["ghp", "hp_"])} <= q["github"][0]
 
 
+def test_shared_tables_are_dropped_on_request(spark, tmp_path):
+    from ledgerloom.llm import store
+
+    old = spark.conf.get("spark.checkpoint.dir")
+    held = dict(store._FOLDERS), dict(store._TABLES)
+    store._FOLDERS.clear(), store._TABLES.clear()
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        rows = spark.createDataFrame([(1, "one text")], "doc_id long, text string")
+        suffixes.repeat_digests(rows, 50).collect()
+        tables = [t for names in store._TABLES.values() for t in names]
+        assert tables and list(tmp_path.iterdir())
+        store.drop_tables(spark)
+        assert not list(tmp_path.glob("ledgerloom-*")) and not any(spark.catalog.tableExists(t) for t in tables)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", old)
+        for kept, mine in zip(held, (store._FOLDERS, store._TABLES), strict=True):
+            mine.update(kept)
+
+
 def test_empty_tables(no_docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     path = tokenizer_path()
