@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
 _FOLDERS: dict[str, list[str]] = {}
 _TABLES: dict[str, list[str]] = {}
 
@@ -23,8 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        base = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
+        base = _LOCAL[app]
     path = f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
     _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
