@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.words import slices, starts_of, texts_of
 
 #: Words and chunks remembered by a worker, and the longest of them in bytes; more only costs a new start of the memory.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 
 
 def read_file(spark: SparkSession, path: str) -> str:

@@ -33,7 +33,7 @@ def hash_words(words: list[bytes]) -> np.ndarray:
     return pd.util.hash_array(a, categorize=False)
 
 
-def slices(batch: pa.RecordBatch, text: str, budget: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, budget: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a record batch so that each part holds about ``budget`` bytes of text."""
     size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64)
     part = np.cumsum(size) // budget
