@@ -17,17 +17,43 @@ MAX_CANDIDATES = 65_534
 RANK = 1 << 24
 
 
-def nearest_assign(queries: DataFrame, candidates: DataFrame, axes: list[str], rank: str, rank_bound: int = 65_536) -> DataFrame:
+#: Colours are pruned by cells of a grid with sides of so many steps.
+CELL = 16
+
+
+def _near_cells(colours: DataFrame, points: DataFrame, axes: list[str]) -> DataFrame:
+    """Cells of colours (q0, q1, ...) and the cells of candidates (c0, c1, ...) in which a nearest one may lie.
+
+    Of byte colours there are at most 16^3 cells on either side, however many colours."""
+    cell = lambda df, p: df.select(*[F.floor(F.col(a) / CELL).alias(f"{p}{i}") for i, a in enumerate(axes)]).distinct()
+    gaps = [F.abs(F.col(f"q{i}") - F.col(f"c{i}")) for i in range(len(axes))]
+    least = sum((F.pow(F.greatest(g - 1, F.lit(0)) * CELL, F.lit(2)) for g in gaps), F.lit(0.0))
+    most = sum((F.pow((g + 1) * CELL, F.lit(2)) for g in gaps), F.lit(0.0))
+    both = cell(colours, "q").crossJoin(F.broadcast(cell(points, "c"))).withColumns({"least": least, "most": most})
+    reach = F.min("most").over(Window.partitionBy(*[f"q{i}" for i in range(len(axes))]))
+    return both.withColumn("reach", reach).filter("least <= reach").drop("least", "most", "reach")
+
+
+def nearest_assign(queries: DataFrame, candidates: DataFrame, axes: list[str], rank: str, rank_bound: int | None = None) -> DataFrame:
     """``rank`` and squared distance of each query's nearest candidate, ties to the smaller rank.
 
-    Distance and rank share one integer, so that the least of it is aggregated in place. Each query colour is looked up once.
+    Distance and rank share one integer, so that the least of it is aggregated in place; ``rank_bound`` is over all ranks, and is
+    read off them if not given. Each query colour is looked up once, among the candidates of the cells that may hold its nearest.
     The candidates are checked to be at most MAX_CANDIDATES distinct points and then broadcast."""
     points = candidates.groupBy(*axes).agg(F.min(rank).alias("__rank"))
-    if points.count() > MAX_CANDIDATES:
+    n, low, high = points.agg(F.count("*"), F.min("__rank"), F.max("__rank")).first()
+    if n > MAX_CANDIDATES:
         raise ValueError(f"more than {MAX_CANDIDATES} candidate colours")
+    rank_bound = rank_bound or int(high or 0) + 1
+    if n and not 0 <= low <= high < rank_bound:
+        raise ValueError(f"ranks from {low} to {high} are not within 0 and {rank_bound}")
     names = {a: f"__{a}" for a in axes}
     colours = queries.select(*axes).distinct()
-    pairs = colours.crossJoin(F.broadcast(points.withColumnsRenamed(names)))
+    places = {f"{{}}{i}": a for i, a in enumerate(axes)}
+    near = _near_cells(colours, points, axes)
+    pairs = colours.withColumns({k.format("q"): F.floor(F.col(a) / CELL) for k, a in places.items()}).join(near, [k.format("q") for k in places])
+    within = points.withColumns({k.format("c"): F.floor(F.col(a) / CELL) for k, a in places.items()}).withColumnsRenamed(names)
+    pairs = pairs.join(F.broadcast(within), [k.format("c") for k in places])
     d2 = sum(((F.col(a) - F.col(names[a])).cast("long") * (F.col(a) - F.col(names[a])).cast("long") for a in axes), F.lit(0).cast("long"))
     best = pairs.groupBy(*axes).agg(F.min(d2 * rank_bound + F.col("__rank")).alias("__best"))
     found = best.select(*axes, F.floor(F.col("__best") / rank_bound).cast("long").alias("d2"), (F.col("__best") % rank_bound).cast("long").alias("rank"))
@@ -42,7 +68,7 @@ def stable_subset(df: DataFrame, flag: str, order: str) -> DataFrame:
 def _nearest_stable(queries: DataFrame, candidates: DataFrame, ranked) -> DataFrame:
     c = ranked(stable_subset(candidates, "stable", "ord").withColumnRenamed("ord", "__ord").withColumnRenamed("position", "ord"))
     found = nearest_assign(queries, c, ["r", "g", "b"], "rank")
-    return found.join(F.broadcast(c.select("rank", F.col("ord").alias("position"))), "rank").drop("rank")
+    return found.join(c.select("rank", F.col("ord").alias("position")), "rank").drop("rank")
 
 
 def nearest_any(queries: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -120,6 +146,9 @@ def _axis_pass(axis: int, bound: int):
 def full_cube(candidates: DataFrame, rank: str, rank_bound: int = 65_536) -> DataFrame:
     """(code, d2, rank) of all 2^24 cells by three passes, along b, g and r; each pass regroups cells into lines of 256."""
     spark = candidates.sparkSession
+    low, high = candidates.agg(F.min(rank), F.max(rank)).first()
+    if low is not None and not 0 <= low <= high < rank_bound:
+        raise ValueError(f"ranks from {low} to {high} are not within 0 and {rank_bound}")
     far = (3 * 255 * 255 + 1) * rank_bound
     seeds = candidates.groupBy(rgb_pack(F.col("r"), F.col("g"), F.col("b")).alias("code")).agg(F.min(rank).cast("long").alias("best"))
     cells = spark.range(1 << 24).select(F.col("id").cast("int").alias("code")).join(seeds, "code", "left").select("code", F.coalesce("best", F.lit(far).cast("long")).alias("best"))

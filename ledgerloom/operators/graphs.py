@@ -29,23 +29,28 @@ def alias_chain(df: DataFrame, id: str, copy_of: str, rounds: int = 64) -> DataF
     return state.select("id", "root", F.coalesce("fault", F.lit("ok")).alias("status"))
 
 
-def reachability(edges: DataFrame, roots: DataFrame, max_rounds: int = 12, src: str = "src", dst: str = "dst") -> DataFrame:
-    """node, hops, parent of each node within ``max_rounds`` hops; the parent is the smallest of those one hop nearer."""
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+def reachability(edges: DataFrame, roots: DataFrame, src: str = "src", dst: str = "dst", shown: int = 0) -> DataFrame:
+    """node, hops, parent of each node that a root leads to, over any number of hops; the parent is the smallest of those one hop
+    nearer. With ``shown``, also ``path``: the last so many nodes on the way, the node itself included."""
+    e = stable(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().repartition("src"))
     first = roots.select(F.col(roots.columns[0]).alias("node")).distinct()
-    seen = stable(first.select("node", F.lit(0).alias("hops"), F.lit(None).cast(first.schema["node"].dataType).alias("parent")))
-    front = seen
-    for hop in range(1, max_rounds + 1):
-        nxt = e.join(front.select(F.col("node").alias("src")), "src").groupBy("dst").agg(F.min("src").alias("parent"))
-        nxt = nxt.join(seen.select(F.col("node").alias("dst")), "dst", "left_anti")
-        front = stable(nxt.select(F.col("dst").alias("node"), F.lit(hop).alias("hops"), "parent"))
-        if not front.limit(1).count():
-            break
+    kind = first.schema["node"].dataType
+    seen = stable(first.select("node", F.lit(0).alias("hops"), F.lit(None).cast(kind).alias("parent"), *[F.array("node").alias("path")] * (shown > 0)))
+    front, hop = seen, 0
+    while front.limit(1).count():
+        hop += 1
+        nxt = e.join(front.select(F.col("node").alias("src"), *["path"] * (shown > 0)), "src").join(seen.select(F.col("node").alias("dst")), "dst", "left_anti")
+        if shown:
+            nxt = nxt.groupBy("dst").agg(F.min(F.struct("src", "path")).alias("__p")).select("dst", F.col("__p.src").alias("parent"), F.concat("__p.path", F.array("dst")).alias("path"))
+            nxt = nxt.withColumn("path", F.when(F.size("path") > shown, F.slice("path", -shown, shown)).otherwise(F.col("path")))
+        else:
+            nxt = nxt.groupBy("dst").agg(F.min("src").alias("parent"))
+        front = stable(nxt.select(F.col("dst").alias("node"), F.lit(hop).alias("hops"), "parent", *["path"] * (shown > 0)))
         seen = seen.union(front)
     return seen
 
 
-def longest_path_dag(edges: DataFrame, weights: DataFrame, max_rounds: int = 10_000) -> tuple[DataFrame, DataFrame]:
+def longest_path_dag(edges: DataFrame, weights: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, depth): the largest sum of weights from a node down, itself included; and the nodes on or above a cycle.
 
     Nodes are settled from the leaves up, once all they lead to are; what never settles leads to a cycle."""
@@ -53,7 +58,7 @@ def longest_path_dag(edges: DataFrame, weights: DataFrame, max_rounds: int = 10_
     nodes = stable(weights.select("node", F.col("weight").cast("long").alias("weight")))
     left, done = nodes, None
     best = stable(nodes.select("node", F.lit(0).cast("long").alias("below")).limit(0))
-    for _ in range(max_rounds):
+    while True:
         waiting = e.join(left.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node")).distinct()
         ready = left.join(waiting, "node", "left_anti").join(best, "node", "left")
         ready = stable(ready.select("node", (F.col("weight") + F.coalesce("below", F.lit(0))).alias("depth")))
@@ -72,8 +77,7 @@ def json_walk_refs(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     level = df.select(F.col(key).alias("k"), F.col(value).alias("v"))
     found = None
     while True:
-        level.createOrReplaceTempView("__ledgerloom_level")
-        one = df.sparkSession.sql("SELECT k, e.key AS name, e.value AS v FROM __ledgerloom_level, LATERAL variant_explode_outer(v) AS e WHERE e.pos IS NOT NULL")
+        one = df.sparkSession.sql("SELECT k, e.key AS name, e.value AS v FROM {level}, LATERAL variant_explode_outer(v) AS e WHERE e.pos IS NOT NULL", level=level)
         hit = one.filter(F.col("name") == name).select(F.col("k").alias(key), F.variant_get("v", "$", "string").alias("ref")).filter("ref IS NOT NULL") if name else one
         found = hit if found is None else found.unionByName(hit)
         level = stable(one.filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")).select("k", "v"))
@@ -82,14 +86,18 @@ def json_walk_refs(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 
 def flatten_rule_tree(df: DataFrame, key: str, value: str, kind: str = "kind", children: str = "children", max_depth: int = 8) -> DataFrame:
-    """key, depth, kind of each rule of a nested tree; a rule's ``children`` are rules."""
+    """key, depth, kind of each rule of a nested tree; a rule's ``children`` are rules. A rule below ``max_depth`` is an error."""
     level = df.select(F.col(key).alias("k"), F.col(value).alias("v"))
-    out = None
-    for depth in range(max_depth + 1):
+    out, depth = None, 0
+    while True:
         row = level.select(F.col("k").alias(key), F.lit(depth).alias("depth"), F.variant_get("v", f"$.{kind}", "string").alias("kind"))
         out = row if out is None else out.union(row)
-        level = level.select("k", F.explode(F.variant_get("v", f"$.{children}", "array<variant>")).alias("v"))
-    return out
+        level = stable(level.select("k", F.explode(F.variant_get("v", f"$.{children}", "array<variant>")).alias("v")))
+        if not level.limit(1).count():
+            return out
+        depth += 1
+        if depth > max_depth:
+            raise ValueError(f"rules are nested more than {max_depth} deep")
 
 
 def rule_summary(flat: DataFrame, key: str, conditional: list[str]) -> DataFrame:

@@ -101,19 +101,20 @@ def ci_lookup(df: DataFrame, key: str, catalog: DataFrame, canon: str) -> DataFr
     return out.withColumn("adjusted", F.coalesce(F.col("canonical") != F.col(key), F.lit(False)))
 
 
-def prefix_match(literals: DataFrame, catalog: DataFrame, literal: str, key: str, shortest: int = 3) -> DataFrame:
+def prefix_match(literals: DataFrame, catalog: DataFrame, literal: str, key: str) -> DataFrame:
     """Each literal with its exact key, or else all keys that start with it, in either case; key is null if there is none.
 
-    Keys meet literals by their first ``shortest`` characters; only literals shorter than that are compared by range."""
+    A key meets literals by equality, through its beginnings of each length that a literal has; so only matches are joined."""
     keys = catalog.select(F.col(key).alias("key"), F.lower(key).alias("__k"))
     lits = literals.withColumn("__l", F.lower(literal))
     exact = lits.join(keys, F.col("__l") == F.col("__k")).drop("__k")
     rest = lits.join(keys.select("__k"), F.col("__l") == F.col("__k"), "left_anti")
-    long = rest.filter(F.length("__l") >= shortest).withColumn("__h", F.substring("__l", 1, shortest))
-    short = rest.filter(F.length("__l") < shortest)
-    hit = long.join(keys.withColumn("__h", F.substring("__k", 1, shortest)), "__h").filter(F.col("__k").startswith(F.col("__l"))).drop("__h", "__k")
-    few = short.join(keys, F.col("__k").startswith(F.col("__l"))).drop("__k")
-    found = exact.unionByName(hit).unionByName(few)
+    # One row: the distinct lengths of literals.
+    sizes = rest.agg(F.collect_set(F.length("__l")).alias("__sizes"))
+    begun = keys.crossJoin(F.broadcast(sizes)).withColumn("__size", F.explode(F.filter("__sizes", lambda n: n <= F.length("__k"))))
+    begun = begun.select("key", F.expr("substring(__k, 1, __size)").alias("__l"))
+    hit = rest.join(begun, "__l")
+    found = exact.unionByName(hit)
     none = lits.join(found.select("__l").distinct(), "__l", "left_anti").withColumn("key", F.lit(None).cast("string"))
     return found.unionByName(none).drop("__l")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import hash_prefix
+from ledgerloom.operators.windows import row_shard
 
 BUCKET_BYTES = 16 << 20
 
@@ -20,8 +21,7 @@ def shard_by_id_range(df: DataFrame, id: str, width: int = 256) -> DataFrame:
 
 def shard_by_row_count(df: DataFrame, part: list[str], order: str, size: int = 256) -> DataFrame:
     """shard, first, last, rows of runs of ``size`` consecutive rows of each family."""
-    w = Window.partitionBy(*part).orderBy(order)
-    rows = df.withColumn("shard", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    rows = row_shard(df, part, [order], size)
     return rows.groupBy(*part, "shard").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("rows"))
 
 
@@ -46,11 +46,18 @@ def count_reconcile(df: DataFrame, declared: DataFrame, keys: list[str], rows: s
     return both.filter("declared <> actual")
 
 
-def tree_digest(df: DataFrame, path: str, line: Column, digits: int = 2) -> DataFrame:
-    """One digest of all lines, in two levels: each bucket of paths hashes its sorted lines, then the buckets are hashed."""
+def tree_digest(df: DataFrame, path: str, line: Column, bucket_rows: int = 1 << 16) -> DataFrame:
+    """One digest of all lines: each bucket of paths hashes its sorted lines, then buckets are hashed, 256 together, until one is
+    left. There are 256 buckets, or 256 times more for as long as one would hold over ``bucket_rows`` lines."""
+    n, digits = df.count(), 2
+    while n > bucket_rows * 16**digits:
+        digits += 2
     rows = df.select(hash_prefix(F.sha2(F.col(path), 256), digits).alias("bucket"), line.alias("line"))
     buckets = rows.groupBy("bucket").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n"), 256).alias("sha"))
     both = F.concat_ws(" ", "bucket", "sha")
+    while digits > 2:
+        digits -= 2
+        buckets = buckets.groupBy(F.substring("bucket", 1, digits).alias("bucket")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(both)), "\n"), 256).alias("sha"))
     return buckets.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(both)), "\n"), 256).alias("digest"), F.count("*").alias("buckets"))
 
 

@@ -3,16 +3,41 @@ buckets, whose totals are summed first."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.stable import stable
 
 
+def carried(df: DataFrame, partition: list[str], order: list[Column | str], value: Column, total: Callable[[Column | str], Column], both: Callable[[Column, Column], Column], name: str) -> DataFrame:
+    """``name``: ``total`` (a sum, a maximum) of ``value`` from a family's first row to each row, however large a family is.
+
+    Rows are ranged by family and order, so a large family is cut into several ranges; each range's total is carried on to the
+    next ones of the family. The ranged rows are made once and kept, as range bounds are sampled."""
+    keys = {f"__k{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    ranged = df.withColumns(keys).withColumn("__value", value)
+    ranged = stable(ranged.repartitionByRange(*partition, *keys).withColumn("__part", F.spark_partition_id()))
+    here = Window.partitionBy("__part", *partition).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*partition).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ranged.groupBy("__part", *partition).agg(total("__value").alias("__total")).withColumn("__before", total("__total").over(earlier))
+    ends = ends.filter("__before IS NOT NULL").select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(["__part", *partition])], "__before")
+    rows = ranged.withColumn(name, total("__value").over(here))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(["__part", *partition])])
+    done = rows.join(ends, same, "left").withColumn(name, F.when(F.col("__before").isNull(), F.col(name)).otherwise(both(F.col(name), F.col("__before"))))
+    return done.drop("__part", "__value", "__before", *[f"__p{i}" for i in range(len(partition) + 1)], *keys)
+
+
+def place_in_family(df: DataFrame, partition: list[str], order: list[Column | str], name: str) -> DataFrame:
+    """1-based place of each row in its family's order."""
+    return carried(df, partition, order, F.lit(1).cast("long"), F.sum, lambda x, y: x + y, name)
+
+
 def row_shard(df: DataFrame, partition: list[str], order: list[Column | str], size: int = 256) -> DataFrame:
     """``shard``: the number of the run of ``size`` consecutive rows of a partition."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn("shard", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    return place_in_family(df, partition, order, "__place").withColumn("shard", F.floor((F.col("__place") - 1) / size).cast("long")).drop("__place")
 
 
 def global_position(df: DataFrame, order: list[Column | str], name: str = "pos") -> DataFrame:
@@ -56,8 +81,7 @@ def run_boundaries(df: DataFrame, partition: str, order: str, values: list[str])
 
 def running_offsets(df: DataFrame, partition: str, order: str, size: str) -> DataFrame:
     """Exclusive and inclusive prefix sums."""
-    w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("end", F.sum(size).over(w)).withColumn("start", F.col("end") - F.col(size))
+    return carried(df, [partition], [order], F.col(size), F.sum, lambda x, y: x + y, "end").withColumn("start", F.col("end") - F.col(size))
 
 
 def strictly_increasing(df: DataFrame, partition: list[str], order: str, key: str) -> DataFrame:
@@ -68,8 +92,7 @@ def strictly_increasing(df: DataFrame, partition: list[str], order: str, key: st
 
 
 def cumulative_peak(df: DataFrame, partition: str, order: str, metric: str) -> DataFrame:
-    w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("peak", F.max(metric).over(w))
+    return carried(df, [partition], [order], F.col(metric), F.max, lambda x, y: F.greatest(x, y), "peak")
 
 
 def ordered_rank(df: DataFrame, order: list[Column], partition: list[str] | None = None) -> DataFrame:

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder; in a folder of this run only where none is set."""
+    """A new path in the cluster's shared folder. Where none is set, a local session gets a folder of its own; on a cluster it is
+    an error, as machines would not see each other's files."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
 
 

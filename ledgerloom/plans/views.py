@@ -31,17 +31,17 @@ VIEWS = {
     "v_research": """SELECT p_partkey AS id, CASE WHEN p_partkey % 41 = 0 THEN p_size + 1 ELSE p_size END AS required, concat('P', CAST(p_partkey AS STRING)) AS persistent_id FROM part WHERE p_partkey > 0 AND p_partkey % 37 <> 0""",
     "v_tooltips": """SELECT p_partkey AS id, p_type AS tooltip FROM part WHERE p_partkey % 2 = 0""",
     "v_bindings": """SELECT p_partkey AS id, concat(CASE WHEN p_partkey % 10 = 0 THEN 'ITEM_' ELSE 'Item_' END, CAST(p_partkey % 150 AS STRING)) AS asset FROM part WHERE p_partkey > 0""",
-    "v_asset_catalog": """SELECT concat('Item_', CAST(p_partkey AS STRING)) AS key, p_size * 2 AS width, p_size + 3 AS height FROM part WHERE p_partkey < 140""",
+    "v_asset_catalog": """SELECT concat('Item_', CAST(p_partkey AS STRING)) AS key, p_size * 2 AS width, p_size + 3 AS height FROM part WHERE p_partkey % 15 <> 14""",
     "v_placements": """SELECT l_partkey % 50 AS tile, l_linenumber - 3 AS style, CAST(l_quantity AS INT) % 4 AS alternates, CASE WHEN l_partkey % 3 = 0 THEN 4 ELSE 0 END AS wrap FROM lineitem""",
     "v_flags": """SELECT p_partkey AS id, CAST(1 + p_size % 3 AS INT) AS options, p_partkey % 5 = 0 AS frame_important, p_partkey % 7 = 0 AS spreads, CAST(1 + p_partkey % 2 AS INT) AS width FROM part""",
-    "v_pools": """SELECT r_name AS pool, n_nationkey AS member FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'EVEN', n_nationkey FROM nation WHERE n_nationkey % 2 = 0""",
-    "v_identity": """SELECT n_name AS attr, r_name AS source, CASE WHEN n_nationkey % 6 = 0 AND r_regionkey = 2 THEN 'other' ELSE CAST(n_nationkey * 7 AS STRING) END AS value FROM nation CROSS JOIN region""",
+    "v_pools": """SELECT p_type AS pool, p_partkey AS member FROM part UNION ALL SELECT 'EVEN', p_partkey FROM part WHERE p_partkey % 2 = 0""",
+    "v_identity": """SELECT concat('s', CAST(s_suppkey AS STRING)) AS attr, r_name AS source, CASE WHEN s_suppkey % 6 = 0 AND r_regionkey = 2 THEN 'other' ELSE CAST(s_suppkey * 7 AS STRING) END AS value FROM supplier CROSS JOIN region""",
     "v_cases": """SELECT doc_id AS id, lang AS category, {sha}(text{shaarg}) AS out_a, CASE WHEN doc_id % 23 = 0 THEN 'x' ELSE {sha}(text{shaarg}) END AS out_b FROM documents""",
     "v_bucket_expected": """SELECT DISTINCT substr({sha}(text{shaarg}), 1, 2) AS bucket, {sha}(text{shaarg}) AS sha FROM documents""",
     "v_bucket_actual": """SELECT substr({sha}(text{shaarg}), 1, 2) AS bucket, {sha}(text{shaarg}) AS sha FROM documents WHERE doc_id % 29 <> 0""",
-    "v_pointer": """SELECT 'stable' AS channel, {sha}(r_name{shaarg}) AS release_sha FROM region WHERE r_regionkey = 1""",
-    "v_releases": """SELECT {sha}(r_name{shaarg}) AS release_sha, r_name AS body FROM region""",
-    "v_literals": """SELECT n_nationkey AS lit_id, concat('item_', CAST(n_nationkey AS STRING)) AS literal FROM nation""",
+    "v_pointer": """SELECT 'stable' AS channel, {sha}(concat('release ', CAST(min(doc_id) AS STRING)){shaarg}) AS release_sha FROM documents""",
+    "v_releases": """SELECT {sha}(concat('release ', CAST(doc_id AS STRING)){shaarg}) AS release_sha, concat('release ', CAST(doc_id AS STRING)) AS body FROM documents""",
+    "v_literals": """SELECT s_suppkey AS lit_id, concat('item_', CAST(s_suppkey AS STRING)) AS literal FROM supplier""",
     "v_ids": """SELECT p_partkey AS ord, CASE WHEN p_partkey % 3 = 0 THEN concat('"', p_name, '"') ELSE CAST(p_partkey * 7 - 300 AS STRING) END AS id FROM part""",
     "v_path_tree": """SELECT page_id, CASE WHEN page_id % 5 = 0 THEN concat('A', CAST(page_id % 7 AS STRING)) ELSE concat('a', CAST(page_id % 7 AS STRING), '/x', CAST(page_id AS STRING)) END AS path FROM pages""",
 }

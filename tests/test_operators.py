@@ -134,7 +134,9 @@ def test_aliases(spark):
 def test_graphs_with_cycles(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (5, 4)], "src int, dst int")
     assert rows(R.reachability(e, spark.createDataFrame([(1,)], "node int"))) == [(1, 0, None), (2, 1, 1), (3, 2, 2), (4, 3, 3)]
-    assert rows(R.reachability(e, spark.createDataFrame([(1,)], "node int"), 1)) == [(1, 0, None), (2, 1, 1)]
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "src int, dst int")
+    got = {r["node"]: (r["hops"], r["parent"], r["path"]) for r in R.reachability(chain, spark.createDataFrame([(0,)], "node int"), shown=12).collect()}
+    assert len(got) == 21 and got[20] == (20, 19, list(range(9, 21))) and got[3] == (3, 2, [0, 1, 2, 3])
     done, cycle = R.longest_path_dag(e, spark.createDataFrame([(i, i) for i in range(1, 6)], "node int, weight int"))
     assert rows(done) == [(4, 4), (5, 9)] and rows(cycle) == [(1,), (2,), (3,)]
 
@@ -221,3 +223,48 @@ def test_json_refs_at_any_depth(spark):
     df = spark.createDataFrame([(1, deep), (2, '{"assetId":"top"}')], "id long, raw string").select("id", F.parse_json("raw").alias("v"))
     got = R.json_walk_refs(df, "id", "v", "assetId").select("id", "ref").collect()
     assert sorted(map(tuple, got)) == [(1, "low"), (2, "top")]
+
+
+def test_rules_too_deep_are_an_error(spark):
+    text = '{"kind":"a"}'
+    for _ in range(9):
+        text = f'{{"kind":"b","children":[{text}]}}'
+    df = spark.createDataFrame([(1, text)], "id int, t string").selectExpr("id", "parse_json(t) AS v")
+    with pytest.raises(ValueError):
+        R.flatten_rule_tree(df, "id", "v")
+    assert R.flatten_rule_tree(df, "id", "v", max_depth=9).count() == 10
+
+
+def test_running_totals_of_large_families(spark):
+    """A family that is cut into several ranges has the same places, sums and peaks as one window over it."""
+    import random
+
+    r = random.Random(7)
+    data = [(r.choice(["a", "a", "a", "b", None]), i, r.randint(0, 99)) for i in range(3000)]
+    df = spark.createDataFrame(data, "f string, o int, v int").repartition(5)
+    sums, peaks, places = {}, {}, {}
+    want_sum, want_peak, want_shard = [], [], []
+    for f, o, v in data:
+        sums[f], peaks[f], places[f] = sums.get(f, 0) + v, max(peaks.get(f, 0), v), places.get(f, 0) + 1
+        want_sum.append((o, sums[f], sums[f] - v))
+        want_peak.append((o, peaks[f]))
+        want_shard.append((o, (places[f] - 1) // 7))
+    assert rows(W.running_offsets(df, "f", "o", "v"), "o", "end", "start") == sorted(want_sum, key=str)
+    assert rows(W.cumulative_peak(df, "f", "o", "v"), "o", "peak") == sorted(want_peak, key=str)
+    assert rows(W.row_shard(df, ["f"], ["o"], 7), "o", "shard") == sorted(want_shard, key=str)
+
+
+def test_ranks_out_of_bounds_are_an_error(spark):
+    q = spark.createDataFrame([(1, 2, 3)], "r int, g int, b int")
+    k = spark.createDataFrame([(1, 2, 4, 70_000)], "r int, g int, b int, rank int")
+    with pytest.raises(ValueError):
+        C.nearest_assign(q, k, ["r", "g", "b"], "rank", 65_536)
+    assert rows(C.nearest_assign(q, k, ["r", "g", "b"], "rank"), "rank", "d2") == [(70_000, 1)]
+
+
+def test_digest_levels_follow_the_count(spark):
+    """With small buckets there are more levels; the digest still depends on the lines alone."""
+    df = spark.createDataFrame([(f"p{i}", f"line {i}") for i in range(600)], "p string, line string")
+    a = A.tree_digest(df, "p", F.col("line"), bucket_rows=1).first()["digest"]
+    assert a == A.tree_digest(df.repartition(7), "p", F.col("line"), bucket_rows=1).first()["digest"]
+    assert a != A.tree_digest(df.filter("p <> 'p5'"), "p", F.col("line"), bucket_rows=1).first()["digest"]
