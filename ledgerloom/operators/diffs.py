@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,10 +47,11 @@ def diff_fields(base: DataFrame, cand: DataFrame, keys: list[str]) -> DataFrame:
     return both.filter((F.col("in_base") != F.col("in_cand")) | ~F.col("before").eqNullSafe(F.col("after")))
 
 
-def diff_binaries(base: DataFrame, cand: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
-    """name, before, after digests of the candidate's objects; before is null where there is no baseline."""
-    c = cand.select(name, F.sha2(content, 256).alias("after"))
-    return c.join(base.select(name, F.sha2(content, 256).alias("before")), name, "left").select(name, "before", "after")
+def diff_binaries(base: DataFrame, cand: DataFrame, name: str = "name", content: str = "content", digest: Callable[[Column], Column] = lambda x: F.sha2(x, 256)) -> DataFrame:
+    """name, before, after digests of the candidate's objects; before is null where there is no baseline. ``digest`` is that of
+    decoded content (``sources.files.gzip_measure`` for gzip), so that another compression of the same bytes is no change."""
+    c = cand.select(name, digest(F.col(content)).alias("after"))
+    return c.join(base.select(name, digest(F.col(content)).alias("before")), name, "left").select(name, "before", "after")
 
 
 def diff_summary(changes: DataFrame, fields: DataFrame, family: str = "family") -> DataFrame:

@@ -52,7 +52,28 @@ def gate_mounts(coverage: DataFrame, domain: int | None = None) -> DataFrame:
     return violations("mounts", bad, F.lit("mounts"), F.concat(F.col("p").cast("string"), F.lit(" of "), F.col("n").cast("string")))
 
 
+def gate_objects(faults: DataFrame) -> DataFrame:
+    """``faults``: path, reason of ``tables.verify_objects``."""
+    return violations("objects", faults, F.col("path"), F.col("reason"))
+
+
+def gate_coverage(gaps: DataFrame, keys: list[str]) -> DataFrame:
+    """``gaps``: places of a domain that nothing fills, as of ``joins.domain_completeness``."""
+    return violations("coverage", gaps, F.concat_ws("/", *[F.col(k).cast("string") for k in keys]), "missing")
+
+
+def gate_refs(dangling: DataFrame, key: str) -> DataFrame:
+    """``dangling``: rows whose reference leads nowhere, as of ``joins.ref_integrity``."""
+    return violations("refs", dangling, F.col(key), "dangling")
+
+
+def gate_bundles(faults: DataFrame, keys: list[str]) -> DataFrame:
+    """``faults``: keys, reason of ``tables.verify_bundle_membership``."""
+    return violations("bundles", faults, F.concat_ws("/", *[F.col(k).cast("string") for k in keys]), F.col("reason"))
+
+
 def gate_release(gates: list[DataFrame]) -> DataFrame:
+    """All that is wrong with a release; ``gates`` are those of its counts, objects, references, coverage and bundles."""
     return reduce(lambda a, b: a.unionByName(b), gates)
 
 
@@ -61,8 +82,14 @@ def release_status(gates: DataFrame) -> DataFrame:
     return gates.agg(F.count("*").alias("violations")).select(F.when(F.col("violations") == 0, "ready").otherwise("incomplete").alias("status"), "violations")
 
 
-def gate_approval(approved: DataFrame, recomputed: DataFrame, missing: DataFrame) -> DataFrame:
-    """An approved summary (name, value) must equal the recomputed one, and nothing may be missing."""
+def gate_approval(approved: DataFrame, recomputed: DataFrame, missing: DataFrame, approved_detail: DataFrame | None = None, detail: DataFrame | None = None) -> DataFrame:
+    """An approved summary (name, value) must equal the recomputed one, and nothing may be missing. Where the approval describes a
+    detail (one row: rows, bytes, digest), the detail as it is now must have the same rows, bytes and digest."""
+    if approved_detail is not None:
+        flat = lambda df: df.select(F.inline(F.array(*[F.struct(F.lit(f"detail {x}").alias("name"), F.col(x).cast("string").alias("value")) for x in ("rows", "bytes", "digest")])))
+        approved = approved.select("name", F.col("value").cast("string")).unionByName(flat(approved_detail))
+        now = flat(detail) if detail is not None else flat(approved_detail).limit(0)
+        recomputed = recomputed.select("name", F.col("value").cast("string")).unionByName(now)
     both = approved.select("name", F.col("value").alias("a"), F.lit(True).alias("in_a")).join(recomputed.select("name", F.col("value").alias("b"), F.lit(True).alias("in_b")), "name", "full_outer")
     differs = both.filter((F.col("in_a").isNull()) | (F.col("in_b").isNull()) | ~F.col("a").eqNullSafe(F.col("b")))
     return violations("approval", differs, F.col("name"), "differs").unionByName(violations("approval", missing, F.col(missing.columns[0]), "missing"))

@@ -85,12 +85,13 @@ def json_walk_refs(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
             return found
 
 
-def flatten_rule_tree(df: DataFrame, key: str, value: str, kind: str = "kind", children: str = "children", max_depth: int = 8) -> DataFrame:
-    """key, depth, kind of each rule of a nested tree; a rule's ``children`` are rules. A rule below ``max_depth`` is an error."""
+def flatten_rule_tree(df: DataFrame, key: str, value: str, kind: str = "kind", children: str = "children", max_depth: int = 8, fields: dict[str, str] | None = None) -> DataFrame:
+    """key, depth, kind of each rule of a nested tree, and ``fields`` (name: type) of it; a rule's ``children`` are rules. A rule
+    below ``max_depth`` is an error."""
     level = df.select(F.col(key).alias("k"), F.col(value).alias("v"))
     out, depth = None, 0
     while True:
-        row = level.select(F.col("k").alias(key), F.lit(depth).alias("depth"), F.variant_get("v", f"$.{kind}", "string").alias("kind"))
+        row = level.select(F.col("k").alias(key), F.lit(depth).alias("depth"), F.variant_get("v", f"$.{kind}", "string").alias("kind"), *[F.variant_get("v", f"$.{f}", t).alias(f) for f, t in (fields or {}).items()])
         out = row if out is None else out.union(row)
         level = stable(level.select("k", F.explode(F.variant_get("v", f"$.{children}", "array<variant>")).alias("v")))
         if not level.limit(1).count():
@@ -105,6 +106,11 @@ def rule_summary(flat: DataFrame, key: str, conditional: list[str]) -> DataFrame
     return flat.groupBy(key).agg(F.count("*").alias("rules"), F.array_sort(F.collect_set("kind")).alias("kinds"), F.bool_or(F.coalesce(F.col("kind").isin(conditional), F.lit(False))).alias("conditional"))
 
 
+def rule_requirements(flat: DataFrame, key: str, tracker: str = "tracker", subject: str = "subject", count: str = "count") -> DataFrame:
+    """key, tracker, subject, count: what each rule with a tracker asks for, the largest count where rules ask for the same."""
+    return flat.filter(F.col(tracker).isNotNull()).groupBy(key, tracker, subject).agg(F.max(count).alias(count))
+
+
 def slots_of(text: Column) -> Column:
     """``slots`` of a JSON row as array<struct<assigned, assetId>>."""
     return F.from_json(text, "struct<slots:array<struct<assigned:boolean,assetId:string>>>")["slots"]

@@ -50,15 +50,21 @@ def source_rect_clamp(x: Column, y: Column, w: Column, h: Column, width: Column,
     return F.struct(left.alias("x"), top.alias("y"), cw.alias("w"), ch.alias("h"), ((cw == 0) | (ch == 0)).alias("empty"))
 
 
-def enrich_items(items: DataFrame, research: DataFrame, tooltips: DataFrame, bindings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Index rows, detail rows and violations. Research is required and must agree; tooltips may be absent; bindings are required."""
+def enrich_items(items: DataFrame, research: DataFrame, tooltips: DataFrame, bindings: DataFrame | None, ui_tooltips: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Index rows, detail rows and violations. Research is required and must agree; both kinds of tooltips may be absent. Where
+    there is a family of bindings each item needs one; without the family an item's asset is ``Item_<id>``."""
     j = items.join(research.withColumnsRenamed({"required": "r_required"}).withColumn("__r", F.lit(True)), "id", "left")
-    j = j.join(tooltips, "id", "left").join(bindings.withColumn("__b", F.lit(True)), "id", "left")
+    j = j.join(tooltips, "id", "left")
+    j = j.withColumn("ui_tooltip", F.lit(None).cast("string")) if ui_tooltips is None else j.join(ui_tooltips, "id", "left")
+    if bindings is None:
+        j = j.withColumns({"asset": F.concat(F.lit("Item_"), F.col("id").cast("string")), "__b": F.lit(True)})
+    else:
+        j = j.join(bindings.withColumn("__b", F.lit(True)), "id", "left")
     reason = F.when(F.col("__r").isNull(), "no research").when(F.col("required") != F.col("r_required"), "counts differ").when(F.col("__b").isNull(), "no binding")
     j = j.withColumn("reason", reason)
     good = j.filter("reason IS NULL")
     index = good.select("id", "name", "asset", "persistent_id")
-    detail = good.select("id", *[c for c in items.columns if c not in ("id", "name")], "tooltip")
+    detail = good.select("id", *[c for c in items.columns if c not in ("id", "name")], "tooltip", "ui_tooltip")
     return index, detail, j.filter("reason IS NOT NULL").select("id", "reason")
 
 
@@ -192,10 +198,17 @@ def paired_result_compare(cases: DataFrame, id: str, a: str, b: str, category: s
     return differ.unionByName(twice).unionByName(gone)
 
 
-def identity_reconcile(values: DataFrame, attr: str, source: str, value: str) -> DataFrame:
-    """Attributes whose sources do not agree, with the values by source."""
-    per = values.groupBy(attr).agg(F.count_distinct(value).alias("values"), F.count_distinct(source).alias("sources"))
-    return per.filter("values > 1")
+def identity_reconcile(values: DataFrame, attr: str, source: str, value: str, revoked: DataFrame | None = None) -> DataFrame:
+    """attr, reason, found: attributes whose sources do not agree, or of which one has no value; and those with a revoked value.
+    ``found`` lists the values by source, of which an attribute has a few; ``revoked`` is a table of values."""
+    said = F.concat_ws("=", F.col(source), F.coalesce(F.col(value), F.lit("")))
+    per = values.groupBy(attr).agg(F.count_distinct(value).alias("__n"), F.count_if(F.col(value).isNull()).alias("__none"), F.array_join(F.array_sort(F.collect_set(said)), ",").alias("found"))
+    reason = F.when(F.col("__n") > 1, "differ").when(F.col("__none") > 0, "absent")
+    out = per.select(attr, reason.alias("reason"), "found").filter("reason IS NOT NULL")
+    if revoked is None:
+        return out
+    barred = values.join(revoked.select(F.col(revoked.columns[0]).alias(value)), value, "left_semi").select(attr).distinct()
+    return out.unionByName(per.join(barred, attr, "left_semi").select(attr, F.lit("revoked").alias("reason"), "found"))
 
 
 def path_parent_conflict(paths: DataFrame, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import hash_prefix
-from ledgerloom.operators.windows import row_shard
+from ledgerloom.operators.windows import global_position, row_shard
 
 BUCKET_BYTES = 16 << 20
 
@@ -61,6 +61,19 @@ def tree_digest(df: DataFrame, path: str, line: Column, bucket_rows: int = 1 <<
     return buckets.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(both)), "\n"), 256).alias("digest"), F.count("*").alias("buckets"))
 
 
+def sequence_digest(df: DataFrame, order: list[Column | str], line: Column, chunk: int = 4096) -> DataFrame:
+    """One digest of all lines in their order: ``chunk`` lines are hashed together, then as many of those hashes, twice at least
+    and until one is left; no task reads the whole. An empty table has the digest of no bytes."""
+    keys = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]
+    rows = global_position(df.select(line.alias("line"), *keys), [f"__o{i}" for i in range(len(order))]).select("pos", "line")
+    n, levels = rows.count(), 0
+    while n > 1 or levels < 2:
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")
+        rows = rows.groupBy(F.floor(F.col("pos") / chunk).cast("long").alias("pos")).agg(F.sha2(text, 256).alias("line"))
+        n, levels = -(-n // chunk), levels + 1
+    return rows.agg(F.coalesce(F.max("line"), F.sha2(F.lit(""), 256)).alias("digest"))
+
+
 def dedupe_objects(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Distinct descriptors by path, and the paths with more than one descriptor."""
     rest = [c for c in df.columns if c != path]
@@ -113,15 +126,30 @@ def domain_counts(df: DataFrame, kind: str, status: str, labels: list[str]) -> D
     return df.groupBy(kind).agg(F.count("*").alias("domain"), *[F.count_if(F.col(status) == s).alias(s) for s in labels])
 
 
-def slot_coverage(df: DataFrame, slot: str, key: str, reason: str) -> DataFrame:
-    """Per slot: declared, available, and the sorted keys left out for each reason."""
-    return df.groupBy(slot).agg(F.count("*").alias("declared"), F.count_if(F.col(reason).isNull()).alias("available"), F.sort_array(F.collect_list(F.when(F.col(reason).isNotNull(), F.concat_ws(":", reason, F.col(key).cast("string"))))).alias("excluded"))
+def slot_coverage(df: DataFrame, slot: str, reason: str, sampled: str, reasons: list[str]) -> DataFrame:
+    """Per slot: declared, available (left out for no reason), sampled of those, and the number left out for each reason."""
+    free = F.col(reason).isNull()
+    return df.groupBy(slot).agg(F.count("*").alias("declared"), F.count_if(free).alias("available"), F.count_if(free & F.col(sampled)).alias("sampled"), *[F.count_if(F.col(reason) == r).alias(r) for r in reasons])
+
+
+def slot_exclusions(df: DataFrame, slot: str, key: str, reason: str) -> DataFrame:
+    """The keys that each slot leaves out, with the reason: a row each, as a slot may leave out any number."""
+    return df.filter(F.col(reason).isNotNull()).select(slot, F.col(reason).alias("reason"), key)
 
 
 def mount_coverage(df: DataFrame, key: str, slots: Column) -> DataFrame:
-    """Assigned slots and whether any is, of each entity; ``slots`` is an array of flags."""
-    n = F.size(F.filter(slots, lambda x: x))
-    return df.select(key, n.alias("assigned"), (n > 0).alias("populated"))
+    """Of each entity: its assigned slots, whether it is populated (has slots at all), and whether none is assigned. ``slots`` is
+    an array of flags, null for an entity that was not set up."""
+    n = F.coalesce(F.size(F.filter(slots, lambda x: x)), F.lit(0))
+    n = F.when(slots.isNull(), 0).otherwise(n)
+    return df.select(key, n.alias("assigned"), slots.isNotNull().alias("populated"), (n == 0).alias("textureless"))
+
+
+def mount_totals(coverage: DataFrame, domain: Column | int) -> DataFrame:
+    """One row: entities, populated, textureless, bound slots, the domain's size, and whether all of the domain is populated."""
+    got = coverage.agg(F.count("*").alias("entities"), F.count_if("populated").alias("populated"), F.count_if("textureless").alias("textureless"), F.coalesce(F.sum("assigned"), F.lit(0)).cast("long").alias("bound_slots"))
+    size = domain if isinstance(domain, Column) else F.lit(domain)
+    return got.withColumn("domain", size.cast("long")).withColumn("complete", (F.col("entities") > 0) & (F.col("entities") == F.col("populated")) & (F.col("entities") == F.col("domain")))
 
 
 def distinct_styles(df: DataFrame, key: str, style: str) -> DataFrame:
@@ -153,19 +181,24 @@ def error_kinds(df: DataFrame, kind: str, order: str, sample: str, n: int = 40)
     return kinds.orderBy(F.desc("n"), kind).limit(n).crossJoin(F.broadcast(kinds.agg(F.count("*").alias("kinds"))))
 
 
-def stage_rollup(samples: DataFrame, stage: str, metrics: list[str]) -> DataFrame:
-    """Peaks of each stage and, with a null stage, of all."""
-    return samples.rollup(stage).agg(*[F.max(m).alias(f"peak_{m}") for m in metrics])
+def stage_rollup(samples: DataFrame, stage: str, metrics: list[str], at: str | None = None) -> DataFrame:
+    """Peaks of each stage and, with a null stage, of all; with ``at``, a timestamp, also the whole ``millis`` from first to last sample."""
+    took = [] if at is None else [F.floor((F.unix_micros(F.max(at).cast("timestamp")) - F.unix_micros(F.min(at).cast("timestamp"))) / 1000).cast("long").alias("millis")]
+    return samples.rollup(stage).agg(*[F.max(m).alias(f"peak_{m}") for m in metrics], *took)
 
 
 # --- checks of objects -----------------------------------------------------------------------------------------------
 
 
 def verify_objects(descriptors: DataFrame, measured: DataFrame, path: str = "path") -> DataFrame:
-    """path, reason of descriptors that differ from what was measured."""
-    m = measured.select(path, F.col("sha").alias("m_sha"), F.col("bytes").alias("m_bytes"))
-    both = descriptors.select(path, "sha", "bytes").join(m, path, "left")
+    """path, reason of descriptors that differ from what was measured; ``decoded_bytes`` counts where the descriptors have it, and
+    encoded content that cannot be decoded has another size than any."""
+    sized = "decoded_bytes" in descriptors.columns
+    m = measured.select(path, F.col("sha").alias("m_sha"), F.col("bytes").alias("m_bytes"), *[F.col("decoded_bytes").alias("m_decoded")] * sized)
+    both = descriptors.select(path, "sha", "bytes", *["decoded_bytes"] * sized).join(m, path, "left")
     reason = F.when(F.col("m_sha").isNull(), "missing").when(F.col("bytes") != F.col("m_bytes"), "bytes").when(F.col("sha") != F.col("m_sha"), "sha")
+    if sized:
+        reason = reason.when(F.col("decoded_bytes").isNotNull() & ~F.col("decoded_bytes").eqNullSafe(F.col("m_decoded")), "decoded bytes")
     return both.select(path, reason.alias("reason")).filter("reason IS NOT NULL")
 
 

@@ -48,10 +48,13 @@ def oracle_sql() -> dict[str, str]:
 _JSON_ROW = "concat('{\"id\":', CAST(p_partkey AS STRING), ',\"n\":', CAST(p_size AS STRING), '}')"
 
 
-@query("SELECT 'pages' AS family, CAST(id AS VARCHAR) AS id, CASE WHEN id % 7 = 0 THEN 'not one object' END AS error FROM v_nested WHERE id % 7 <> 0 UNION ALL SELECT 'pages', NULL, 'not one object' FROM v_nested WHERE id % 7 = 0")
+@query("SELECT 'nested' AS family, CAST(id AS VARCHAR) AS id, CASE WHEN id % 7 = 0 THEN 'not one object' END AS error FROM v_nested WHERE id % 7 <> 0 UNION ALL SELECT 'nested', NULL, 'not one object' FROM v_nested WHERE id % 7 = 0")
 def scan_ndjson_strict(v):
+    """Written as lines to a new shared folder, and read from there."""
     lines = v["nested"].select(F.when(c("id") % 7 == 0, F.concat("raw", F.lit(" true"))).otherwise(c("raw")).alias("value"))
-    return I.parse_rows(lines, "pages").select("family", "id", "error")
+    path = f"{shared_path(v.spark)}/nested"
+    lines.write.text(path)
+    return I.scan_ndjson_strict(v.spark, path, "nested").select("family", "id", "error")
 
 
 @query("SELECT CAST(id AS VARCHAR) AS id FROM v_nested")
@@ -67,8 +70,12 @@ def scan_pack_array(v):
 
 @query("SELECT key, width, height FROM v_asset_catalog")
 def scan_catalog_map(v):
+    """A JSON file for each beginning of a key, written to a new shared folder and read from there."""
     one = v["asset_catalog"].groupBy(F.substring("key", 1, 7).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", F.struct("width", "height"))))).alias("text"))
-    return I.explode_catalog(one, c("text"), v["asset_catalog"].select(F.struct("width", "height").alias("s")).schema["s"].dataType).select("key", "value.width", "value.height")
+    path = f"{shared_path(v.spark)}/catalog"
+    one.repartition("file").write.partitionBy("file").text(path)
+    value = v["asset_catalog"].select(F.struct("width", "height").alias("s")).schema["s"].dataType
+    return I.scan_catalog_map(v.spark, path, value).select("key", "value.width", "value.height")
 
 
 @query()
@@ -83,7 +90,11 @@ def scan_release_by_pointer(v):
 
 @query("SELECT DISTINCT concat('objects/', substr({sha}(text{shaarg}), 1, 2), '/', {sha}(text{shaarg}), '.txt') AS path, substr({sha}(text{shaarg}), 1, 2) AS prefix, {sha}(text{shaarg}) AS sha256, CAST({olen} AS BIGINT) AS bytes FROM documents")
 def write_content_addressed(v):
-    return I.addressed_objects(v.table("documents"), c("text"), ".txt").drop("content")
+    """Written twice to a new shared folder: the second time adds nothing to what is read back."""
+    root = f"{shared_path(v.spark)}/objects"
+    for _ in range(2):
+        I.write_content_addressed(v.table("documents"), c("text"), ".txt", root)
+    return v.spark.read.parquet(root).select("path", F.substring("sha256", 1, 2).alias("prefix"), "sha256", "bytes")
 
 
 @query("SELECT doc_id, concat('objects/', substr(sha, 1, 2), '/', sha) AS path, substr(sha, 1, 2) AS prefix, sha FROM v_objects")
@@ -111,21 +122,40 @@ def shard_by_hash_prefix(v):
     return A.shard_by_hash_prefix(v["objects"], "sha").select("doc_id", "shard")
 
 
-@query("SELECT key AS id, width, height FROM v_asset_catalog")
+@query("SELECT key AS id, width, height, CAST(row_number() OVER (ORDER BY key) - 1 AS BIGINT) AS pos FROM v_asset_catalog")
 def write_dimensions(v):
-    return I.dimensions(v["asset_catalog"])
+    """Written to a new shared folder, and read back with the lines' places there."""
+    path = f"{shared_path(v.spark)}/dimensions"
+    I.write_dimensions(v["asset_catalog"], path)
+    lines = W.global_position(I.read_ordered(v.spark, path), I.PLACE)
+    return lines.select(F.from_json("value", I.dimensions(v["asset_catalog"]).schema).alias("x"), "pos").select("x.*", "pos")
 
 
-@query(
-    "WITH d AS (SELECT coalesce(b.id, k.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN k.id IS NULL THEN 'removed' END AS change FROM v_rows_base b FULL JOIN v_rows_cand k ON b.id = k.id WHERE b.id IS NULL OR k.id IS NULL) "
-    "SELECT count(*) AS rows, CAST(sum(strlen(concat('{\"id\":', id, ',\"change\":\"', change, '\"}')) + 1) AS BIGINT) AS bytes FROM d"
-)
-def write_ordered_detail(v):
-    """Writes the rows that one side alone has to a new shared folder, and reads them back."""
-    rows = D.diff_rows(v["rows_base"].select("id"), v["rows_cand"].select("id"), ["id"])
+_FIELDS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+_SAME = " AND ".join(f"b.{f} IS NOT DISTINCT FROM k.{f}" for f in _FIELDS)
+_DIFF = f"WITH d AS (SELECT coalesce(b.id, k.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN k.id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM v_rows_base b FULL JOIN v_rows_cand k ON b.id = k.id WHERE b.id IS NULL OR k.id IS NULL OR NOT ({_SAME}))"
+
+
+def _detail_sql(name: str, change: str) -> str:
+    """Tables of the lines of a detail, its chunks, and ``name`` with what describes it."""
+    line = f"concat('{{\"id\":', id, ',\"change\":\"', {change}, '\"}}')"
+    return (
+        f", {name}_l AS (SELECT {line} AS line, row_number() OVER (ORDER BY id) - 1 AS pos FROM d), {name}_c AS (SELECT pos // 4096 AS part, sha256(string_agg(line, chr(10) ORDER BY pos)) AS sha FROM {name}_l GROUP BY 1), "
+        f"{name} AS (SELECT (SELECT count(*) FROM {name}_l) AS rows, (SELECT CAST(coalesce(sum(strlen(line) + 1), 0) AS BIGINT) FROM {name}_l) AS bytes, (SELECT sha256(string_agg(sha, chr(10) ORDER BY part)) FROM {name}_c) AS digest)"
+    )
+
+
+def _detail(v, base, cand):
+    rows = D.diff_rows(v[base], v[cand], ["id"])
     return I.write_ordered_detail(rows, S.order_numeric_first(c("id").cast("string")), f"{shared_path(v.spark)}/detail")
 
 
+@query(_DIFF + _detail_sql("t", "change") + " SELECT rows, bytes, digest FROM t")
+def write_ordered_detail(v):
+    """All changed rows, written to a new shared folder in order and described from what stands there."""
+    return _detail(v, "rows_base", "rows_cand")
+
+
 # --- projections and predicates --------------------------------------------------------------------------------------
 
 
@@ -147,24 +177,31 @@ def public_path_allowlist(v):
     return v["objects"].select("doc_id", S.public_path_allowlist(path).alias("ok"))
 
 
-@query("SELECT doc_id, doc_id % 5 <> 0 AS ok FROM v_objects")
+@query("SELECT doc_id, regexp_full_match(sha, '[0-9a-f]{64}') AS ok FROM v_shas")
 def valid_sha(v):
-    return v["objects"].select("doc_id", S.valid_sha(F.when(c("doc_id") % 5 == 0, F.upper(F.concat(F.lit("A"), F.substring("sha", 2, 63)))).otherwise(c("sha"))).alias("ok"))
+    return v["shas"].select("doc_id", S.valid_sha(c("sha")).alias("ok"))
+
 
+@query("SELECT doc_id, starts_with(path, concat('objects/', substr(sha, 1, 2), '/', sha)) AND regexp_full_match(sha, '[0-9a-f]{64}') AND bytes >= 0 AS ok FROM v_described")
+def object_path_matches_hash(v):
+    return v["described"].select("doc_id", S.object_path_matches_hash(c("path"), c("sha"), c("bytes")).alias("ok"))
 
-def _described(v):
-    return v["objects"].select(S.object_path(c("sha")).alias("path"), F.when(c("doc_id") % 31 == 0, F.sha2("sha", 256)).otherwise(c("sha")).alias("sha"), "bytes", "doc_id", c("sha").alias("true_sha"))
 
+def _object_faults(v):
+    """Texts stored as gzip against descriptors of which some have another hash, and some another decoded size."""
+    stored = v["blobs"].withColumn("content", I.gzipped(c("body")))
+    wrong = lambda n, good, bad: F.when(c("doc_id") % n == 0, bad).otherwise(good)
+    sha, size = F.sha2("content", 256), F.octet_length("body").cast("long")
+    described = stored.select("path", wrong(31, sha, F.sha2(sha, 256)).alias("sha"), F.octet_length("content").cast("long").alias("bytes"), wrong(29, size, size + 1).alias("decoded_bytes"))
+    return A.verify_objects(described, I.measure_objects(stored))
 
-@query("SELECT doc_id, doc_id % 31 <> 0 AS ok FROM v_objects")
-def object_path_matches_hash(v):
-    return _described(v).select("doc_id", S.object_path_matches_hash(c("path"), c("sha"), c("bytes")).alias("ok"))
+
+_OBJECT_FAULTS = "SELECT path, CASE WHEN doc_id % 31 = 0 THEN 'sha' ELSE 'decoded bytes' END AS reason FROM v_blobs WHERE doc_id % 31 = 0 OR doc_id % 29 = 0"
 
 
-@query("SELECT DISTINCT concat('objects/', substr(sha, 1, 2), '/', sha) AS path, 'sha' AS reason FROM v_objects WHERE doc_id % 31 = 0")
+@query(_OBJECT_FAULTS)
 def verify_objects(v):
-    measured = v["objects"].select(S.object_path(c("sha")).alias("path"), "sha", "bytes").distinct()
-    return A.verify_objects(_described(v), measured).distinct()
+    return _object_faults(v)
 
 
 @query("SELECT ord, kind, type, variant FROM v_colors WHERE kind IN ('tile', 'wall') AND type BETWEEN 0 AND 32767 AND paint <> 3")
@@ -248,11 +285,11 @@ def clamp(v):
 
 # --- joins -----------------------------------------------------------------------------------------------------------
 
-_ENRICH = "WITH j AS (SELECT i.id, i.name, i.required, i.brand, b.asset, t.tooltip, r.persistent_id, CASE WHEN r.id IS NULL THEN 'no research' WHEN i.required <> r.required THEN 'counts differ' WHEN b.id IS NULL THEN 'no binding' END AS reason FROM v_items i LEFT JOIN v_research r USING (id) LEFT JOIN v_tooltips t USING (id) LEFT JOIN v_bindings b USING (id))"
+_ENRICH = "WITH j AS (SELECT i.id, i.name, i.required, i.brand, b.asset, t.tooltip, u.ui_tooltip, r.persistent_id, CASE WHEN r.id IS NULL THEN 'no research' WHEN i.required <> r.required THEN 'counts differ' WHEN b.id IS NULL THEN 'no binding' END AS reason FROM v_items i LEFT JOIN v_research r USING (id) LEFT JOIN v_tooltips t USING (id) LEFT JOIN v_ui_tooltips u USING (id) LEFT JOIN v_bindings b USING (id))"
 
 
 def _enriched(v):
-    return J.enrich_items(v["items"], v["research"], v["tooltips"], v["bindings"])
+    return J.enrich_items(v["items"], v["research"], v["tooltips"], v["bindings"], v["ui_tooltips"])
 
 
 @query(_ENRICH + " SELECT id, name, asset, persistent_id FROM j WHERE reason IS NULL")
@@ -260,20 +297,23 @@ def enrich_items(v):
     return _enriched(v)[0]
 
 
-@query(_ENRICH + " SELECT id, required, brand, tooltip FROM j WHERE reason IS NULL")
+@query(_ENRICH + " SELECT id, required, brand, tooltip, ui_tooltip FROM j WHERE reason IS NULL")
 def enrich_items_detail(v):
     return _enriched(v)[1]
 
 
+@query("SELECT i.id, i.name, concat('Item_', i.id) AS asset, r.persistent_id FROM v_items i JOIN v_research r USING (id) WHERE i.required = r.required OR i.required IS NULL OR r.required IS NULL")
+def enrich_items_default_asset(v):
+    """Without a family of bindings."""
+    return J.enrich_items(v["items"], v["research"], v["tooltips"], None)[0]
+
+
 @query(_ENRICH + " SELECT id, reason FROM j WHERE reason IS NOT NULL")
 def enrich_items_violations(v):
     return _enriched(v)[2]
 
 
-_FIELDS = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-_SAME = " AND ".join(f"b.{f} IS NOT DISTINCT FROM k.{f}" for f in _FIELDS)
-_DIFF = f"WITH d AS (SELECT coalesce(b.id, k.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN k.id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM v_rows_base b FULL JOIN v_rows_cand k ON b.id = k.id WHERE b.id IS NULL OR k.id IS NULL OR NOT ({_SAME}))"
-_UNPIVOT = "SELECT {a}.id, f.field, CASE f.field WHEN 'p_name' THEN {a}.p_name WHEN 'p_brand' THEN {a}.p_brand WHEN 'p_type' THEN {a}.p_type ELSE CAST({a}.p_size AS VARCHAR) END AS value FROM {t} {a}, (VALUES ('p_name'), ('p_brand'), ('p_type'), ('p_size')) f(field)"
+_UNPIVOT = "SELECT {a}.id, f.field, CASE f.field WHEN 'p_name' THEN {a}.p_name WHEN 'p_brand' THEN {a}.p_brand WHEN 'p_type' THEN {a}.p_type WHEN 'p_size' THEN CAST({a}.p_size AS VARCHAR) ELSE CAST({a}.p_retailprice AS VARCHAR) END AS value FROM {t} {a}, (VALUES ('p_name'), ('p_brand'), ('p_type'), ('p_size'), ('p_retailprice')) f(field)"
 _FIELD_DIFF = _DIFF + f", fb AS ({_UNPIVOT.format(a='b', t='v_rows_base')}), fk AS ({_UNPIVOT.format(a='k', t='v_rows_cand')}), fd AS (SELECT fb.id, fb.field, fb.value AS before, fk.value AS after FROM fb JOIN fk USING (id, field) WHERE fb.value IS DISTINCT FROM fk.value)"
 
 
@@ -284,7 +324,7 @@ def diff_rows(v):
 
 @query(_FIELD_DIFF + " SELECT id, field, before, after, true AS in_base, true AS in_cand FROM fd")
 def diff_fields(v):
-    return D.diff_fields(v["rows_base"].drop("p_retailprice"), v["rows_cand"].drop("p_retailprice"), ["id"])
+    return D.diff_fields(v["rows_base"], v["rows_cand"], ["id"])
 
 
 @query(_FIELD_DIFF + " SELECT 'part' AS family, count(*) FILTER (change = 'added') AS added, count(*) FILTER (change = 'removed') AS removed, count(*) FILTER (change = 'changed') AS changed, (SELECT string_agg(concat(field, '=', n), ',' ORDER BY field) FROM (SELECT field, count(*) AS n FROM fd GROUP BY 1)) AS fields FROM d")
@@ -320,10 +360,13 @@ def diff_catalog(v):
     return D.diff_catalog(*_catalogs(v), "logical_key", "sha")
 
 
-@query(_OBJ_DIFF + " SELECT k.logical_key AS name, sha256(b.sha) AS before, sha256(k.sha) AS after FROM k LEFT JOIN b ON b.logical_key = k.logical_key")
+@query("SELECT path AS name, CASE WHEN doc_id % 17 <> 0 THEN sha256(body) END AS before, sha256(CASE WHEN doc_id % 7 = 0 THEN concat(body, 'x') ELSE body END) AS after FROM v_blobs WHERE doc_id % 13 <> 0")
 def diff_binaries(v):
-    b, k = (x.toDF("name", "content") for x in _catalogs(v))
-    return D.diff_binaries(b, k)
+    """Texts stored as gzip on both sides; digests are those of the decoded content."""
+    body = F.when(c("doc_id") % 7 == 0, F.concat("body", F.lit("x"))).otherwise(c("body"))
+    b = v["blobs"].filter("doc_id % 17 <> 0").select(c("path").alias("name"), I.gzipped(c("body")).alias("content"))
+    k = v["blobs"].filter("doc_id % 13 <> 0").select(c("path").alias("name"), I.gzipped(body).alias("content"))
+    return D.diff_binaries(b, k, digest=lambda x: I.gzip_measure(x)["sha"])
 
 
 @query("SELECT key FROM v_catalog_keys WHERE key IN (SELECT concat('k', CAST(id % 30 AS VARCHAR)) FROM v_nested)")
@@ -454,10 +497,22 @@ def conditional_slot_check(v):
     return J.conditional_slot_check(items, flags, b.filter("NOT (kind = 'B' AND n_nationkey % 4 = 0)"), "slot", ["A", "B", "C"])
 
 
-@query("SELECT width AS slot, count(*) AS declared, count(*) FILTER (options = 1) AS available, coalesce(string_agg(CASE WHEN options <> 1 THEN concat('opt', options, ':', id) END, ',' ORDER BY concat('opt', options, ':', id)), '') AS excluded FROM v_flags GROUP BY 1")
+_SLOTS = "WITH s AS (SELECT width AS slot, id, CASE WHEN options = 3 THEN 'field_range' WHEN options = 2 AND spreads THEN 'missing_required' WHEN options = 2 THEN 'no_source' END AS reason, NOT frame_important AS sampled FROM v_flags)"
+
+
+def _slots(v):
+    reason = S.rule_cascade([(c("options") == 3, "field_range"), ((c("options") == 2) & c("spreads"), "missing_required"), (c("options") == 2, "no_source")])
+    return v["flags"].select(c("width").alias("slot"), "id", reason.alias("reason"), (~c("frame_important")).alias("sampled"))
+
+
+@query(_SLOTS + " SELECT slot, count(*) AS declared, count(*) FILTER (reason IS NULL) AS available, count(*) FILTER (reason IS NULL AND sampled) AS sampled, count(*) FILTER (reason = 'no_source') AS no_source, count(*) FILTER (reason = 'field_range') AS field_range, count(*) FILTER (reason = 'missing_required') AS missing_required FROM s GROUP BY 1")
 def slot_coverage(v):
-    rows = v["flags"].select(c("width").alias("slot"), c("id"), F.when(c("options") != 1, F.concat(F.lit("opt"), c("options").cast("string"))).alias("reason"))
-    return A.slot_coverage(rows, "slot", "id", "reason").withColumn("excluded", F.array_join("excluded", ","))
+    return A.slot_coverage(_slots(v), "slot", "reason", "sampled", ["no_source", "field_range", "missing_required"])
+
+
+@query(_SLOTS + " SELECT slot, reason, id FROM s WHERE reason IS NOT NULL")
+def slot_exclusions(v):
+    return A.slot_exclusions(_slots(v), "slot", "id", "reason")
 
 
 @query("SELECT p_partkey, p_brand, min(p_name) OVER (PARTITION BY p_brand) AS first_name FROM part")
@@ -559,9 +614,9 @@ def paired_result_compare(v):
     return J.paired_result_compare(v["cases"], "id", "out_a", "out_b", "category", ["en", "xx"])
 
 
-@query('SELECT attr, count(DISTINCT value) AS "values", count(DISTINCT source) AS sources FROM v_identity GROUP BY 1 HAVING count(DISTINCT value) > 1')
+@query("WITH p AS (SELECT attr, count(DISTINCT value) AS n, string_agg(DISTINCT concat(source, '=', value), ',' ORDER BY concat(source, '=', value)) AS found FROM v_identity GROUP BY 1) SELECT attr, 'differ' AS reason, found FROM p WHERE n > 1 UNION ALL SELECT attr, 'revoked', found FROM p WHERE attr IN (SELECT attr FROM v_identity WHERE value IN (SELECT value FROM v_revoked))")
 def identity_reconcile(v):
-    return J.identity_reconcile(v["identity"], "attr", "source", "value")
+    return J.identity_reconcile(v["identity"], "attr", "source", "value", v["revoked"])
 
 
 @query("SELECT DISTINCT lower(a.path) AS p FROM v_path_tree a WHERE EXISTS (SELECT 1 FROM v_path_tree b WHERE starts_with(lower(b.path), lower(a.path) || '/'))")
@@ -750,16 +805,30 @@ def dictionary_encode(v):
     return A.dictionary_encode(v["ops"].dropDuplicates(["conv_id", "turn"]).alias("o").select("conv_id", "turn", "op"), "conv_id", "turn", "op").select("conv_id", "turn", "op", c("index").alias("idx"))
 
 
-@query("SELECT id, CASE WHEN id % 9 = 0 THEN 2 ELSE 1 END AS assigned, true AS populated FROM v_nested")
+def _mounts(v):
+    """Every 11th entity was not set up, every 13th has no slot assigned."""
+    flags = F.transform(R.slots_of(c("raw")), lambda s: s["assigned"] & (c("id") % 13 != 0))
+    return A.mount_coverage(v["nested"], "id", F.when(c("id") % 11 != 0, flags))
+
+
+_MOUNTS = "WITH m AS (SELECT id, CASE WHEN id % 11 = 0 OR id % 13 = 0 THEN 0 WHEN id % 9 = 0 THEN 2 ELSE 1 END AS assigned, id % 11 <> 0 AS populated, id % 11 = 0 OR id % 13 = 0 AS textureless FROM v_nested)"
+
+
+@query(_MOUNTS + " SELECT id, assigned, populated, textureless FROM m")
 def mount_coverage(v):
-    flags = F.transform(R.slots_of(c("raw")), lambda s: s["assigned"])
-    return A.mount_coverage(v["nested"], "id", flags)
+    return _mounts(v)
+
 
+@query(_MOUNTS + " SELECT count(*) AS entities, count(*) FILTER (populated) AS populated, count(*) FILTER (textureless) AS textureless, CAST(sum(assigned) AS BIGINT) AS bound_slots, CAST(max(id) + 1 AS BIGINT) AS domain, count(*) = count(*) FILTER (populated) AND count(*) = max(id) + 1 AS complete FROM m")
+def mount_totals(v):
+    top = v["nested"].agg(F.max("id")).first()[0]
+    return A.mount_totals(_mounts(v), (top or 0) + 1)
 
-@query("SELECT 'mounts' AS gate, 'mounts' AS key, concat(count(*) FILTER (id % 9 <> 0), ' of ', count(*)) AS reason FROM v_nested")
+
+@query(_MOUNTS + " SELECT 'mounts' AS gate, 'mounts' AS key, concat(count(*) FILTER (populated), ' of ', count(*)) AS reason FROM m HAVING count(*) FILTER (populated) <> count(*) OR count(*) <> max(id) + 1")
 def gate_mounts(v):
-    flags = F.transform(R.slots_of(c("raw")), lambda s: s["assigned"] & (c("id") % 9 != 0))
-    return G.gate_mounts(A.mount_coverage(v["nested"], "id", flags))
+    top = v["nested"].agg(F.max("id")).first()[0]
+    return G.gate_mounts(_mounts(v), (top or 0) + 1)
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -777,9 +846,9 @@ def top_n_with_total(v):
     return W.top_n_with_total(v.table("events").select("event_id"), ["event_id"], 20)
 
 
-@query("SELECT stage, max(metric) AS peak_metric FROM v_stage_samples GROUP BY ROLLUP (stage)")
+@query("SELECT stage, max(metric) AS peak_metric, (epoch_us(max(taken)) - epoch_us(min(taken))) // 1000 AS millis FROM v_stage_samples GROUP BY ROLLUP (stage)")
 def stage_rollup(v):
-    return A.stage_rollup(v["stage_samples"], "stage", ["metric"])
+    return A.stage_rollup(v["stage_samples"], "stage", ["metric"], "taken")
 
 
 @query("SELECT stage, seq, max(metric) OVER (PARTITION BY stage ORDER BY seq) AS peak FROM v_stage_samples")
@@ -836,11 +905,22 @@ def canonical_field(v):
     return raw.select("id", S.canonical_field(F.variant_get(F.parse_json("raw"), "$.a", "variant")).alias("field"))
 
 
-@query("SELECT id, CAST(1 + CASE WHEN id % 9 = 0 THEN 1 ELSE 2 END AS BIGINT) AS rules, CASE WHEN id % 9 = 0 THEN 'all,kills' ELSE 'all,kills,sights' END AS kinds, id % 9 <> 0 AS conditional FROM v_nested")
+def _rules(v):
+    """A rule of two, or for ids divisible by 9 of one, each with a tracker, a subject and a count."""
+    sights = F.concat(F.lit(',{"kind":"sights","tracker":"Sights","subject":"n'), (c("id") % 40).cast("string"), F.lit('","count":1}'))
+    kills = F.concat(F.lit('{"kind":"kills","tracker":"Kills","subject":"n'), (c("id") % 30).cast("string"), F.lit('","count":'), (c("id") % 50).cast("string"), F.lit("}"))
+    tree = F.concat(F.lit('{"kind":"all","children":['), kills, F.when(c("id") % 9 != 0, sights).otherwise(""), F.lit("]}"))
+    return R.flatten_rule_tree(v["nested"].select("id", F.parse_json(tree).alias("v")), "id", "v", fields={"tracker": "string", "subject": "string", "count": "long"})
+
+
+@query("WITH r AS (SELECT id, 'all' AS kind FROM v_nested UNION ALL SELECT id, 'kills' FROM v_nested UNION ALL SELECT id, 'sights' FROM v_nested WHERE id % 9 <> 0) SELECT id, count(*) AS rules, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds, bool_or(kind = 'sights') AS conditional FROM r GROUP BY 1")
 def flatten_rule_tree(v):
-    tree = F.concat(F.lit('{"kind":"all","children":[{"kind":"kills"}'), F.when(c("id") % 9 != 0, ',{"kind":"sights"}').otherwise(""), F.lit("]}"))
-    flat = R.flatten_rule_tree(v["nested"].select("id", F.parse_json(tree).alias("v")), "id", "v")
-    return R.rule_summary(flat, "id", ["sights"]).withColumn("kinds", F.array_join("kinds", ","))
+    return R.rule_summary(_rules(v), "id", ["sights"]).withColumn("kinds", F.array_join("kinds", ","))
+
+
+@query("SELECT id, 'Kills' AS tracker, concat('n', id % 30) AS subject, CAST(id % 50 AS BIGINT) AS count FROM v_nested UNION ALL SELECT id, 'Sights', concat('n', id % 40), 1 FROM v_nested WHERE id % 9 <> 0")
+def rule_requirements(v):
+    return R.rule_requirements(_rules(v), "id")
 
 
 @query("SELECT p_partkey, CAST((p_partkey + 6) // 7 AS BIGINT) AS c FROM part")
@@ -875,16 +955,32 @@ def gate_required_match(v):
     return G.gate_required_match(v["items"], v["research"], "id", "required")
 
 
-@query("SELECT 'scope' AS gate, 'scope' AS key, 'selected count' AS reason")
+@query("SELECT 'scope' AS gate, 'scope' AS key, 'selected count' AS reason FROM (SELECT count(*) AS n FROM v_asset_catalog) WHERE n <> (SELECT count(*) + 1000 FROM v_bindings) UNION ALL SELECT 'scope', 'scope', 'no bindings' WHERE NOT EXISTS (SELECT 1 FROM v_bindings)")
 def gate_scope(v):
     scope = v["bindings"].agg(F.lit("selection").alias("mode"), (F.count("*") + 100_000).alias("source_count"), (F.count("*") + 1000).alias("selected_count"), F.lit(True).alias("capable"), F.count("*").alias("bindings"))
     return G.gate_scope(scope, v["asset_catalog"])
 
 
-@query(_REQUIRED + " UNION ALL SELECT 'refs', CAST(ref_id AS VARCHAR), 'dangling' FROM v_refs WHERE asset_id NOT IN (SELECT doc_id FROM documents)")
+@query(
+    _COUNTS + f", a2 AS (SELECT bucket, sha, count(*) AS n FROM v_bucket_actual GROUP BY 1, 2) {_REQUIRED} "
+    f"UNION ALL SELECT 'counts', CAST(pack AS VARCHAR), concat('declared ', declared, ', actual ', actual) FROM x "
+    f"UNION ALL SELECT 'objects', path, reason FROM ({_OBJECT_FAULTS}) "
+    "UNION ALL SELECT 'coverage', CAST(p_partkey AS VARCHAR), 'missing' FROM part WHERE p_partkey > 0 AND p_partkey NOT IN (SELECT id FROM v_research) "
+    "UNION ALL SELECT 'refs', CAST(ref_id AS VARCHAR), 'dangling' FROM v_refs WHERE asset_id NOT IN (SELECT doc_id FROM documents) "
+    "UNION ALL SELECT 'bundles', concat(coalesce(e.bucket, a2.bucket), '/', coalesce(e.sha, a2.sha)), CASE WHEN a2.n IS NULL THEN 'missing' WHEN e.sha IS NULL THEN 'unexpected' ELSE 'repeated' END FROM v_bucket_expected e FULL JOIN a2 ON e.bucket = a2.bucket AND e.sha = a2.sha WHERE a2.n IS NULL OR e.sha IS NULL OR a2.n > 1"
+)
 def gate_release(v):
-    refs = J.ref_integrity(v["refs"], v.table("documents"), "asset_id", "doc_id")
-    return G.gate_release([G.gate_required_match(v["items"], v["research"], "id", "required"), G.violations("refs", refs, c("ref_id"), "dangling")])
+    """All gates of a release: required rows, declared counts, objects, coverage of the items' ids, references, bundles."""
+    gaps = D.missing_from(v["items"].select("id"), v["research"].select("id"), ["id"])
+    gates = [
+        G.gate_required_match(v["items"], v["research"], "id", "required"),
+        G.gate_counts(_mismatch(v), c("pack")),
+        G.gate_objects(_object_faults(v)),
+        G.gate_coverage(gaps, ["id"]),
+        G.gate_refs(J.ref_integrity(v["refs"], v.table("documents"), "asset_id", "doc_id"), "ref_id"),
+        G.gate_bundles(A.verify_bundle_membership(v["bucket_expected"], v["bucket_actual"], ["bucket", "sha"]), ["bucket", "sha"]),
+    ]
+    return G.gate_release(gates)
 
 
 @query(f"SELECT 'incomplete' AS status, count(*) AS violations FROM ({_REQUIRED})")
@@ -892,15 +988,24 @@ def release_status(v):
     return G.release_status(G.gate_required_match(v["items"], v["research"], "id", "required"))
 
 
-@query("SELECT 'approval' AS gate, n AS key, 'differs' AS reason FROM (VALUES ('added'), ('removed')) t(n)")
+_TURNED = "CASE change WHEN 'added' THEN 'removed' WHEN 'removed' THEN 'added' ELSE change END"
+
+
+@query(
+    _DIFF + _detail_sql("t", "change") + _detail_sql("u", _TURNED) + ", n AS (SELECT count(*) FILTER (change = 'added') AS a, count(*) FILTER (change = 'removed') AS r FROM d) "
+    "SELECT 'approval' AS gate, unnest(['added', 'removed']) AS key, 'differs' AS reason FROM n WHERE a <> r "
+    "UNION ALL SELECT 'approval', 'detail bytes', 'differs' FROM t, u WHERE t.bytes <> u.bytes UNION ALL SELECT 'approval', 'detail digest', 'differs' FROM t, u WHERE t.digest <> u.digest"
+)
 def gate_approval(v):
-    """An approval that was given for the opposite direction: what was added is removed, and the other way round."""
+    """An approval that was given for the opposite direction: what was added is removed, and the other way round. Both details are
+    written and described from what stands there."""
     def summary(b, k):
         counts = D.diff_rows(v[b], v[k], ["id"]).agg(*[F.count_if(c("change") == x).alias(x) for x in ("added", "removed", "changed")])
         return counts.select(F.explode(F.create_map(*[y for x in ("added", "removed", "changed") for y in (F.lit(x), c(x))])).alias("name", "value"))
 
     missing = D.missing_from(v["rows_base"].select("id"), v["rows_base"].select("id"), ["id"])
-    return G.gate_approval(summary("rows_base", "rows_cand"), summary("rows_cand", "rows_base"), missing)
+    details = _detail(v, "rows_base", "rows_cand"), _detail(v, "rows_cand", "rows_base")
+    return G.gate_approval(summary("rows_base", "rows_cand"), summary("rows_cand", "rows_base"), missing, *details)
 
 
 _PLAN = "WITH o AS (SELECT DISTINCT 'object' AS kind, concat('objects/', substr(sha, 1, 2), '/', sha, '.bin') AS path, sha, bytes FROM v_objects)"

@@ -10,15 +10,15 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 #: In the texts {sha}, {shaarg}, {div} and {olen} differ between the engines.
 VIEWS = {
-    "v_rows_base": """SELECT p_partkey AS id, p_name, p_brand, p_type, p_size, p_retailprice FROM part WHERE p_partkey % 17 <> 0""",
-    "v_rows_cand": """SELECT p_partkey AS id, p_name, CASE WHEN p_partkey % 7 = 0 THEN concat(p_brand, 'X') ELSE p_brand END AS p_brand, p_type, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_size END AS p_size, p_retailprice FROM part WHERE p_partkey % 13 <> 0""",
+    "v_rows_base": """SELECT p_partkey AS id, p_name, p_brand, p_type, p_size, CAST(p_retailprice AS DECIMAL(18,2)) AS p_retailprice FROM part WHERE p_partkey % 17 <> 0""",
+    "v_rows_cand": """SELECT p_partkey AS id, p_name, CASE WHEN p_partkey % 7 = 0 THEN concat(p_brand, 'X') ELSE p_brand END AS p_brand, p_type, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_size END AS p_size, CAST(p_retailprice AS DECIMAL(18,2)) + CASE WHEN p_partkey % 14 = 0 THEN CAST(1 AS DECIMAL(1,0)) ELSE CAST(0 AS DECIMAL(1,0)) END AS p_retailprice FROM part WHERE p_partkey % 13 <> 0""",
     "v_objects": """SELECT concat(source, '/', CAST(doc_id AS STRING)) AS logical_key, doc_id, {sha}(text{shaarg}) AS sha, CAST({olen} AS BIGINT) AS bytes FROM documents""",
     "v_refs": """SELECT doc_id AS ref_id, CASE WHEN doc_id % 50 = 0 THEN doc_id + 1000000 ELSE doc_id END AS asset_id FROM labels""",
     "v_colors": """SELECT p_partkey AS ord, CASE WHEN p_partkey % 2 = 0 THEN 'tile' ELSE 'wall' END AS kind, CAST(p_partkey % 700 AS INT) AS type, CAST(p_partkey % 5 AS INT) AS variant, CAST(p_partkey % 4 AS INT) AS paint, CAST((p_partkey * 37) % 256 AS INT) AS r, CAST((p_partkey * 91) % 256 AS INT) AS g, CAST((p_size * 5) % 256 AS INT) AS b, p_size % 3 = 0 AS stable FROM part""",
     "v_query_colors": """SELECT c_custkey AS qid, CAST((c_custkey * 53) % 256 AS INT) AS r, CAST((c_custkey * 29) % 256 AS INT) AS g, CAST((c_custkey * 11) % 256 AS INT) AS b FROM customer""",
     "v_ops": """SELECT conv_id, turn, concat(role, ':', CAST(length(text) % 97 AS STRING)) AS op FROM conversations""",
     "v_line_cells": """SELECT user_id AS line, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS cell, event_type AS a, CAST(event_id % 2 AS INT) AS w FROM events""",
-    "v_stage_samples": """SELECT event_type AS stage, event_id AS seq, CAST(value AS DECIMAL(18,2)) AS metric FROM events""",
+    "v_stage_samples": """SELECT event_type AS stage, event_id AS seq, CAST(value AS DECIMAL(18,2)) AS metric, ts AS taken FROM events""",
     "v_alias": """SELECT p_partkey AS id, CASE WHEN p_partkey > 0 AND p_partkey % 5 = 0 THEN CAST(p_partkey {div} 5 AS BIGINT) END AS copy_of FROM part""",
     "v_edges": """SELECT p_partkey AS src, 2 * p_partkey + 1 AS dst, 1 + p_size AS w FROM part WHERE p_partkey % 3 <> 2 UNION ALL SELECT p_partkey, 2 * p_partkey + 2, 1 + p_size FROM part""",
     "v_paths": """SELECT page_id, CASE WHEN page_id % 10 = 0 THEN concat('../', CAST(page_id AS STRING)) WHEN page_id % 10 = 1 THEN 'CON.txt' WHEN page_id % 10 = 2 THEN concat('dir', CAST(page_id AS STRING), '/') WHEN page_id % 10 = 3 THEN concat('a/b', CAST(page_id AS STRING), '.') ELSE regexp_replace(url, '^https?://', '') END AS path FROM pages""",
@@ -30,12 +30,17 @@ VIEWS = {
     "v_items": """SELECT p_partkey AS id, p_name AS name, p_size AS required, p_brand AS brand FROM part WHERE p_partkey > 0""",
     "v_research": """SELECT p_partkey AS id, CASE WHEN p_partkey % 41 = 0 THEN p_size + 1 ELSE p_size END AS required, concat('P', CAST(p_partkey AS STRING)) AS persistent_id FROM part WHERE p_partkey > 0 AND p_partkey % 37 <> 0""",
     "v_tooltips": """SELECT p_partkey AS id, p_type AS tooltip FROM part WHERE p_partkey % 2 = 0""",
+    "v_ui_tooltips": """SELECT p_partkey AS id, concat(p_brand, ' ', p_type) AS ui_tooltip FROM part WHERE p_partkey % 3 = 0""",
     "v_bindings": """SELECT p_partkey AS id, concat(CASE WHEN p_partkey % 10 = 0 THEN 'ITEM_' ELSE 'Item_' END, CAST(p_partkey % 150 AS STRING)) AS asset FROM part WHERE p_partkey > 0""",
     "v_asset_catalog": """SELECT concat('Item_', CAST(p_partkey AS STRING)) AS key, p_size * 2 AS width, p_size + 3 AS height FROM part WHERE p_partkey % 15 <> 14""",
     "v_placements": """SELECT l_partkey % 50 AS tile, l_linenumber - 3 AS style, CAST(l_quantity AS INT) % 4 AS alternates, CASE WHEN l_partkey % 3 = 0 THEN 4 ELSE 0 END AS wrap FROM lineitem""",
     "v_flags": """SELECT p_partkey AS id, CAST(1 + p_size % 3 AS INT) AS options, p_partkey % 5 = 0 AS frame_important, p_partkey % 7 = 0 AS spreads, CAST(1 + p_partkey % 2 AS INT) AS width FROM part""",
     "v_pools": """SELECT p_type AS pool, p_partkey AS member FROM part UNION ALL SELECT 'EVEN', p_partkey FROM part WHERE p_partkey % 2 = 0""",
     "v_identity": """SELECT concat('s', CAST(s_suppkey AS STRING)) AS attr, r_name AS source, CASE WHEN s_suppkey % 6 = 0 AND r_regionkey = 2 THEN 'other' ELSE CAST(s_suppkey * 7 AS STRING) END AS value FROM supplier CROSS JOIN region""",
+    "v_revoked": """SELECT CAST(s_suppkey * 7 AS STRING) AS value FROM supplier WHERE s_suppkey % 4 = 0""",
+    "v_blobs": """SELECT concat(source, '/', CAST(doc_id AS STRING)) AS path, doc_id, coalesce(text, '') AS body FROM documents""",
+    "v_shas": """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN upper(concat('a', substr({sha}(text{shaarg}), 2))) WHEN doc_id % 7 = 0 THEN substr({sha}(text{shaarg}), 2) ELSE {sha}(text{shaarg}) END AS sha FROM documents""",
+    "v_described": """SELECT doc_id, concat('objects/', substr({sha}(text{shaarg}), 1, 2), '/', {sha}(text{shaarg})) AS path, CASE WHEN doc_id % 31 = 0 THEN {sha}({sha}(text{shaarg}){shaarg}) ELSE {sha}(text{shaarg}) END AS sha, CAST({olen} AS BIGINT) AS bytes FROM documents""",
     "v_cases": """SELECT doc_id AS id, lang AS category, {sha}(text{shaarg}) AS out_a, CASE WHEN doc_id % 23 = 0 THEN 'x' ELSE {sha}(text{shaarg}) END AS out_b FROM documents""",
     "v_bucket_expected": """SELECT DISTINCT substr({sha}(text{shaarg}), 1, 2) AS bucket, {sha}(text{shaarg}) AS sha FROM documents""",
     "v_bucket_actual": """SELECT substr({sha}(text{shaarg}), 1, 2) AS bucket, {sha}(text{shaarg}) AS sha FROM documents WHERE doc_id % 29 <> 0""",

@@ -2,13 +2,57 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.scalars import json_identity, object_path, strict_object
+from ledgerloom.operators.tables import sequence_digest
 
 MAX_LINE_BYTES = 2 << 20
+#: Where a line stands in a folder of files written in order.
+PLACE = ["file", "block", "line"]
+
+
+@F.pandas_udf(T.BinaryType())
+def gzipped(content: pd.Series) -> pd.Series:
+    """Content or UTF-8 text as gzip, the same bytes each time."""
+    return content.map(lambda x: None if x is None else gzip.compress(x.encode() if isinstance(x, str) else x, mtime=0))
+
+
+def _unzip(data: bytes, step: int = 1 << 20) -> dict:
+    """Size and digest of decoded gzip, a piece at a time; nulls if it is broken or cut off."""
+    size, sha = 0, hashlib.sha256()
+    try:
+        while data:
+            d = zlib.decompressobj(31)
+            while not d.eof:
+                piece = d.decompress(data, step)
+                if not piece and not d.unconsumed_tail and not d.eof:
+                    raise EOFError
+                size, data = size + len(piece), d.unconsumed_tail
+                sha.update(piece)
+            data = d.unused_data
+    except (zlib.error, EOFError):
+        return {"bytes": None, "sha": None}
+    return {"bytes": size, "sha": sha.hexdigest()}
+
+
+@F.pandas_udf(T.StructType([T.StructField("bytes", T.LongType()), T.StructField("sha", T.StringType())]))
+def gzip_measure(content: pd.Series) -> pd.DataFrame:
+    """``bytes`` and ``sha`` of gzip content once decoded; nulls for null and for content that is no gzip."""
+    found = [{"bytes": None, "sha": None} if x is None else _unzip(x) for x in content]
+    return pd.DataFrame({"bytes": pd.array([f["bytes"] for f in found], "Int64"), "sha": [f["sha"] for f in found]})
+
+
+def measure_objects(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """path, sha, bytes of stored content, and ``decoded_bytes`` of what it holds as gzip."""
+    return df.select(path, F.sha2(content, 256).alias("sha"), F.octet_length(content).cast("long").alias("bytes"), gzip_measure(content)["bytes"].alias("decoded_bytes"))
 
 
 def parse_rows(lines: DataFrame, family: str, text: str = "value") -> DataFrame:
@@ -84,11 +128,23 @@ def write_content_addressed(df: DataFrame, content: Column, ext: str, root: str)
 
 
 def write_ordered_detail(changes: DataFrame, order: list[Column], path: str) -> DataFrame:
-    """Write rows as JSON lines in order, range by range; returns rows and bytes written."""
+    """Write rows as JSON lines in order, range by range; returns rows, bytes and digest of what was written."""
     line = F.to_json(F.struct(*changes.columns), {"ignoreNullFields": "false"})
     ordered = changes.repartitionByRange(*order).sortWithinPartitions(*order).select(line.alias("value"))
     ordered.write.text(path)
-    return changes.sparkSession.read.text(path).agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).cast("long").alias("bytes"))
+    return describe_detail(changes.sparkSession, path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """value and its ``PLACE`` of lines that were written in order, file by file."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+
+
+def describe_detail(spark: SparkSession, path: str) -> DataFrame:
+    """rows, bytes, digest of a detail as it is stored; the digest depends on the lines and their order alone."""
+    lines = read_ordered(spark, path)
+    size = lines.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).cast("long").alias("bytes"))
+    return size.crossJoin(sequence_digest(lines, PLACE, F.col("value")))
 
 
 def dimensions(catalog: DataFrame, key: str = "key") -> DataFrame:
@@ -96,4 +152,5 @@ def dimensions(catalog: DataFrame, key: str = "key") -> DataFrame:
 
 
 def write_dimensions(catalog: DataFrame, path: str, key: str = "key") -> None:
+    """One JSON line a key, in the keys' order."""
     dimensions(catalog, key).orderBy("id").write.json(path)

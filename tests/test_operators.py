@@ -268,3 +268,86 @@ def test_digest_levels_follow_the_count(spark):
     a = A.tree_digest(df, "p", F.col("line"), bucket_rows=1).first()["digest"]
     assert a == A.tree_digest(df.repartition(7), "p", F.col("line"), bucket_rows=1).first()["digest"]
     assert a != A.tree_digest(df.filter("p <> 'p5'"), "p", F.col("line"), bucket_rows=1).first()["digest"]
+
+
+def test_gzip_content_is_measured_decoded(spark):
+    import gzip
+    import hashlib
+
+    good = gzip.compress(b"a" * 3_000_000)
+    data = [(1, good), (2, good + gzip.compress(b"b")), (3, good[:-9]), (4, b"plain"), (5, None), (6, gzip.compress(b""))]
+    df = spark.createDataFrame(data, "path int, content binary")
+    got = {r["path"]: r["decoded_bytes"] for r in I.measure_objects(df).collect()}
+    assert got == {1: 3_000_000, 2: 3_000_001, 3: None, 4: None, 5: None, 6: 0}
+    digest = df.filter("path = 2").select(I.gzip_measure("content")["sha"]).first()[0]
+    assert digest == hashlib.sha256(b"a" * 3_000_000 + b"b").hexdigest()
+    described = I.measure_objects(df.filter("path <> 5"))
+    assert rows(A.verify_objects(described.withColumn("decoded_bytes", F.coalesce("decoded_bytes", F.lit(0))), described)) == [(3, "decoded bytes"), (4, "decoded bytes")]
+    text = spark.createDataFrame([("x",), (None,)], "t string").select(I.gzipped("t").alias("content"))
+    assert sorted((r[0] for r in text.select(I.gzip_measure("content")["bytes"]).collect()), key=str) == [1, None]
+
+
+def test_sequence_digest_follows_order_and_lines(spark):
+    import hashlib
+
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+
+    def brute(lines, chunk):
+        level, lines = 0, list(lines)
+        while len(lines) > 1 or level < 2:
+            lines, level = [sha("\n".join(lines[i : i + chunk])) for i in range(0, len(lines), chunk)], level + 1
+            if not lines:
+                return sha("")
+        return lines[0]
+
+    for n, chunk in ((0, 4), (1, 4), (4, 4), (5, 4), (70, 4)):
+        df = spark.range(n).select("id", F.concat(F.lit("line "), F.col("id").cast("string")).alias("x"))
+        assert A.sequence_digest(df, ["id"], F.col("x"), chunk).first()[0] == brute([f"line {i}" for i in range(n)], chunk)
+    turned = A.sequence_digest(df, [-F.col("id")], F.col("x"), 4).first()[0]
+    assert turned == brute([f"line {i}" for i in reversed(range(70))], 4)
+
+
+def test_enrichment_without_bindings_and_with_ui_tooltips(spark):
+    items = spark.createDataFrame([(1, "a", 5), (2, "b", 5)], "id int, name string, required int")
+    research = spark.createDataFrame([(1, 5, "p1"), (2, 5, "p2")], "id int, required int, persistent_id string")
+    tips = spark.createDataFrame([(1, "t")], "id int, tooltip string")
+    ui = spark.createDataFrame([(2, "u")], "id int, ui_tooltip string")
+    index, detail, bad = J.enrich_items(items, research, tips, None, ui)
+    assert rows(index, "id", "asset") == [(1, "Item_1"), (2, "Item_2")] and bad.count() == 0
+    assert {r["id"]: (r["tooltip"], r["ui_tooltip"]) for r in detail.collect()} == {1: ("t", None), 2: (None, "u")}
+    bound = spark.createDataFrame([(1, "x")], "id int, asset string")
+    index, detail, bad = J.enrich_items(items, research, tips, bound)
+    assert rows(index, "id", "asset") == [(1, "x")] and rows(bad) == [(2, "no binding")]
+    assert detail.first()["ui_tooltip"] is None
+
+
+def test_identities_differ_are_absent_or_revoked(spark):
+    data = [("a", "s", "1"), ("a", "t", "1"), ("b", "s", "1"), ("b", "t", "2"), ("c", "s", "9"), ("c", "t", None), ("d", "s", "7"), ("d", "t", "7")]
+    df = spark.createDataFrame(data, "attr string, source string, value string")
+    barred = spark.createDataFrame([("7",), ("2",)], "v string")
+    want = [("b", "differ", "s=1,t=2"), ("b", "revoked", "s=1,t=2"), ("c", "absent", "s=9,t="), ("d", "revoked", "s=7,t=7")]
+    assert rows(J.identity_reconcile(df, "attr", "source", "value", barred)) == want
+    assert rows(J.identity_reconcile(df, "attr", "source", "value"), "attr") == [("b",), ("c",)]
+
+
+def test_approval_of_a_detail(spark, tmp_path):
+    df = spark.createDataFrame([("1", "added"), ("2", "removed")], "id string, change string")
+    order = S.order_numeric_first(c("id"))
+    summary, none = spark.createDataFrame([("added", 1)], "name string, value int"), spark.createDataFrame([], "key string")
+    given = I.write_ordered_detail(df, order, str(tmp_path / "a"))
+    same = I.write_ordered_detail(df.repartition(3), order, str(tmp_path / "b"))
+    other = I.write_ordered_detail(df.replace({"added": "ADDED"}), order, str(tmp_path / "c"))
+    more = I.write_ordered_detail(df.union(df.limit(1)), order, str(tmp_path / "d"))
+    assert G.gate_approval(summary, summary, none, given, same).count() == 0
+    assert rows(G.gate_approval(summary, summary, none, given, other), "key") == [("detail digest",)]
+    assert rows(G.gate_approval(summary, summary, none, given, more), "key") == [("detail bytes",), ("detail digest",), ("detail rows",)]
+    assert G.gate_approval(summary, summary, none, given).count() == 3
+
+
+def test_mount_totals_and_slots(spark):
+    df = spark.createDataFrame([(0, [True, False]), (1, []), (2, None)], "id int, s array<boolean>")
+    cover = A.mount_coverage(df, "id", c("s"))
+    assert rows(cover) == [(0, 1, True, False), (1, 0, True, True), (2, 0, False, True)]
+    assert tuple(A.mount_totals(cover, 3).first()) == (3, 2, 2, 1, 3, False)
+    assert A.mount_totals(cover.filter("populated"), 2).first()["complete"]
+    assert A.mount_totals(cover.limit(0), 0).first()["complete"] is False
