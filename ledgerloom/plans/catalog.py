@@ -595,12 +595,24 @@ def alias_chain(v):
     return R.alias_chain(v["alias"], "id", "copy_of")
 
 
-@query("WITH RECURSIVE t AS (SELECT CAST(0 AS BIGINT) AS node, 0 AS hops UNION SELECT e.dst, t.hops + 1 FROM v_edges e JOIN t ON e.src = t.node ), m AS (SELECT node, min(hops) AS hops FROM t GROUP BY 1) SELECT m.node, m.hops, (SELECT min(e.src) FROM v_edges e JOIN m p ON p.node = e.src WHERE e.dst = m.node AND p.hops = m.hops - 1) AS parent FROM m")
+_REACHED = "WITH RECURSIVE t AS (SELECT CAST(0 AS BIGINT) AS node, 0 AS hops UNION SELECT e.dst, t.hops + 1 FROM v_edges e JOIN t ON e.src = t.node ), m AS (SELECT node, min(hops) AS hops FROM t GROUP BY 1)"
+_PARENTS = "SELECT m.node, m.hops, (SELECT min(e.src) FROM v_edges e JOIN m p ON p.node = e.src WHERE e.dst = m.node AND p.hops = m.hops - 1) AS parent FROM m"
+
+
+@query(_REACHED + " " + _PARENTS)
 def reachability(v):
     edges = v["edges"]
     return R.reachability(edges, edges.filter("src = 0").select(c("src").alias("node")).distinct())
 
 
+@query(_REACHED + f", r AS ({_PARENTS}), p AS (SELECT node, hops, [node] AS path FROM r WHERE hops = 0 UNION ALL SELECT r.node, r.hops, list_append(p.path, r.node) FROM r JOIN p ON r.parent = p.node AND r.hops = p.hops + 1) SELECT node, hops, array_to_string(path[-12:], '>') AS path FROM p")
+def reachability_paths(v):
+    """The last twelve nodes on the way to each node."""
+    edges = v["edges"]
+    out = R.reachability(edges, edges.filter("src = 0").select(c("src").alias("node")).distinct(), shown=12)
+    return out.select("node", "hops", F.array_join(c("path").cast("array<string>"), ">").alias("path"))
+
+
 @query("WITH RECURSIVE e AS (SELECT src, dst FROM v_edges), w AS (SELECT src AS node, CAST(max(w) AS BIGINT) AS weight FROM v_edges GROUP BY 1), n AS (SELECT node, weight FROM w UNION ALL SELECT DISTINCT dst, CAST(1 AS BIGINT) FROM e WHERE dst NOT IN (SELECT node FROM w)), t AS (SELECT node AS top, node, weight AS d FROM n UNION SELECT t.top, e.dst, t.d + n.weight FROM t JOIN e ON e.src = t.node JOIN n ON n.node = e.dst) SELECT top AS node, CAST(max(d) AS BIGINT) AS depth FROM t GROUP BY 1")
 def longest_path_dag(v):
     e = v["edges"]
