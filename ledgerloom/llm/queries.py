@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, suffixes, toxicity
+from ledgerloom.llm import bpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, suffixes, toxicity, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,6 +62,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digests(table(spark, sf_dir, "documents"), span=50)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations past a long are null."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
