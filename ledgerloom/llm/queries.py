@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, suffixes, toxicity, whitening
+from ledgerloom.llm import bpe, bytebpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, suffixes, toxicity, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -67,6 +67,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8).withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bytebpe.byte_bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
