@@ -57,3 +57,27 @@ g AS (
   SELECT row, {counts}, string_agg(span, ',' ORDER BY a, k) FILTER (k < {len(BASE_RULES)}) AS base, string_agg(span, ',' ORDER BY a, k) AS spans FROM h GROUP BY 1)
 SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (row)"""
+
+
+#: CRC-32 byte by byte with its table of 256 steps; near words share a text with one letter hidden, or are another less one letter.
+SPELLING = rf"""
+WITH RECURSIVE c AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS steps),
+d AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+u AS (SELECT row, doc_id, unnest(regexp_extract_all(t, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM d),
+r AS (SELECT row, doc_id, run, count(*) AS n, hex(encode(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', run))) AS h FROM u WHERE length(run) >= 5 GROUP BY ALL),
+b AS (SELECT run, n, list_transform(range(1, length(h) // 2 + 1), lambda i: CAST(concat('0x', substr(h, 2 * i - 1, 2)) AS BIGINT)) AS bytes FROM r),
+x AS (SELECT run, n, xor(list_reduce(bytes, lambda a, k: xor(steps[(xor(a, k) & 255) + 1], a >> 8), CAST(4294967295 AS BIGINT)), 4294967295) AS crc FROM b, c),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN crc % 97 = 0 THEN concat(left(run, CAST(crc % length(run) AS BIGINT)), substr(run, CAST(crc % length(run) AS BIGINT) + 2)) ELSE run END AS word, n FROM x)
+  WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+i AS MATERIALIZED (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w),
+hidden AS MATERIALIZED (SELECT word, concat(left(word, i - 1), '?', substr(word, i + 1)) AS k FROM i),
+less AS (SELECT DISTINCT word, concat(left(word, i - 1), substr(word, i + 1)) AS k FROM i),
+p AS (
+  SELECT a.word, o.word AS other FROM hidden a JOIN hidden o ON a.k = o.k AND a.word <> o.word
+  UNION SELECT less.word, w.word FROM less JOIN w ON less.k = w.word UNION SELECT w.word, less.word FROM less JOIN w ON less.k = w.word),
+q AS (SELECT p.word, count(*) AS n_near, max(o.n) AS top, min({{'less': -o.n, 'word': o.word}}) AS best FROM p JOIN w o ON o.word = p.other GROUP BY 1),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN best.word END AS form, CASE WHEN top >= 2 * w.n THEN top END AS form_n FROM w LEFT JOIN q USING (word)),
+chain AS (SELECT word, word AS root FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL),
+last AS (SELECT chain.word, chain.root FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NULL)
+SELECT f.word, f.form, last.root, f.n, f.n_near, f.form_n FROM f JOIN last USING (word)"""

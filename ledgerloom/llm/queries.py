@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, bytebpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, suffixes, toxicity, whitening
+from ledgerloom.llm import bpe, bytebpe, classlm, counts, mtree, neardup, oracles, packing, quality, secrets, spelling, suffixes, toxicity, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -73,10 +73,14 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.byte_bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_dedup": oracles.NEAR_DUPLICATES, "op3_mtree_top_k": oracles.TOP_K, "op6_secret_scan": oracles.secret_scan()}
+    return {"op2_minhash_dedup": oracles.NEAR_DUPLICATES, "op3_mtree_top_k": oracles.TOP_K, "op6_secret_scan": oracles.secret_scan(), "op13_spelling_variants": oracles.SPELLING}
