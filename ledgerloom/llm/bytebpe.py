@@ -4,8 +4,8 @@ Texts are split by the tokenizer's pattern, and each new word goes into a recurs
 query as rows of (word, position, token), bytes at first. In each round neighbouring
 rows of a word join the table of pairs that make a token, the leftmost pair of the
 least rank is contracted, and a word that has none left is done. A worker remembers
-words and the runs between spaces, so a query sees only new ones. Decoding joins rows
-of (position, id) with the vocabulary and aggregates in order.
+words, so a query sees only new ones. Decoding joins rows of (position, id) with the
+vocabulary and aggregates in order.
 
 A word of many bytes would take as many rounds over all its rows. It is encoded in
 windows that overlap by half, as words of their own: ids are right if every two
@@ -37,22 +37,23 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import slices, starts_of, texts_of
 
-#: Words and runs remembered by a worker, and the longest of them in characters; more only costs a new start of the memory.
-REMEMBERED, LONGEST = 400_000, 64
+#: Words remembered by a worker, about 200 bytes each, and the longest of them in characters; more only costs a new start of the memory.
+REMEMBERED, LONGEST = 1_000_000, 64
 #: Bytes of a piece of a text, of the pieces worked on together, of the words in one query, and of a long word's first windows.
 PIECE, TOGETHER, ASKED, WINDOW = 1 << 20, 4 << 20, 1 << 20, 256
 
-#: Keys are a word's number and the position in it; the least of rank and position is the leftmost pair of least rank.
+#: Keys are a word's number and the position in it. The least of (rank, position, bytes of the left token) is the leftmost pair of
+#: least rank; the row after that many bytes goes.
 _ENCODE = """
 WITH RECURSIVE s AS (
   SELECT (word << 32) | position AS k, token, false AS done FROM symbols
   UNION ALL (
-    WITH live AS (SELECT k, k >> 32 AS word, token FROM s WHERE NOT done),
-    pairs AS (SELECT k, word, token, (token << 20) | lead(token) OVER o AS pair, lead(word) OVER o AS next_word, lag(k) OVER o AS before FROM live WINDOW o AS (ORDER BY k)),
-    least AS (SELECT word, min((m.rank << 32) + (p.k & 4294967295)) AS best FROM pairs p JOIN merges m USING (pair) WHERE next_word = word GROUP BY word),
-    chosen AS (SELECT word, (word << 32) | (best & 4294967295) AS first, best >> 32 AS rank FROM least)
-    SELECT p.k, CASE WHEN p.k = c.first THEN c.rank ELSE p.token END, c.word IS NULL
-    FROM pairs p LEFT JOIN chosen c ON p.word = c.word WHERE p.before IS DISTINCT FROM c.first OR c.first IS NULL))
+    WITH live AS (SELECT k, token FROM s WHERE NOT done),
+    pairs AS (SELECT k, lead(k) OVER o AS after, (token << 20) | lead(token) OVER o AS pair FROM live WINDOW o AS (ORDER BY k)),
+    least AS (SELECT k >> 32 AS word, min((m.rank << 43) | ((p.k & 4294967295) << 11) | (after - k)) AS best FROM pairs p JOIN merges m USING (pair) WHERE after >> 32 = k >> 32 GROUP BY ALL),
+    chosen AS (SELECT word, (word << 32) | ((best >> 11) & 4294967295) AS first, best & 2047 AS size, best >> 43 AS rank FROM least)
+    SELECT l.k, CASE WHEN l.k = c.first THEN c.rank ELSE l.token END, c.word IS NULL
+    FROM live l LEFT JOIN chosen c ON l.k >> 32 = c.word WHERE l.k IS DISTINCT FROM c.first + c.size))
 SELECT k >> 32 AS word, k & 4294967295 AS position, token FROM s WHERE done ORDER BY k"""
 
 _DECODE = "SELECT string_agg(v.symbols, '' ORDER BY t.position) FROM ids t JOIN vocabulary v USING (id)"
@@ -66,8 +67,8 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.words_in = ranks, regex.compile(pattern).findall
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        if max(ranks.values()) >= 1 << 20:
-            raise ValueError("ranks must be below 2^20")
+        if max(ranks.values()) >= 1 << 20 or max(map(len, ranks)) >= 1 << 11:
+            raise ValueError("ranks must be below 2^20, and tokens shorter than 2^11 bytes")
         pairs = [(ranks[t[:k]] << 20 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         self.size[list(ranks.values())] = [len(t) for t in ranks]
@@ -78,7 +79,6 @@ class ByteBPE:
         self.db.execute("CREATE TABLE merges AS SELECT pair, rank FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS SELECT id, symbols FROM vocabulary")
         self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
 
     def _fixpoints(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Tokens of each word and where they start."""
@@ -132,30 +132,14 @@ class ByteBPE:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers. A space between two characters that are no white space begins a
-        word in the pattern, so what stands between such spaces is split by itself."""
-        parts = [_SAFE_SPACE.split(t) for t in texts]
-        first = {p[0] for p in parts}
-        missing = {r for p in parts for r in p[1:] if r not in self.runs}
-        split = {r: self.words_in(" " + r) for r in missing}
-        heads = {r: self.words_in(r) for r in first}
-        if len(self.words) + len(missing) > REMEMBERED:
+        """Ids of each text as little-endian 32-bit integers."""
+        split = [self.words_in(t) for t in texts]
+        if len(self.words) > REMEMBERED:
             self.words = {}
-        new = self._learn({w for ws in (*split.values(), *heads.values()) for w in ws if w not in self.words})
-        joined = {r: b"".join([self.words.get(w) or new[w] for w in ws]) for r, ws in split.items()}
-        out = []
-        for p in parts:
-            head = b"".join([self.words.get(w) or new[w] for w in heads[p[0]]])
-            ids = list(map(self.runs.get, p))
-            ids[0] = head
-            if None in ids:
-                ids = [joined[r] if i is None else i for i, r in zip(ids, p, strict=True)]
-            out.append(b"".join(ids))
-        if len(self.runs) + len(joined) > REMEMBERED:
-            self.runs = {}
+        known = [list(map(self.words.get, ws)) for ws in split]
+        new = self._learn({w for ws, ids in zip(split, known, strict=True) if None in ids for w, i in zip(ws, ids, strict=True) if i is None})
         self.words.update((w, i) for w, i in new.items() if len(w) <= LONGEST)
-        self.runs.update((r, i) for r, i in joined.items() if len(r) <= LONGEST)
-        return out
+        return [b"".join([new[w] if i is None else i for w, i in zip(ws, ids, strict=True)] if None in ids else ids) for ws, ids in zip(split, known, strict=True)]
 
     def decode(self, each: list[np.ndarray]) -> list[bytes]:
         """Bytes of each sequence of ids."""
