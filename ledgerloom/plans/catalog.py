@@ -16,8 +16,10 @@ from ledgerloom.operators import joins as J
 from ledgerloom.operators import tables as A
 from ledgerloom.operators import windows as W
 from ledgerloom.plans.stable import shared_path
-from ledgerloom.plans.views import Source, with_views
+from ledgerloom.plans.views import Source, gzipped, with_views
 from ledgerloom.sources import files as I
+from ledgerloom.sources import releases as P
+from ledgerloom.sources import storage as O
 
 c = F.col
 _QUERIES: dict[str, Callable[[Source], DataFrame]] = {}
@@ -62,39 +64,99 @@ def json_identity(v):
     return v["nested"].select(S.json_identity(F.parse_json("raw")).alias("id"))
 
 
-@query("SELECT conv_id AS pack, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, op) - 1 AS INT) AS pos, op AS row FROM v_ops")
+def _written_packs(v, spoilt=None):
+    """A JSON array file for each 16 conversations, every other one as gzip, in a new shared folder."""
+    rows = v["ops"].groupBy(F.expr("conv_id DIV 16").alias("pack")).agg(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "op"))).alias("rows"))
+    text = F.to_json(F.transform("rows", lambda x: x["op"]))
+    text = text if spoilt is None else F.when(c("pack") % 3 == 0, F.concat(text, F.lit(spoilt))).otherwise(text)
+    path, packs = shared_path(v.spark), rows.select("pack", text.alias("text")).repartition("pack")
+    for folder, odd, kind in (("plain", 0, "none"), ("gzip", 1, "gzip")):
+        packs.filter(c("pack") % 2 == odd).write.partitionBy("pack").option("compression", kind).text(f"{path}/{folder}")
+    return [f"{path}/plain", f"{path}/gzip"]
+
+
+_PACK_NUMBER = "CAST(regexp_extract(pack, 'pack=([0-9]+)', 1) AS BIGINT) AS pack"
+_PACKS = "WITH p AS (SELECT conv_id // 16 AS pack, row_number() OVER (PARTITION BY conv_id // 16 ORDER BY conv_id, turn, op) - 1 AS pos, op FROM v_ops)"
+
+
+@query(_PACKS + " SELECT CAST(pack AS BIGINT) AS pack, CAST(pos AS BIGINT) AS pos, op AS row FROM p")
 def scan_pack_array(v):
-    packs = v["ops"].groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", "op"))), lambda x: x["op"])).alias("text"))
-    return I.explode_pack(packs, c("conv_id"), c("text")).select("pack", "pos", F.variant_get("row", "$", "string").alias("row"))
+    return O.scan_pack_array(v.spark, _written_packs(v)).selectExpr(_PACK_NUMBER, "pos", "variant_get(row, '$', 'string') AS row")
+
+
+@query(_PACKS + " SELECT CAST(pack AS BIGINT) AS pack, CAST(count(*) AS BIGINT) AS pos, 'trailing data' AS error FROM p WHERE pack % 3 = 0 GROUP BY pack")
+def scan_pack_array_faults(v):
+    """Every third pack has a second value after its array."""
+    return O.scan_pack_array(v.spark, _written_packs(v, " 1")).filter("error IS NOT NULL").selectExpr(_PACK_NUMBER, "pos", "error")
 
 
 @query("SELECT key, width, height FROM v_asset_catalog")
 def scan_catalog_map(v):
-    """A JSON file for each beginning of a key, written to a new shared folder and read from there."""
+    """A JSON file for each beginning of a key, plain or as gzip, written to a new shared folder and read from there."""
     one = v["asset_catalog"].groupBy(F.substring("key", 1, 7).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", F.struct("width", "height"))))).alias("text"))
     path = f"{shared_path(v.spark)}/catalog"
-    one.repartition("file").write.partitionBy("file").text(path)
+    for folder, odd, kind in (("plain", False, "none"), ("gzip", True, "gzip")):
+        one.repartition("file").filter(F.endswith("file", F.lit("1")) == odd).write.partitionBy("file").option("compression", kind).text(f"{path}/{folder}")
     value = v["asset_catalog"].select(F.struct("width", "height").alias("s")).schema["s"].dataType
-    return I.scan_catalog_map(v.spark, path, value).select("key", "value.width", "value.height")
+    return O.scan_catalog_map(v.spark, path, value).filter("error IS NULL").select("key", "value.width", "value.height")
 
 
 @query()
 def scan_files(v):
-    return I.scan_files(v.spark, v.sf_dir, [".parquet"]).select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "bytes", "sha256")
+    return O.scan_files(v.spark, v.sf_dir, [".parquet"]).select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "bytes", "sha256")
 
 
 @query("SELECT 'stable' AS channel, p.release_sha, r.body, sha256(r.body) = p.release_sha AS ok FROM v_pointer p LEFT JOIN v_releases r USING (release_sha)")
+def release_body(v):
+    return I.release_body(v["pointer"], v["releases"], "stable")
+
+
+def _released(v):
+    """Two families written as a release to a new shared folder."""
+    part = lambda name, df: df.select(F.lit(name).alias("family"), "id", F.to_json(F.struct("id", "name")).alias("value"))
+    root = shared_path(v.spark)
+    P.write_release(part("items", v["items"]).unionByName(part("names", v["locale_en"])), root, "stable", ["id"], 64)
+    return root
+
+
+_RELEASED = "WITH f AS (SELECT 'items' AS family, id, name FROM v_items UNION ALL SELECT 'names', id, name FROM v_locale_en)"
+
+
+@query(_RELEASED + " SELECT family, CAST((row_number() OVER (PARTITION BY family ORDER BY id) - 1) % 64 AS BIGINT) AS pos, id, name, NULL AS error FROM f")
 def scan_release_by_pointer(v):
-    return I.scan_release_by_pointer(v["pointer"], v["releases"], "stable")
+    """Packs, manifest and pointer are written, and the rows read back by way of the pointer."""
+    rows = P.scan_release_by_pointer(v.spark, _released(v), "stable")
+    return rows.select("family", "pos", F.variant_get("row", "$.id", "long").alias("id"), F.variant_get("row", "$.name", "string").alias("name"), "error")
+
+
+@query(_RELEASED + " SELECT family, count(*) AS added FROM f GROUP BY 1")
+def scan_release_absent(v):
+    """A first publication: the channel has no pointer yet, so all rows are added to an empty baseline."""
+    root = _released(v)
+    base, cand = [P.scan_release_by_pointer(v.spark, root, x).select("family", F.variant_get("row", "$.id", "long").alias("id"), F.to_json("row").alias("row")) for x in ("next", "stable")]
+    return D.diff_rows(base, cand, ["family", "id"]).filter("change = 'added'").groupBy("family").agg(F.count("*").alias("added"))
 
 
-@query("SELECT DISTINCT concat('objects/', substr({sha}(text{shaarg}), 1, 2), '/', {sha}(text{shaarg}), '.txt') AS path, substr({sha}(text{shaarg}), 1, 2) AS prefix, {sha}(text{shaarg}) AS sha256, CAST({olen} AS BIGINT) AS bytes FROM documents")
+_OBJECT_SQL = "SELECT DISTINCT concat('objects/', substr({sha}(text{shaarg}), 1, 2), '/', {sha}(text{shaarg}), '.txt') AS path, {sha}(text{shaarg}) AS sha, CAST({olen} AS BIGINT) AS bytes FROM documents WHERE text IS NOT NULL"
+
+
+@query(f"SELECT path, substr(sha, 1, 2) AS prefix, sha AS sha256, bytes FROM ({_OBJECT_SQL})")
 def write_content_addressed(v):
-    """Written twice to a new shared folder: the second time adds nothing to what is read back."""
-    root = f"{shared_path(v.spark)}/objects"
+    """Written twice to a new shared folder: the second time adds nothing to the files that are read back."""
+    root = shared_path(v.spark)
     for _ in range(2):
-        I.write_content_addressed(v.table("documents"), c("text"), ".txt", root)
-    return v.spark.read.parquet(root).select("path", F.substring("sha256", 1, 2).alias("prefix"), "sha256", "bytes")
+        O.write_content_addressed(v.table("documents"), c("text"), ".txt", root)
+    return O.scan_objects(v.spark, root).select("path", F.substring("sha", 1, 2).alias("prefix"), c("sha").alias("sha256"), "bytes")
+
+
+@query(f"SELECT path, CASE WHEN bytes % 5 = 0 THEN 'bytes' ELSE 'missing' END AS reason FROM ({_OBJECT_SQL}) WHERE bytes % 5 = 0 OR bytes % 7 = 0")
+def verify_stored_objects(v):
+    """Texts stored under their address, against descriptors of which some have another size or stand for no file."""
+    root = shared_path(v.spark)
+    said = O.write_content_addressed(v.table("documents"), c("text"), ".txt", root)
+    stored = F.when((c("bytes") % 7 == 0) & (c("bytes") % 5 != 0), F.concat("path", F.lit(".gone"))).otherwise(c("path"))
+    described = said.select(stored.alias("path"), c("sha256").alias("sha"), F.when(c("bytes") % 5 == 0, c("bytes") + 1).otherwise(c("bytes")).alias("bytes"))
+    return A.verify_objects(described, O.scan_objects(v.spark, root)).select(F.regexp_replace("path", "[.]gone$", "").alias("path"), "reason")
 
 
 @query("SELECT doc_id, concat('objects/', substr(sha, 1, 2), '/', sha) AS path, substr(sha, 1, 2) AS prefix, sha FROM v_objects")
@@ -189,7 +251,7 @@ def object_path_matches_hash(v):
 
 def _object_faults(v):
     """Texts stored as gzip against descriptors of which some have another hash, and some another decoded size."""
-    stored = v["blobs"].withColumn("content", I.gzipped(c("body")))
+    stored = v["blobs"].withColumn("content", gzipped(c("body")))
     wrong = lambda n, good, bad: F.when(c("doc_id") % n == 0, bad).otherwise(good)
     sha, size = F.sha2("content", 256), F.octet_length("body").cast("long")
     described = stored.select("path", wrong(31, sha, F.sha2(sha, 256)).alias("sha"), F.octet_length("content").cast("long").alias("bytes"), wrong(29, size, size + 1).alias("decoded_bytes"))
@@ -364,8 +426,8 @@ def diff_catalog(v):
 def diff_binaries(v):
     """Texts stored as gzip on both sides; digests are those of the decoded content."""
     body = F.when(c("doc_id") % 7 == 0, F.concat("body", F.lit("x"))).otherwise(c("body"))
-    b = v["blobs"].filter("doc_id % 17 <> 0").select(c("path").alias("name"), I.gzipped(c("body")).alias("content"))
-    k = v["blobs"].filter("doc_id % 13 <> 0").select(c("path").alias("name"), I.gzipped(body).alias("content"))
+    b = v["blobs"].filter("doc_id % 17 <> 0").select(c("path").alias("name"), gzipped(c("body")).alias("content"))
+    k = v["blobs"].filter("doc_id % 13 <> 0").select(c("path").alias("name"), gzipped(body).alias("content"))
     return D.diff_binaries(b, k, digest=lambda x: I.gzip_measure(x)["sha"])
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels", "conversations"]
 
@@ -54,6 +58,12 @@ _SPARK = {"sha": "sha2", "shaarg": ", 256", "div": "DIV", "olen": "octet_length(
 _DUCK = {"sha": "sha256", "shaarg": "", "div": "//", "olen": "strlen(text)"}
 
 
+@F.pandas_udf(BinaryType())
+def gzipped(content: pd.Series) -> pd.Series:
+    """Content or UTF-8 text as gzip, the same bytes each time: what the views' objects are stored as."""
+    return content.map(lambda x: None if x is None else gzip.compress(x.encode() if isinstance(x, str) else x, mtime=0))
+
+
 def _fill(text: str, names: dict[str, str]) -> str:
     for k, v in names.items():
         text = text.replace("{" + k + "}", v)

@@ -1,8 +1,7 @@
-"""Strict readers of row families, packs, catalogs, file trees and releases, and their writers."""
+"""Strict readers of row families, and writers of rows in order. Files, objects and packs are in ``storage``, releases in ``releases``."""
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import zlib
 
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.scalars import json_identity, object_path, strict_object
+from ledgerloom.functions.scalars import json_identity, strict_object
 from ledgerloom.operators.tables import sequence_digest
 
 MAX_LINE_BYTES = 2 << 20
@@ -19,12 +18,6 @@ MAX_LINE_BYTES = 2 << 20
 PLACE = ["file", "block", "line"]
 
 
-@F.pandas_udf(T.BinaryType())
-def gzipped(content: pd.Series) -> pd.Series:
-    """Content or UTF-8 text as gzip, the same bytes each time."""
-    return content.map(lambda x: None if x is None else gzip.compress(x.encode() if isinstance(x, str) else x, mtime=0))
-
-
 def _unzip(data: bytes, step: int = 1 << 20) -> dict:
     """Size and digest of decoded gzip, a piece at a time; nulls if it is broken or cut off."""
     size, sha = 0, hashlib.sha256()
@@ -73,60 +66,13 @@ def scan_ndjson_strict(spark: SparkSession, path: str, family: str, expected: in
     return rows.unionByName(wrong)
 
 
-def explode_pack(df: DataFrame, pack: Column, array: Column) -> DataFrame:
-    """pack, pos, row (variant) of JSON array texts."""
-    return df.select(pack.alias("pack"), F.posexplode(F.from_json(array, T.ArrayType(T.VariantType()))).alias("pos", "row"))
-
-
-def scan_pack_array(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows of JSON array files with the pack's path and the row's place; ``.gz`` is decoded by extension."""
-    whole = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    return explode_pack(whole, F.col("path"), F.col("value"))
-
-
-def explode_catalog(df: DataFrame, text: Column, value_schema: T.DataType) -> DataFrame:
-    """key, value of JSON object texts."""
-    return df.select(F.explode(F.from_json(text, T.MapType(T.StringType(), value_schema))).alias("key", "value"))
-
-
-def scan_catalog_map(spark: SparkSession, path: str, value_schema: T.DataType) -> DataFrame:
-    return explode_catalog(spark.read.text(path, wholetext=True), F.col("value"), value_schema)
-
-
-def scan_files(spark: SparkSession, root: str, extensions: list[str]) -> DataFrame:
-    """path, bytes, sha256 of files below ``root`` with one of the extensions, in either case."""
-    any_case = ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{{{any_case}}}").load(root)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-
-
-def scan_release_by_pointer(pointers: DataFrame, releases: DataFrame, channel: str) -> DataFrame:
+def release_body(pointers: DataFrame, releases: DataFrame, channel: str) -> DataFrame:
     """The release a channel points to, with ``ok`` false if its hash differs; no row for an absent pointer."""
     p = pointers.filter(F.col("channel") == channel).select("channel", F.col("release_sha").alias("wanted"))
     found = p.join(releases, p["wanted"] == releases["release_sha"], "left")
     return found.select("channel", F.col("wanted").alias("release_sha"), "body", F.coalesce(F.sha2("body", 256) == F.col("wanted"), F.lit(False)).alias("ok"))
 
 
-def addressed_objects(df: DataFrame, content: Column, ext: str) -> DataFrame:
-    """path, prefix, sha256, bytes, content: one row for each distinct content."""
-    sha = F.sha2(content, 256)
-    out = df.select(sha.alias("sha256"), content.alias("content"))
-    out = out.select(object_path(F.col("sha256"), ext).alias("path"), F.substring("sha256", 1, 2).alias("prefix"), "sha256", F.octet_length("content").cast("long").alias("bytes"), "content")
-    return out.dropDuplicates(["path"])
-
-
-def write_content_addressed(df: DataFrame, content: Column, ext: str, root: str) -> DataFrame:
-    """Add the objects that ``root`` does not hold yet, partitioned by prefix; returns all that were asked for."""
-    spark = df.sparkSession
-    wanted = addressed_objects(df, content, ext)
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    new = wanted
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        new = wanted.join(spark.read.parquet(root).select("path"), "path", "left_anti")
-    new.write.mode("append").partitionBy("prefix").parquet(root)
-    return wanted.drop("content")
-
-
 def write_ordered_detail(changes: DataFrame, order: list[Column], path: str) -> DataFrame:
     """Write rows as JSON lines in order, range by range; returns rows, bytes and digest of what was written."""
     line = F.to_json(F.struct(*changes.columns), {"ignoreNullFields": "false"})

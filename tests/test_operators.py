@@ -66,26 +66,10 @@ def test_strict_rows(spark, line, error, ident):
     assert (got["id"], got["error"]) == (ident, error)
 
 
-def test_files_and_packs(spark, tmp_path):
+def test_rows_of_a_family(spark, tmp_path):
     (tmp_path / "f.ndjson").write_text('{"id":1}\n{"id":2}\n{"a":1}\n')
     got = I.scan_ndjson_strict(spark, str(tmp_path / "f.ndjson"), "f", expected=2)
     assert rows(got, "id", "error") == [("1", None), ("2", None), (None, "count is 3"), (None, "no id")]
-    (tmp_path / "p.json").write_text('[{"id":3},\n{"id":1}]')
-    packs = I.scan_pack_array(spark, [str(tmp_path / "p.json")]).select("pos", F.to_json("row").alias("row"))
-    assert rows(packs) == [(0, '{"id":3}'), (1, '{"id":1}')]
-    (tmp_path / "c.json").write_text('{"k/1":{"width":2,"height":3}}')
-    assert rows(I.scan_catalog_map(spark, str(tmp_path / "c.json"), spark.createDataFrame([], "width int, height int").schema).select("key", "value.width")) == [("k/1", 2)]
-    for name in ("a.PNG", "b.xnb", "c.txt"):
-        (tmp_path / name).write_bytes(b"x")
-    assert [r["path"][-5:] for r in I.scan_files(spark, str(tmp_path), ["png", "xnb"]).orderBy("path").collect()] == ["a.PNG", "b.xnb"]
-
-
-def test_objects_are_written_once(spark, tmp_path):
-    root = str(tmp_path / "objects")
-    df = spark.createDataFrame([("a",), ("b",), ("a",)], "t string")
-    assert I.write_content_addressed(df, c("t"), ".txt", root).count() == 2
-    I.write_content_addressed(df.union(spark.createDataFrame([("c",)], "t string")), c("t"), ".txt", root)
-    assert spark.read.parquet(root).count() == 3
 
 
 def test_ordered_detail(spark, tmp_path):
