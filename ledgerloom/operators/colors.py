@@ -3,61 +3,95 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ledgerloom.functions.scalars import bgr_rank, brick_address, kind_code, rgb_pack
-from ledgerloom.operators.windows import global_position, priority_rank_any, priority_rank_wall
+from ledgerloom.operators.windows import global_position, next_marked, priority_rank_any, priority_rank_wall
 
 #: The most candidates that a colour index can number, which is also what bounds a broadcast of them.
 MAX_CANDIDATES = 65_534
 RANK = 1 << 24
 
 
-#: Colours are pruned by cells of a grid with sides of so many steps.
-CELL = 16
-
-
-def _near_cells(colours: DataFrame, points: DataFrame, axes: list[str]) -> DataFrame:
-    """Cells of colours (q0, q1, ...) and the cells of candidates (c0, c1, ...) in which a nearest one may lie.
-
-    Of byte colours there are at most 16^3 cells on either side, however many colours."""
-    cell = lambda df, p: df.select(*[F.floor(F.col(a) / CELL).alias(f"{p}{i}") for i, a in enumerate(axes)]).distinct()
-    gaps = [F.abs(F.col(f"q{i}") - F.col(f"c{i}")) for i in range(len(axes))]
-    least = sum((F.pow(F.greatest(g - 1, F.lit(0)) * CELL, F.lit(2)) for g in gaps), F.lit(0.0))
-    most = sum((F.pow((g + 1) * CELL, F.lit(2)) for g in gaps), F.lit(0.0))
-    both = cell(colours, "q").crossJoin(F.broadcast(cell(points, "c"))).withColumns({"least": least, "most": most})
-    reach = F.min("most").over(Window.partitionBy(*[f"q{i}" for i in range(len(axes))]))
-    return both.withColumn("reach", reach).filter("least <= reach").drop("least", "most", "reach")
+#: Colours are pruned by cells of a grid with sides of so many steps; a worker remembers the candidates of so many cells.
+CELL, KNOWN_CELLS = 16, 1 << 14
+
+
+class _Nearest:
+    """The least (squared distance, rank), as one integer, among candidate points.
+
+    Of a cell's colours the nearest point is no farther than the far side of some occupied cell, so points of cells whose near
+    side is beyond the nearest such far side are left out; that is found once for each cell that has colours."""
+
+    def __init__(self, points: np.ndarray, ranks: np.ndarray, bound: int):
+        self.points, self.ranks, self.bound = points, ranks, bound
+        self.cells, self.cell_of = np.unique(points // CELL, axis=0, return_inverse=True)
+        self.known: dict[bytes, np.ndarray] = {}
+
+    def near(self, cell: np.ndarray) -> np.ndarray:
+        """Points that may be the nearest of a colour in ``cell``."""
+        found = self.known.get(cell.tobytes())
+        if found is None:
+            gap = np.abs(self.cells - cell)
+            least, most = ((np.maximum(gap - 1, 0) * CELL) ** 2).sum(1), (((gap + 1) * CELL) ** 2).sum(1)
+            found = np.flatnonzero((least <= most.min())[self.cell_of.ravel()])
+            if len(self.known) >= KNOWN_CELLS:
+                self.known.clear()
+            self.known[cell.tobytes()] = found
+        return found
+
+    def find(self, colours: np.ndarray) -> np.ndarray:
+        different, which = np.unique(colours, axis=0, return_inverse=True)
+        cells, cell_of = np.unique(different // CELL, axis=0, return_inverse=True)
+        order = np.argsort(cell_of.ravel(), kind="stable")
+        cuts = np.searchsorted(cell_of.ravel()[order], np.arange(len(cells) + 1))
+        best = np.empty(len(different), np.int64)
+        for i, cell in enumerate(cells):
+            near = self.near(cell)
+            points, ranks = self.points[near], self.ranks[near]
+            mine = order[cuts[i] : cuts[i + 1]]
+            for at in range(0, len(mine), width := max(1, (1 << 20) // len(near))):
+                some = mine[at : at + width]
+                d2 = sum((different[some, k][:, None] - points[:, k][None, :]) ** 2 for k in range(points.shape[1]))
+                best[some] = (d2 * self.bound + ranks).min(1)
+        return best[which.ravel()]
 
 
 def nearest_assign(queries: DataFrame, candidates: DataFrame, axes: list[str], rank: str, rank_bound: int | None = None) -> DataFrame:
-    """``rank`` and squared distance of each query's nearest candidate, ties to the smaller rank.
+    """``rank`` and squared distance of each query's nearest candidate, ties to the smaller rank; no rows without a candidate.
 
-    Distance and rank share one integer, so that the least of it is aggregated in place; ``rank_bound`` is over all ranks, and is
-    read off them if not given. Each query colour is looked up once, among the candidates of the cells that may hold its nearest.
-    The candidates are checked to be at most MAX_CANDIDATES distinct points and then broadcast."""
-    points = candidates.groupBy(*axes).agg(F.min(rank).alias("__rank"))
+    Distance and rank share one integer; ``rank_bound`` is over all ranks, and is read off them if not given. The candidates are
+    checked to be at most MAX_CANDIDATES distinct points and sent to all workers; queries are not shuffled. Queries with a null
+    coordinate have no nearest candidate and are left out."""
+    points = candidates.groupBy(*axes).agg(F.min(rank).cast("long").alias("__rank"))
     n, low, high = points.agg(F.count("*"), F.min("__rank"), F.max("__rank")).first()
     if n > MAX_CANDIDATES:
         raise ValueError(f"more than {MAX_CANDIDATES} candidate colours")
     rank_bound = rank_bound or int(high or 0) + 1
     if n and not 0 <= low <= high < rank_bound:
         raise ValueError(f"ranks from {low} to {high} are not within 0 and {rank_bound}")
-    names = {a: f"__{a}" for a in axes}
-    colours = queries.select(*axes).distinct()
-    places = {f"{{}}{i}": a for i, a in enumerate(axes)}
-    near = _near_cells(colours, points, axes)
-    pairs = colours.withColumns({k.format("q"): F.floor(F.col(a) / CELL) for k, a in places.items()}).join(near, [k.format("q") for k in places])
-    within = points.withColumns({k.format("c"): F.floor(F.col(a) / CELL) for k, a in places.items()}).withColumnsRenamed(names)
-    pairs = pairs.join(F.broadcast(within), [k.format("c") for k in places])
-    d2 = sum(((F.col(a) - F.col(names[a])).cast("long") * (F.col(a) - F.col(names[a])).cast("long") for a in axes), F.lit(0).cast("long"))
-    best = pairs.groupBy(*axes).agg(F.min(d2 * rank_bound + F.col("__rank")).alias("__best"))
-    found = best.select(*axes, F.floor(F.col("__best") / rank_bound).cast("long").alias("d2"), (F.col("__best") % rank_bound).cast("long").alias("rank"))
-    return queries.join(found, axes)
+    if not n:
+        return queries.limit(0).withColumns({"d2": F.lit(0).cast("long"), "rank": F.lit(0).cast("long")})
+    table = np.array(points.select(*[F.col(a).cast("long") for a in axes], "__rank").collect(), dtype=np.int64).reshape(n, -1)
+    sent = queries.sparkSession.sparkContext.broadcast((table[:, :-1], table[:, -1], rank_bound))
+
+    @F.pandas_udf(LongType())
+    def best(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        nearest = _Nearest(*sent.value)
+        for columns in batches:
+            yield pd.Series(nearest.find(np.column_stack([x.to_numpy(np.int64) for x in columns])))
+
+    there = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in axes])
+    found = queries.filter(there).withColumn("__best", best(*[F.col(a).cast("long") for a in axes]))
+    return found.withColumns({"d2": F.floor(F.col("__best") / rank_bound).cast("long"), "rank": (F.col("__best") % rank_bound).cast("long")}).drop("__best")
 
 
 def stable_subset(df: DataFrame, flag: str, order: str) -> DataFrame:
@@ -123,41 +157,101 @@ def lookup_runs(queries: DataFrame, runs: DataFrame, line: str, at: str, values:
     r = runs.select(line, F.col("last").alias("__at"), F.struct("last", *values).alias("__run"), F.lit(1).alias("__side"))
     q = queries.select(line, F.col(at).alias("__at"), F.struct(*queries.columns).alias("__q"), F.lit(0).alias("__side"))
     both = r.unionByName(q, allowMissingColumns=True)
-    # Queries come before a run that ends where they are; each takes the next run from there.
-    w = Window.partitionBy(line).orderBy("__at", "__side").rowsBetween(0, Window.unboundedFollowing)
-    found = both.withColumn("__next", F.first("__run", ignorenulls=True).over(w)).filter("__side = 0")
+    # Queries come before a run that ends where they are; each takes the next run from there, also from a later range.
+    found = next_marked(both, [line], ["__at", "__side"], "__run", "__next").filter("__side = 0")
     return found.select("__q.*", F.col("__next.last").alias("last"), *[F.col(f"__next.{v}").alias(v) for v in values])
 
 
-def _axis_pass(axis: int, bound: int):
-    """One pass of the exact distance transform along lines of 256 cells: the least of (distance + step^2, rank)."""
+def lower_envelope(f: np.ndarray, weight: int) -> np.ndarray:
+    """For each row of ``f`` and place x the least of ``f[p] + weight * (x - p)^2`` over all places p.
+
+    Each place has a parabola of one shape; a later one is below an earlier one from some x on. Places are taken in turn: those
+    that the new one overtakes before they have come to the front are dropped, which makes the work linear in a row's length.
+    All rows go through a place together."""
+    rows, n = f.shape
+    each = np.arange(rows)
+    front = np.zeros((rows, n), np.int64)  # the places that come to the front, in order, and from where on
+    since = np.zeros((rows, n), np.int64)
+    top = np.zeros(rows, np.int64)
+    for q in range(1, n):
+        left, start = each, np.zeros(rows, np.int64)
+        while len(left):
+            p = front[left, top[left]]
+            s = (f[left, q] - f[left, p] + weight * (q * q - p * p)) // (2 * weight * (q - p)) + 1
+            overtakes = s <= since[left, top[left]]
+            start[left] = np.where(overtakes, 0, s)
+            top[left] -= overtakes
+            left = left[overtakes & (top[left] >= 0)]
+        # Without a place left the new one is in front from the start.
+        used = each[start < n]
+        top[used] += 1
+        front[used, top[used]] = q
+        since[used, top[used]] = start[used]
+    out = np.empty_like(f)
+    at = np.zeros(rows, np.int64)
+    for x in range(n):
+        ahead = np.minimum(at + 1, top)
+        at = np.where((ahead > at) & (since[each, ahead] <= x), ahead, at)
+        p = front[each, at]
+        out[:, x] = f[each, p] + weight * (x - p) ** 2
+    return out
+
+
+#: A cube of 256^3 cells is worked on in slabs of so many planes.
+SIDE, SLAB = 256, 16
+
+
+def _planes(far: int, bound: int):
+    """Within each plane of a slab along r: the least over b, then over g. One row for each (r, g), with its place along g."""
+
+    def run(table: pa.Table) -> pa.Table:
+        slab = table.column("slab")[0].as_py()
+        seeds = table.filter(pc.is_valid(table.column("code")))
+        code = seeds.column("code").to_numpy().astype(np.int64)
+        f = np.full((SLAB, SIDE, SIDE), far, np.int64)
+        f.ravel()[code - slab * SLAB * SIDE * SIDE] = seeds.column("best").to_numpy()
+        some = np.flatnonzero((f < far).any((1, 2)))
+        g = lower_envelope(f[some].reshape(-1, SIDE), bound).reshape(-1, SIDE, SIDE)
+        g = lower_envelope(g.transpose(0, 2, 1).reshape(-1, SIDE), bound).reshape(-1, SIDE, SIDE)
+        f[some] = g.transpose(0, 2, 1)
+        r, at = np.divmod(np.arange(SLAB * SIDE), SIDE)
+        best = pa.FixedSizeListArray.from_arrays(pa.array(f.ravel()), SIDE).cast(pa.list_(pa.int64()))
+        return pa.table({"band": at // SLAB, "r": r + slab * SLAB, "g": at, "best": best})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = np.arange(256)
-        add = ((step[:, None] - step[None, :]) ** 2).astype(np.int64) * bound
-        for b in batches:
-            line = b.column("best").flatten().to_numpy().reshape(b.num_rows, 256)
-            out = np.stack([(row[None, :] + add).min(1) for row in line])
-            yield pa.RecordBatch.from_arrays([b.column("line"), pa.array(list(out), pa.list_(pa.int64()))], ["line", "best"])
+    return run
+
+
+def _along_r(bound: int):
+    """All planes of a band along g: the least over r, as a row for each cell."""
+
+    def run(table: pa.Table) -> pa.Table:
+        band = table.column("band")[0].as_py()
+        r, g = (table.column(c).to_numpy() for c in ("r", "g"))
+        f = np.empty((SLAB, SIDE, SIDE), np.int64)  # g, b, r
+        f[g - band * SLAB, :, r] = table.column("best").combine_chunks().flatten().to_numpy().reshape(-1, SIDE)
+        best = lower_envelope(f.reshape(-1, SIDE), bound).ravel()
+        g, b, r = np.indices(f.shape, np.int32)
+        code = (r << 16) + ((g + band * SLAB) << 8) + b
+        return pa.table({"code": code.ravel(), "d2": best // bound, "rank": best % bound})
 
     return run
 
 
 def full_cube(candidates: DataFrame, rank: str, rank_bound: int = 65_536) -> DataFrame:
-    """(code, d2, rank) of all 2^24 cells by three passes, along b, g and r; each pass regroups cells into lines of 256."""
+    """(code, d2, rank) of all 2^24 cells, each with its nearest candidate, ties to the smaller rank.
+
+    Distance and rank are one integer, of which lower envelopes are taken along b and g in slabs of planes, and then along r; the
+    planes move once, as a row for each line of 256 cells. Without candidates the distance is past any."""
     spark = candidates.sparkSession
     low, high = candidates.agg(F.min(rank), F.max(rank)).first()
     if low is not None and not 0 <= low <= high < rank_bound:
         raise ValueError(f"ranks from {low} to {high} are not within 0 and {rank_bound}")
     far = (3 * 255 * 255 + 1) * rank_bound
-    seeds = candidates.groupBy(rgb_pack(F.col("r"), F.col("g"), F.col("b")).alias("code")).agg(F.min(rank).cast("long").alias("best"))
-    cells = spark.range(1 << 24).select(F.col("id").cast("int").alias("code")).join(seeds, "code", "left").select("code", F.coalesce("best", F.lit(far).cast("long")).alias("best"))
-    for shift in (0, 8, 16):
-        mask = (1 << 24) - 1 - (255 << shift)
-        lines = cells.groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("line")).agg(F.transform(F.array_sort(F.collect_list(F.struct("code", "best"))), lambda x: x["best"]).alias("best"))
-        done = lines.mapInArrow(_axis_pass(shift, rank_bound), "line int, best array<bigint>")
-        cells = done.select("line", F.posexplode("best").alias("at", "best")).select(F.col("line").bitwiseOR(F.shiftleft("at", shift)).alias("code"), "best")
-    return cells.select("code", F.floor(F.col("best") / rank_bound).cast("long").alias("d2"), (F.col("best") % rank_bound).cast("long").alias("rank"))
+    seeds = candidates.groupBy(rgb_pack(F.col("r"), F.col("g"), F.col("b")).cast("long").alias("code")).agg(F.min(rank).cast("long").alias("best"))
+    slabs = spark.range(SIDE // SLAB).select(F.col("id").alias("slab"))
+    both = seeds.select(F.floor(F.col("code") / (SLAB * SIDE * SIDE)).cast("long").alias("slab"), "code", "best").unionByName(slabs, allowMissingColumns=True)
+    planes = both.groupBy("slab").applyInArrow(_planes(far, rank_bound), "band long, r long, g long, best array<bigint>")
+    return planes.groupBy("band").applyInArrow(_along_r(rank_bound), "code int, d2 long, rank long")
 
 
 def candidate_rows(df: DataFrame) -> Column:

@@ -1,11 +1,13 @@
-"""Reference graphs and nested values, by frontier loops over DataFrames that end on data, not on a fixed depth."""
+"""Reference graphs and nested values, by loops over DataFrames that end on data, not on a fixed depth; chains are contracted."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.stable import stable
+from ledgerloom.plans.stable import saved, stable
 
 
 def alias_chain(df: DataFrame, id: str, copy_of: str, rounds: int = 64) -> DataFrame:
@@ -29,47 +31,126 @@ def alias_chain(df: DataFrame, id: str, copy_of: str, rounds: int = 64) -> DataF
     return state.select("id", "root", F.coalesce("fault", F.lit("ok")).alias("status"))
 
 
+def _counts(df: DataFrame, **counts: Column) -> Row:
+    return df.agg(*[x.alias(k) for k, x in counts.items()]).first()
+
+
+def _followed(state: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    """Rows (node, to, ...) with each link followed once more where ``to`` has a row too; ``steps`` give the other columns from
+    those of the row and, as ``up_...``, of the one it points to. ``moved`` tells whether there was one."""
+    up = state.select(*[F.col(c).alias(f"up_{c}") for c in state.columns])
+    met = state.join(up, F.col("to") == F.col("up_node"), "left")
+    there = F.col("up_node").isNotNull()
+    to = F.when(there, F.col("up_to")).otherwise(F.col("to")).alias("to")
+    return met.select("node", to, *[F.when(there, x).otherwise(F.col(c)).alias(c) for c, x in steps.items()], there.alias("moved"))
+
+
+def follow(links: DataFrame, steps: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Chains of links (node, to, ...) followed to their ends, and the nodes whose links never end.
+
+    By doubling: three times a round, links are replaced by those that they lead to, so a chain of n links takes log8(n) rounds. A
+    link that still moves once all could have been passed is on a cycle, or leads to one."""
+    state, reached = saved(links), 1
+    n = state.count()
+    while True:
+        for _ in range(3):
+            state = _followed(state.select(*links.columns), steps)
+        state = saved(state)
+        reached *= 8
+        if reached > 8 * n or not _counts(state, n=F.count_if("moved"))["n"]:
+            break
+    return state.filter("NOT moved").drop("moved"), state.filter("moved").select("node")
+
+
+def _paths(found: DataFrame, shown: int) -> DataFrame:
+    """node and ``path``: the last ``shown`` nodes on the way to it, by doubling along the parents."""
+    state, size = found.select("node", F.col("parent").alias("to"), F.array("node").alias("path")), 1
+    while size < shown:
+        up = state.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("path").alias("before"))
+        state = state.join(up, "to", "left").select("node", F.col("next").alias("to"), F.when(F.col("before").isNull(), F.col("path")).otherwise(F.concat("before", "path")).alias("path"))
+        state, size = saved(state), 2 * size
+    return state.select("node", F.when(F.size("path") > shown, F.slice("path", -shown, shown)).otherwise(F.col("path")).alias("path"))
+
+
 def reachability(edges: DataFrame, roots: DataFrame, src: str = "src", dst: str = "dst", shown: int = 0) -> DataFrame:
     """node, hops, parent of each node that a root leads to, over any number of hops; the parent is the smallest of those one hop
-    nearer. With ``shown``, also ``path``: the last so many nodes on the way, the node itself included."""
-    e = stable(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().repartition("src"))
+    nearer. With ``shown``, also ``path``: the last so many nodes on the way, the node itself included.
+
+    A node that one edge leads to is as far as that edge's source and a hop, so chains and trees of such nodes are contracted onto
+    where they start; distances are then settled, hop by hop of what is left, between roots and nodes where ways meet."""
     first = roots.select(F.col(roots.columns[0]).alias("node")).distinct()
     kind = first.schema["node"].dataType
-    seen = stable(first.select("node", F.lit(0).alias("hops"), F.lit(None).cast(kind).alias("parent"), *[F.array("node").alias("path")] * (shown > 0)))
-    front, hop = seen, 0
-    while front.limit(1).count():
-        hop += 1
-        nxt = e.join(front.select(F.col("node").alias("src"), *["path"] * (shown > 0)), "src").join(seen.select(F.col("node").alias("dst")), "dst", "left_anti")
-        if shown:
-            nxt = nxt.groupBy("dst").agg(F.min(F.struct("src", "path")).alias("__p")).select("dst", F.col("__p.src").alias("parent"), F.concat("__p.path", F.array("dst")).alias("path"))
-            nxt = nxt.withColumn("path", F.when(F.size("path") > shown, F.slice("path", -shown, shown)).otherwise(F.col("path")))
-        else:
-            nxt = nxt.groupBy("dst").agg(F.min("src").alias("parent"))
-        front = stable(nxt.select(F.col("dst").alias("node"), F.lit(hop).alias("hops"), "parent", *["path"] * (shown > 0)))
-        seen = seen.union(front)
-    return seen
+    e = saved(edges.select(F.col(src).cast(kind).alias("src"), F.col(dst).cast(kind).alias("dst")).filter("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    into = e.groupBy("dst").agg(F.count("*").alias("n"), F.min("src").alias("src"))
+    single = into.filter("n = 1").join(first.withColumnRenamed("node", "dst"), "dst", "left_anti").select(F.col("dst").alias("node"), F.col("src").alias("to"), F.lit(1).cast("long").alias("off"))
+    held, _ = follow(single, {"off": F.col("off") + F.col("up_off")})
+    held = saved(held)  # (node, to: where its chain starts, off: hops from there)
+    # Edges into roots and meeting points, from the starts of their sources' chains.
+    ends = e.join(single.select(F.col("node").alias("dst")), "dst", "left_anti")
+    ends = ends.join(held.select(F.col("node").alias("src"), "to", "off"), "src", "left")
+    jumps = saved(ends.groupBy(F.coalesce("to", "src").alias("src"), "dst").agg((F.min(F.coalesce("off", F.lit(0).cast("long"))) + 1).alias("far")))
+    known = first.select("node", F.lit(0).cast("long").alias("hops"))
+    front = known
+    while True:
+        ahead = jumps.join(front.select(F.col("node").alias("src"), "hops"), "src").groupBy(F.col("dst").alias("node")).agg(F.min(F.col("hops") + F.col("far")).alias("nearer"))
+        both = known.join(ahead, "node", "full_outer")
+        better = F.col("nearer").isNotNull() & (F.col("hops").isNull() | (F.col("nearer") < F.col("hops")))
+        known = saved(both.select("node", F.least("hops", "nearer").alias("hops"), better.alias("better")))
+        front, known = known.filter("better").select("node", "hops"), known.select("node", "hops")
+        if not _counts(front, n=F.count("*"))["n"]:
+            break
+    inner = held.join(known.select(F.col("node").alias("to"), "hops"), "to").select("node", (F.col("hops") + F.col("off")).alias("hops"))
+    reached = saved(known.unionByName(inner))
+    near = e.join(reached.select(F.col("node").alias("src"), F.col("hops").alias("before")), "src").join(reached.select(F.col("node").alias("dst"), "hops"), "dst").filter("before + 1 = hops")
+    parents = near.groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
+    out = reached.join(parents, "node", "left").select("node", F.col("hops").cast("int").alias("hops"), F.when(F.col("hops") > 0, F.col("parent")).alias("parent"))
+    if not shown:
+        return out
+    out = saved(out)
+    return out.join(_paths(out, shown), "node")
 
 
 def longest_path_dag(edges: DataFrame, weights: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, depth): the largest sum of weights from a node down, itself included; and the nodes on or above a cycle.
 
-    Nodes are settled from the leaves up, once all they lead to are; what never settles leads to a cycle."""
-    e = stable(edges.select("src", "dst").distinct())
-    nodes = stable(weights.select("node", F.col("weight").cast("long").alias("weight")))
-    left, done = nodes, None
-    best = stable(nodes.select("node", F.lit(0).cast("long").alias("below")).limit(0))
+    Each round settles the nodes all of whose edges lead to settled ones. A node with one edge left has the depth
+    max(a, b + depth of where it leads), from what has been settled below it; such functions combine, so where a quarter of the
+    nodes or more are like that, chains of them are followed to their ends by doubling, set aside, and settled last. What never
+    settles leads to a cycle."""
+    best = lambda x, y: F.greatest(x, y)  # noqa: E731  the larger of the two that are not null
+    live = weights.select("node", F.col("weight").cast("long").alias("weight"), F.lit(None).cast("long").alias("below"))
+    e = saved(edges.select("src", "dst").distinct().join(weights.select(F.col("node").alias("src")), "src", "left_semi").join(weights.select(F.col("node").alias("dst")), "dst", "left_semi").withColumn("far", F.lit(0).cast("long")))
+    done: list[DataFrame] = []
+    aside: list[DataFrame] = []
     while True:
-        waiting = e.join(left.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node")).distinct()
-        ready = left.join(waiting, "node", "left_anti").join(best, "node", "left")
-        ready = stable(ready.select("node", (F.col("weight") + F.coalesce("below", F.lit(0))).alias("depth")))
-        if not ready.limit(1).count():
+        out = e.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("edges"), F.min("dst").alias("to"), F.min("far").alias("far"))
+        state = live.join(out, "node", "left").withColumn("depth", F.when(F.col("edges").isNull(), F.col("weight") + F.coalesce("below", F.lit(0).cast("long"))))
+        state = saved(state)
+        n = _counts(state, all=F.count("*"), settled=F.count("depth"), single=F.count_if(F.col("edges") == 1))
+        done.append(state.filter("depth IS NOT NULL").select("node", "depth"))
+        if 4 * n["single"] >= n["all"] - n["settled"] > 0:
+            links = state.filter("edges = 1").select("node", "to", (F.col("weight") + F.col("below")).alias("a"), (F.col("weight") + F.col("far")).alias("b"))
+            ended, _ = follow(links, {"a": best(F.col("a"), F.col("b") + F.col("up_a")), "b": F.col("b") + F.col("up_b")})
+            ended = saved(ended)
+            aside.append(ended)
+            gone = state.filter("depth IS NULL").join(ended.select("node"), "node", "left_anti")
+            # Edges into a chain lead to its end, and may end in the chain's own best.
+            e = e.join(ended.select(F.col("node").alias("src")), "src", "left_anti").join(ended.select(F.col("node").alias("dst"), "to", "a", "b"), "dst", "left")
+            e = e.select("src", F.coalesce("to", "dst").alias("dst"), (F.col("far") + F.coalesce("b", F.lit(0).cast("long"))).alias("far"), (F.col("far") + F.col("a")).alias("own"))
+            progress = n["settled"] + ended.count()
+        else:
+            gone, e, progress = state.filter("depth IS NULL"), e.withColumn("own", F.lit(None).cast("long")), n["settled"]
+        if not progress:
             break
-        done = ready if done is None else done.union(ready)
-        left = stable(left.join(ready.select("node"), "node", "left_anti"))
-        up = e.join(ready.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("depth").alias("below"))
-        best = stable(best.union(up).groupBy("node").agg(F.max("below").alias("below")))
-    done = nodes.select("node", F.col("weight").alias("depth")).limit(0) if done is None else done
-    return done, left.select("node")
+        e = saved(e.join(state.filter("depth IS NOT NULL").select(F.col("node").alias("dst"), "depth"), "dst", "left"))
+        below = e.groupBy(F.col("src").alias("node")).agg(F.max(best(F.col("own"), F.col("far") + F.col("depth"))).alias("more"))
+        live = gone.join(below, "node", "left").select("node", "weight", best(F.col("below"), F.col("more")).alias("below"))
+        e = e.filter("depth IS NULL").groupBy("src", "dst").agg(F.max("far").alias("far"))
+    settled = reduce(DataFrame.union, done)
+    for ended in reversed(aside):
+        up = ended.join(settled.select(F.col("node").alias("to"), "depth"), "to").select("node", best(F.col("a"), F.col("b") + F.col("depth")).alias("depth"))
+        settled = saved(settled.union(up))
+    return settled, weights.select("node").distinct().join(settled, "node", "left_anti")
 
 
 def json_walk_refs(df: DataFrame, key: str, value: str, name: str) -> DataFrame:

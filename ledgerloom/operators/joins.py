@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.windows import neighbour
+
 
 def valid_candidate(df: DataFrame) -> DataFrame:
     inside = F.col("kind").isin("tile", "wall") & F.col("type").between(0, 32767) & F.col("variant").between(0, 65535)
@@ -77,6 +79,28 @@ def select_by_keys(catalog: DataFrame, selection: DataFrame, key: str) -> tuple[
     return chosen, bad.filter("reason IS NOT NULL")
 
 
+def select_sequence(catalog: DataFrame, selection: DataFrame, key: str, place: str, declared: int | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Selected rows of a sequence of keys; and (place, key, reason) of what is wrong with it.
+
+    Keys must rise from row to row in UTF-16 order, so each is compared with the one before, over range borders and however long
+    the sequence is. A row's reason is that its key is invalid (null or empty), a duplicate of or out of order after the one
+    before, or unknown; of the whole sequence (place and key null), that it has not as many rows as ``declared``, or that none are
+    declared, or more than the catalog has. ``declared`` is a number, or one row of one."""
+    rows = neighbour(selection.select(place, key), [], [place], F.col(key), "__before")
+    rows = rows.join(catalog.select(F.col(key)).distinct().withColumn("__there", F.lit(True)), key, "left")
+    code = lambda x: F.encode(x, "UTF-16BE")
+    before = F.col("__before.value")
+    reason = F.when(F.coalesce(F.col(key), F.lit("")) == "", "invalid").when(code(F.col(key)) == code(before), "duplicate").when(code(F.col(key)) < code(before), "out of order").when(F.col("__there").isNull(), "unknown")
+    bad = rows.select(place, key, reason.alias("reason")).filter("reason IS NOT NULL")
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    said = n(selection, "__n").crossJoin(n(catalog, "__most"))
+    said = said.withColumn("__said", F.lit(declared)) if isinstance(declared, int) else said.crossJoin(declared.select(F.col(declared.columns[0]).alias("__said")))
+    whole = F.when((F.col("__said") <= 0) | (F.col("__said") > F.col("__most")), "declared count").when(F.col("__said") != F.col("__n"), "row count")
+    kinds = {f.name: f.dataType for f in bad.schema}
+    whole = said.select(F.lit(None).cast(kinds[place]).alias(place), F.lit(None).cast(kinds[key]).alias(key), whole.alias("reason")).filter("reason IS NOT NULL")
+    return catalog.join(selection.select(key).distinct(), key, "left_semi"), bad.unionByName(whole)
+
+
 def ref_integrity(refs: DataFrame, catalog: DataFrame, ref: str, key: str) -> DataFrame:
     """Rows with a reference that the catalog has not; nulls refer to nothing."""
     there = catalog.select(F.col(key).alias("__key"))

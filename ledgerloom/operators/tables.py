@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import hash_prefix
-from ledgerloom.operators.windows import global_position, row_shard
+from ledgerloom.operators.windows import global_position, row_shard, runs
 
 BUCKET_BYTES = 16 << 20
 
@@ -114,12 +114,8 @@ def largest_group(df: DataFrame, key: str, variant: str = "variant", stable: str
 
 
 def line_runs(df: DataFrame, line: str, cell: str, values: list[str]) -> DataFrame:
-    """line, run, first, last and values of each run of equal values."""
-    w = Window.partitionBy(line).orderBy(cell)
-    v = F.struct(*values)
-    starts = F.when(F.lag(F.lit(1)).over(w).isNull() | ~v.eqNullSafe(F.lag(v).over(w)), 1).otherwise(0)
-    rows = df.withColumn("__s", starts).withColumn("run", F.sum("__s").over(w) - 1)
-    return rows.groupBy(line, "run", *values).agg(F.min(cell).alias("first"), F.max(cell).alias("last"))
+    """line, run, first, last and values of each run of equal values; a line may be of any length."""
+    return runs(df, [line], cell, values)
 
 
 def domain_counts(df: DataFrame, kind: str, status: str, labels: list[str]) -> DataFrame:

@@ -449,6 +449,36 @@ def strictly_increasing(v):
     return W.strictly_increasing(rows, ["g"], "id", "key").select("id")
 
 
+@query("SELECT id FROM (SELECT id, concat('k', CAST(id % 30 AS VARCHAR)) AS key, lag(concat('k', CAST(id % 30 AS VARCHAR))) OVER (ORDER BY id) AS b FROM v_nested) WHERE key <= b")
+def strictly_increasing_sequence(v):
+    """All rows as one sequence."""
+    rows = v["nested"].select("id", F.concat(F.lit("k"), (c("id") % 30).cast("string")).alias("key"))
+    return W.strictly_increasing(rows, [], "id", "key").select("id")
+
+
+def _sequence(v):
+    return v["selection"], v["part_keys"], v["selection"].agg((F.count("*") + 1).alias("declared"))
+
+
+_SEQUENCE = "WITH s AS (SELECT place, key, lag(key) OVER (ORDER BY place) AS b FROM v_selection)"
+
+
+@query("SELECT key FROM v_part_keys WHERE key IN (SELECT key FROM v_selection)")
+def select_sequence(v):
+    wanted, there, declared = _sequence(v)
+    return J.select_sequence(there, wanted, "key", "place", declared)[0].select("key")
+
+
+@query(
+    _SEQUENCE + " SELECT * FROM (SELECT place, key, CASE WHEN coalesce(key, '') = '' THEN 'invalid' WHEN key = b THEN 'duplicate' WHEN key < b THEN 'out of order' WHEN key NOT IN (SELECT key FROM v_part_keys) THEN 'unknown' END AS reason FROM s) WHERE reason IS NOT NULL "
+    "UNION ALL SELECT NULL, NULL, CASE WHEN (SELECT count(*) + 1 FROM s) > (SELECT count(*) FROM v_part_keys) THEN 'declared count' ELSE 'row count' END"
+)
+def select_sequence_violations(v):
+    """One sequence of keys with repeated, misplaced, unknown and empty ones, and a declared count that is one too many."""
+    wanted, there, declared = _sequence(v)
+    return J.select_sequence(there, wanted, "key", "place", declared)[1]
+
+
 @query("SELECT ref_id, asset_id FROM v_refs WHERE asset_id NOT IN (SELECT doc_id FROM documents)")
 def ref_integrity(v):
     return J.ref_integrity(v["refs"], v.table("documents"), "asset_id", "doc_id").select("ref_id", "asset_id")
@@ -819,6 +849,18 @@ def full_cube(v):
     return C.full_cube(ranked, "rank").groupBy(F.shiftright("code", 16).alias("r")).agg(F.sum("d2").alias("d2"), F.sum("rank").alias("ranks"))
 
 
+@query(
+    "WITH s AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS position FROM v_colors WHERE stable), k AS (SELECT r, g, b, row_number() OVER (ORDER BY paint <> 0, position) - 1 AS rnk FROM s), m AS (SELECT r, g, b, min(rnk) AS rnk FROM k GROUP BY 1, 2, 3), "
+    "x AS (SELECT p.g, o.b, min(((77 - m.r) * (77 - m.r) + (p.g - m.g) * (p.g - m.g) + (o.b - m.b) * (o.b - m.b)) * 65536 + m.rnk) AS best FROM range(256) p(g), range(256) o(b), m GROUP BY 1, 2) "
+    "SELECT CAST(g AS INT) AS g, CAST(sum(best // 65536) AS BIGINT) AS d2, CAST(sum(best % 65536) AS BIGINT) AS ranks FROM x GROUP BY 1"
+)
+def full_cube_plane(v):
+    """The plane r = 77 of the whole cube, whose cells brute force can check."""
+    ranked = W.priority_rank_any(C.stable_subset(v["colors"], "stable", "ord").drop("ord").withColumnRenamed("position", "ord"))
+    plane = C.full_cube(ranked, "rank").filter(F.shiftright("code", 16) == 77)
+    return plane.groupBy(F.shiftright("code", 8).bitwiseAND(F.lit(255)).cast("int").alias("g")).agg(F.sum("d2").alias("d2"), F.sum("rank").alias("ranks"))
+
+
 # --- aggregations ----------------------------------------------------------------------------------------------------
 
 

@@ -25,3 +25,11 @@ def stable(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_path(spark))
     return df.checkpoint()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """A table in the shared folder, for loops: unlike a checkpoint it starts afresh for the optimizer, which would else carry what
+    it knows of all earlier rounds' expressions from round to round."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

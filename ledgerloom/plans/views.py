@@ -31,6 +31,8 @@ VIEWS = {
     "v_declared": """SELECT l_orderkey AS pack, count(*) + CASE WHEN l_orderkey % 40 = 0 THEN 1 ELSE 0 END AS declared_rows FROM lineitem GROUP BY l_orderkey""",
     "v_nested": """SELECT page_id AS id, concat('{"id":', CAST(page_id AS STRING), ',"slots":[{"assigned":true,"assetId":"k', CAST(page_id % 30 AS STRING), '"},{"assigned":', CASE WHEN page_id % 9 = 0 THEN 'true' ELSE 'false' END, ',"assetId":null}],"sub":{"assetId":"k', CAST(page_id % 40 AS STRING), '"}}') AS raw FROM pages""",
     "v_catalog_keys": """SELECT concat('k', CAST(n_nationkey AS STRING)) AS key FROM nation""",
+    "v_part_keys": """SELECT concat('Item_', CAST(1000000000 + p_partkey AS STRING)) AS key FROM part WHERE p_partkey % 15 <> 14""",
+    "v_selection": """SELECT p_partkey AS place, CASE WHEN p_partkey % 90 = 7 THEN '' ELSE concat('Item_', CAST(1000000000 + p_partkey - CASE WHEN p_partkey % 70 = 0 THEN 2 WHEN p_partkey % 50 = 0 THEN 1 ELSE 0 END AS STRING)) END AS key FROM part WHERE p_partkey % 4 <> 1""",
     "v_items": """SELECT p_partkey AS id, p_name AS name, p_size AS required, p_brand AS brand FROM part WHERE p_partkey > 0""",
     "v_research": """SELECT p_partkey AS id, CASE WHEN p_partkey % 41 = 0 THEN p_size + 1 ELSE p_size END AS required, concat('P', CAST(p_partkey AS STRING)) AS persistent_id FROM part WHERE p_partkey > 0 AND p_partkey % 37 <> 0""",
     "v_tooltips": """SELECT p_partkey AS id, p_type AS tooltip FROM part WHERE p_partkey % 2 = 0""",

@@ -2,7 +2,7 @@
 
 ``channels/<channel>.json`` holds ``{"manifestSha256": ...}``; ``releases/<sha>.json`` holds
 ``{"schema": 1, "families": {name: {"count": n, "packs": [{"path", "sha256", "bytes", "count"}]}}}``.
-A scan reads the two small files in the driver, and then only the packs that they list, one task a pack.
+A scan reads the two small files in the driver, and then only the packs that they list; a pack is read by one task.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ledgerloom.operators.windows import row_shard
-from ledgerloom.sources.storage import measured, opened, read_pieces, write_content_addressed
+from ledgerloom.sources.storage import TASK_BYTES, measured, opened, read_pieces, write_content_addressed
 
 SCHEMA = 1
 #: The most bytes of a pointer and of a manifest.
@@ -74,7 +74,7 @@ def resolve(root: str, channel: str) -> tuple[str, dict] | None:
 
 
 @dataclass
-class Pack(InputPartition):
+class Pack:
     family: str | None
     path: str | None
     sha256: str | None
@@ -83,6 +83,11 @@ class Pack(InputPartition):
     error: str | None = None
 
 
+@dataclass
+class Packs(InputPartition):
+    packs: list[Pack]
+
+
 def _described(family: str, pack: object) -> Pack:
     kinds = {"path": str, "sha256": str, "bytes": int, "count": int}
     if not isinstance(pack, dict) or any(not isinstance(pack.get(k), t) for k, t in kinds.items()):
@@ -130,13 +135,22 @@ class _ReleaseReader(DataSourceReader):
         try:
             found = resolve(self.root, self.channel)
         except ReleaseError as e:
-            return [Pack(None, None, None, None, None, str(e))]
-        return packs_of(found[1]) if found else []
+            return [Packs([Pack(None, None, None, None, None, str(e))])]
+        out: list[Packs] = []
+        total = TASK_BYTES
+        for p in packs_of(found[1]) if found else []:
+            if total + (p.bytes or 0) > TASK_BYTES:
+                out.append(Packs([]))
+                total = 0
+            out[-1].packs.append(p)
+            total += p.bytes or 0
+        return out
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        p = partition
-        if p is None:
-            return
+        for p in partition.packs if partition else []:
+            yield from self._pack(p)
+
+    def _pack(self, p: Pack) -> Iterator[tuple]:
         fault = lambda text: (p.family, p.path, None, None, text)
         if p.error:
             yield fault(p.error)
