@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerloom.llm.store import save_bucketed
 from ledgerloom.llm.words import slices
@@ -62,3 +63,20 @@ def rows_of(table: pa.Table) -> pa.RecordBatch:
     flat = table.column("rows").combine_chunks()
     flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
     return pa.RecordBatch.from_struct_array(flat.flatten())
+
+
+def nullable(kind: T.DataType) -> T.DataType:
+    """A type in which everything may be null, as rows have it that come back from a block."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType))
+    return kind
+
+
+def as_declared(columns: list[pa.Array], schema: T.StructType) -> list[pa.Array]:
+    """Columns with the Arrow types that Spark asks for: timestamps come with the session's time zone, and are asked for in UTC."""
+    wanted = to_arrow_schema(schema).types
+    return [c if c.type == t else c.cast(t) for c, t in zip(columns, wanted, strict=True)]

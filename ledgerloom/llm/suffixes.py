@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.blocks import rows_of, write_blocks
+from ledgerloom.llm.blocks import as_declared, nullable, rows_of, write_blocks
 from ledgerloom.llm.store import save
 from ledgerloom.llm.words import U64, mix, starts_of, texts_of
 
@@ -546,8 +546,9 @@ def repeat_digests(docs: DataFrame, span: int = 50, hot: int = HOT) -> DataFrame
 
 
 def remove_repeats(docs: DataFrame, span: int = 50) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``; a character goes only if all its bytes do."""
-    schema = docs.schema
+    """``docs`` with repeated passages cut out of ``text``; a character goes only if all its bytes do. Null texts and further
+    columns, of any type and name, stay as they are; every column may be null afterwards."""
+    schema = nullable(docs.schema)
     at = docs.columns.index("text")
 
     def finish(rows: pa.RecordBatch, marks: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -560,6 +561,6 @@ def remove_repeats(docs: DataFrame, span: int = 50) -> DataFrame:
                 out[i] = b[~np.repeat(whole, np.diff(np.append(lead, len(b))))].tobytes().decode()
         columns = list(rows.columns)
         columns[at] = pa.array(out, pa.string())
-        return pa.RecordBatch.from_arrays(columns, rows.schema.names)
+        return pa.RecordBatch.from_arrays(as_declared(columns, schema), rows.schema.names)
 
     return without_repeats(docs, span, finish, schema)
