@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ledgerloom.functions.scalars import bgr_rank, brick_address, kind_code, rgb_pack
-from ledgerloom.operators.windows import global_position, next_marked, priority_rank_any, priority_rank_wall
+from ledgerloom.operators.windows import global_position, group_order, next_marked, priority_rank_any, priority_rank_wall
 
 #: The most candidates that a colour index can number, which is also what bounds a broadcast of them.
 MAX_CANDIDATES = 65_534
@@ -130,6 +130,12 @@ def color_groups(df: DataFrame) -> DataFrame:
     return rows.groupBy("code").agg(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["ord"]).alias("members"), F.count("*").alias("n"))
 
 
+def color_members(df: DataFrame) -> DataFrame:
+    """code, place, ord: the members of each colour as rows, for colours that have too many for an array."""
+    rows = df.select(rgb_pack(F.col("r"), F.col("g"), F.col("b")).alias("code"), kind_code(F.col("kind")).alias("kind_code"), "paint", "type", "variant", "ord")
+    return group_order(rows).select("code", "place", "ord")
+
+
 def brick_palette(cells: DataFrame) -> DataFrame:
     """Per 8 x 8 x 8 brick of (r, g, b, label): palette, its size, encoding class 0 to 3 and payload bytes."""
     rows = cells.withColumn("a", brick_address(F.col("r"), F.col("g"), F.col("b")))

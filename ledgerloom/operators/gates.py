@@ -45,10 +45,11 @@ def gate_scope(scope: DataFrame, catalog: DataFrame, mode: str = "selection") ->
     return violations("scope", row.select(F.explode(reasons).alias("__r")), F.lit("scope"), F.col("__r"))
 
 
-def gate_mounts(coverage: DataFrame, domain: int | None = None) -> DataFrame:
-    """Every entity must be populated, and there must be as many as the domain has."""
-    got = coverage.agg(F.count("*").alias("n"), F.count_if("populated").alias("p"))
-    bad = got.filter((F.col("n") == 0) | (F.col("n") != F.col("p")) | (F.lit(domain is not None) & (F.col("n") != F.lit(domain or 0))))
+def gate_mounts(coverage: DataFrame, domain: Column | int | None = None) -> DataFrame:
+    """Every entity must be populated, and there must be as many as the domain has: a number, or an aggregate over ``coverage``."""
+    size = domain if isinstance(domain, Column) else F.lit(domain).cast("long")
+    got = coverage.agg(F.count("*").alias("n"), F.count_if("populated").alias("p"), size.alias("size"))
+    bad = got.filter((F.col("n") == 0) | (F.col("n") != F.col("p")) | F.coalesce(F.col("n") != F.col("size"), F.lit(False)))
     return violations("mounts", bad, F.lit("mounts"), F.concat(F.col("p").cast("string"), F.lit(" of "), F.col("n").cast("string")))
 
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.windows import neighbour
 
+#: The most values that every row is crossed with.
+MOST_VALUES = 4096
+
 
 def valid_candidate(df: DataFrame) -> DataFrame:
     inside = F.col("kind").isin("tile", "wall") & F.col("type").between(0, 32767) & F.col("variant").between(0, 65535)
@@ -184,7 +187,11 @@ def locale_merge(a: DataFrame, b: DataFrame, key: str, text: str, names: tuple[s
 
 
 def expand_cross(df: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """Each row with 0 and every distinct value; values are a small closed set (paints), held as one array."""
+    """Each row with 0 and every distinct value; values are a small closed set (paints), checked to be at most MOST_VALUES and held
+    as one array."""
+    n = values.select(name).distinct().limit(MOST_VALUES + 1).count()
+    if n > MOST_VALUES:
+        raise ValueError(f"more than {MOST_VALUES} values to cross with")
     every = values.agg(F.array_sort(F.array_union(F.array(F.lit(0)), F.collect_set(name))).alias("__v"))
     return df.crossJoin(F.broadcast(every)).withColumn(name, F.explode("__v")).drop("__v")
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,13 +103,56 @@ def dedupe_operations(df: DataFrame, parent: str, pos: str, op: Column) -> tuple
     return rows.groupBy(parent).agg(ordered.alias("keys")), rows.select("key", "operation").dropDuplicates(["key"])
 
 
+def _first_values(df: DataFrame, part: str, pos: str, value: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Each part's distinct values with their rows, and ``index`` by first appearance; and (part, values). A part with more than
+    ``limit`` values is only counted, so that no window goes over more than ``limit`` rows."""
+    firsts = df.groupBy(part, value).agg(F.min(pos).alias("__first"), F.count("*").alias("__rows"))
+    counts = firsts.groupBy(part).agg(F.count("*").alias("__values"))
+    few = firsts.join(counts.filter(F.col("__values") <= limit), part)
+    return few.withColumn("index", F.row_number().over(Window.partitionBy(part).orderBy("__first")) - 1), counts
+
+
 def dictionary_encode(df: DataFrame, part: str, pos: str, value: str, limit: int = 256) -> DataFrame:
     """``index`` of each value by first appearance in its part; null where a part has more than ``limit`` values."""
-    firsts = df.groupBy(part, value).agg(F.min(pos).alias("__first"))
-    w = Window.partitionBy(part)
-    firsts = firsts.withColumn("index", F.row_number().over(w.orderBy("__first")) - 1).withColumn("__n", F.count("*").over(w))
-    firsts = firsts.withColumn("index", F.when(F.col("__n") <= limit, F.col("index"))).drop("__n", "__first")
-    return df.join(firsts.withColumnRenamed(value, "__v"), (df[part] == firsts[part]) & df[value].eqNullSafe(F.col("__v"))).drop(firsts[part]).drop("__v")
+    index = _first_values(df, part, pos, value, limit)[0].select(F.col(part).alias("__p"), F.col(value).alias("__v"), "index")
+    return df.join(index, (df[part] == F.col("__p")) & df[value].eqNullSafe(F.col("__v")), "left").drop("__p", "__v")
+
+
+def _deflated(block: pa.Table) -> pa.Table:
+    """Bytes of a block's values one after the other, and of its indexes in whole bytes or parts of them, both deflated."""
+    rows = block.sort_by("pos")
+    plain = len(zlib.compress(b"".join(x or b"" for x in rows.column("content").to_pylist())))
+    index = None
+    if rows.num_rows and rows.column("bits")[0].as_py() is not None:
+        bits, codes = rows.column("bits")[0].as_py(), rows.column("index").to_numpy().astype(np.uint8)
+        index = len(zlib.compress(np.packbits(np.unpackbits(codes[:, None], axis=1)[:, 8 - bits :].ravel()).tobytes()))
+    return pa.table({"part": rows.column("part").slice(0, 1), "plain": pa.array([plain], pa.int64()), "coded": pa.array([index], pa.int64())})
+
+
+def coding_choice(df: DataFrame, part: str, pos: str, value: str, limit: int = 256, deflate: bool = False, overhead: int = 24, block: int = 1 << 16) -> DataFrame:
+    """part, rows, values, plain_bytes, indexed_bytes, indexed: whether a part is smaller with its distinct values stored once, in
+    order of first appearance, and an index of 1, 2, 4 or 8 bits a row. A tie stays plain, as does a part with more than ``limit``
+    values, which has no indexed size.
+
+    Sizes are those of the bytes, or with ``deflate`` of both forms compressed, in blocks of ``block`` rows whose sizes are summed,
+    so that a part may be of any length. ``overhead`` is what the stored values cost besides their bytes. A null has no bytes."""
+    firsts, counts = _first_values(df, part, pos, value, limit)
+    bits = F.when(F.col("__values") <= 2, 1).when(F.col("__values") <= 4, 2).when(F.col("__values") <= 16, 4).when(F.col("__values") <= limit, 8)
+    size = F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+    stored = firsts.groupBy(F.col(part).alias("__p")).agg(F.sum(size).alias("__stored"))
+    rows = df.groupBy(part).agg(F.count("*").alias("rows"), F.sum(size).alias("plain")).join(counts, part)
+    if deflate:
+        placed = row_shard(dictionary_encode(df, part, pos, value, limit), [part], [pos], block).join(counts.withColumnRenamed(part, "__p"), F.col(part) == F.col("__p"))
+        cut = placed.select(F.col(part).cast("string").alias("part"), "shard", F.col(pos).alias("pos"), F.col(value).cast("binary").alias("content"), "index", bits.alias("bits"))
+        each = cut.groupBy("part", "shard").applyInArrow(_deflated, "part string, plain long, coded long")
+        each = each.groupBy(F.col("part").alias("__part")).agg(F.sum("plain").alias("plain"), F.sum("coded").alias("coded"))
+        rows = rows.drop("plain").join(each, F.col(part).cast("string") == F.col("__part")).drop("__part")
+    else:
+        rows = rows.withColumn("coded", F.ceil(F.col("rows") * bits / 8))
+    rows = rows.join(stored, F.col(part) == F.col("__p"), "left")
+    indexed = F.when(F.col("__values") <= limit, F.col("coded") + F.col("__stored") + overhead).cast("long")
+    out = rows.select(part, "rows", F.col("__values").alias("values"), F.col("plain").alias("plain_bytes"), indexed.alias("indexed_bytes"))
+    return out.withColumn("indexed", F.coalesce(F.col("indexed_bytes") < F.col("plain_bytes"), F.lit(False)))
 
 
 def largest_group(df: DataFrame, key: str, variant: str = "variant", stable: str = "stable") -> DataFrame:
@@ -142,10 +189,11 @@ def mount_coverage(df: DataFrame, key: str, slots: Column) -> DataFrame:
 
 
 def mount_totals(coverage: DataFrame, domain: Column | int) -> DataFrame:
-    """One row: entities, populated, textureless, bound slots, the domain's size, and whether all of the domain is populated."""
-    got = coverage.agg(F.count("*").alias("entities"), F.count_if("populated").alias("populated"), F.count_if("textureless").alias("textureless"), F.coalesce(F.sum("assigned"), F.lit(0)).cast("long").alias("bound_slots"))
+    """One row: entities, populated, textureless, bound slots, the domain's size, and whether all of the domain is populated. The
+    size is a number, or an aggregate over ``coverage``."""
     size = domain if isinstance(domain, Column) else F.lit(domain)
-    return got.withColumn("domain", size.cast("long")).withColumn("complete", (F.col("entities") > 0) & (F.col("entities") == F.col("populated")) & (F.col("entities") == F.col("domain")))
+    got = coverage.agg(F.coalesce(size, F.lit(0)).cast("long").alias("domain"), F.count("*").alias("entities"), F.count_if("populated").alias("populated"), F.count_if("textureless").alias("textureless"), F.coalesce(F.sum("assigned"), F.lit(0)).cast("long").alias("bound_slots"))
+    return got.withColumn("complete", (F.col("entities") > 0) & (F.col("entities") == F.col("populated")) & (F.col("entities") == F.col("domain")))
 
 
 def distinct_styles(df: DataFrame, key: str, style: str) -> DataFrame:

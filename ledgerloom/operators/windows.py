@@ -124,9 +124,9 @@ def priority_rank_wall(df: DataFrame, order: str = "ord", paint: str = "paint",
 
 
 def group_order(df: DataFrame, code: str = "code") -> DataFrame:
-    """Place of a row in its colour: kind, unpainted first, type, variant, paint, input order."""
-    w = Window.partitionBy(code).orderBy("kind_code", F.col("paint") != 0, "type", "variant", "paint", "ord")
-    return df.withColumn("place", F.row_number().over(w) - 1)
+    """Place of a row in its colour: kind, unpainted first, type, variant, paint, input order. A colour may have any number of rows."""
+    order = ["kind_code", F.col("paint") != 0, "type", "variant", "paint", "ord"]
+    return place_in_family(df, [code], order, "place").withColumn("place", (F.col("place") - 1).cast("int"))
 
 
 def run_boundaries(df: DataFrame, partition: str, order: str, values: list[str]) -> DataFrame:

@@ -581,12 +581,13 @@ def domain_size_fallback(v):
     return b.groupBy("kind").agg(A.domain_size_fallback(F.max(F.when(c("kind") < 3, c("kind"))), c("id")).alias("size"))
 
 
-@query("WITH i AS (SELECT s_suppkey AS item, s_nationkey * 3 + 1 AS slot FROM supplier), f AS (SELECT id AS slot, options = 1 AS modern FROM v_flags WHERE id < 60), b AS (SELECT k AS kind, n_nationkey * 3 + 1 AS slot FROM nation, (VALUES ('A'), ('B'), ('C')) t(k) WHERE NOT (k = 'B' AND n_nationkey % 4 = 0)) SELECT item, i.slot, 'outside domain' AS reason FROM i LEFT JOIN f USING (slot) WHERE f.slot IS NULL UNION ALL SELECT item, slot, concat('no ', k) FROM i JOIN f USING (slot), (VALUES ('A'), ('B'), ('C')) t(k) WHERE NOT modern AND NOT EXISTS (SELECT 1 FROM b WHERE b.kind = k AND b.slot = i.slot)")
+@query("WITH i AS (SELECT s_suppkey AS item, CASE WHEN s_suppkey % 11 = 0 THEN s_suppkey + 1000000000 ELSE s_suppkey * 3 + 1 END AS slot FROM supplier), f AS (SELECT id AS slot, options = 1 AS modern FROM v_flags), b AS (SELECT k AS kind, id AS slot FROM v_flags, (VALUES ('A'), ('B'), ('C')) t(k) WHERE id % 3 = 1 AND NOT (k = 'B' AND id % 4 = 0)) SELECT item, i.slot, 'outside domain' AS reason FROM i LEFT JOIN f USING (slot) WHERE f.slot IS NULL UNION ALL SELECT item, slot, concat('no ', k) FROM i JOIN f USING (slot), (VALUES ('A'), ('B'), ('C')) t(k) WHERE NOT modern AND NOT EXISTS (SELECT 1 FROM b WHERE b.kind = k AND b.slot = i.slot)")
 def conditional_slot_check(v):
-    items = v.table("supplier").select(c("s_suppkey").alias("item"), (c("s_nationkey") * 3 + 1).cast("long").alias("slot"))
-    flags = v["flags"].filter("id < 60").select(c("id").alias("slot"), (c("options") == 1).alias("modern"))
-    b = v.table("nation").select(F.explode(F.array(*map(F.lit, "ABC"))).alias("kind"), (c("n_nationkey") * 3 + 1).cast("long").alias("slot"), "n_nationkey")
-    return J.conditional_slot_check(items, flags, b.filter("NOT (kind = 'B' AND n_nationkey % 4 = 0)"), "slot", ["A", "B", "C"])
+    """Over the whole table of flags; every 11th item has a slot that is not in it."""
+    items = v.table("supplier").selectExpr("s_suppkey AS item", "CAST(IF(s_suppkey % 11 = 0, s_suppkey + 1000000000, s_suppkey * 3 + 1) AS BIGINT) AS slot")
+    flags = v["flags"].select(c("id").alias("slot"), (c("options") == 1).alias("modern"))
+    b = v["flags"].filter("id % 3 = 1").select(F.explode(F.array(*map(F.lit, "ABC"))).alias("kind"), c("id").alias("slot"))
+    return J.conditional_slot_check(items, flags, b.filter("NOT (kind = 'B' AND slot % 4 = 0)"), "slot", ["A", "B", "C"])
 
 
 _SLOTS = "WITH s AS (SELECT width AS slot, id, CASE WHEN options = 3 THEN 'field_range' WHEN options = 2 AND spreads THEN 'missing_required' WHEN options = 2 THEN 'no_source' END AS reason, NOT frame_important AS sampled FROM v_flags)"
@@ -754,6 +755,11 @@ def nearest_group(v):
     return C.nearest_group(v["query_colors"], v["colors"]).select("qid", "d2", "code")
 
 
+@query("SELECT r * 65536 + g * 256 + b AS code, CAST(row_number() OVER (PARTITION BY r, g, b ORDER BY CASE kind WHEN 'wall' THEN 1 ELSE 0 END, paint <> 0, type, variant, paint, ord) - 1 AS INT) AS place, ord FROM v_colors")
+def color_members(v):
+    return C.color_members(v["colors"])
+
+
 @query("SELECT r * 65536 + g * 256 + b AS code, string_agg(CAST(ord AS VARCHAR), ',' ORDER BY CASE kind WHEN 'wall' THEN 1 ELSE 0 END, paint <> 0, type, variant, paint, ord) AS members, count(*) AS n FROM v_colors GROUP BY 1")
 def color_groups(v):
     return C.color_groups(v["colors"]).withColumn("members", F.array_join(c("members").cast("array<string>"), ","))
@@ -916,6 +922,17 @@ def dedupe_operations_distinct(v):
     return A.dedupe_operations(v["ops"], "conv_id", "turn", c("op"))[1]
 
 
+@query(
+    "WITH o AS (SELECT DISTINCT conv_id // 8 AS part, conv_id, turn, op FROM v_ops), n AS (SELECT part, count(*) AS rows, count(DISTINCT op) AS values, CAST(sum(strlen(op)) AS BIGINT) AS plain_bytes FROM o GROUP BY 1), s AS (SELECT part, sum(strlen(op)) AS stored FROM (SELECT DISTINCT part, op FROM o) GROUP BY 1), "
+    "x AS (SELECT part, rows, values, plain_bytes, CASE WHEN values <= 16 THEN CAST(stored + 24 + ceil(rows * CASE WHEN values <= 2 THEN 1 WHEN values <= 4 THEN 2 ELSE 4 END / 8) AS BIGINT) END AS indexed_bytes FROM n JOIN s USING (part)) "
+    "SELECT CAST(part AS BIGINT) AS part, rows, values, plain_bytes, indexed_bytes, coalesce(indexed_bytes < plain_bytes, false) AS indexed FROM x"
+)
+def coding_choice(v):
+    """Eight conversations' operations are a part; up to 16 different ones may be indexed."""
+    rows = v["ops"].distinct().withColumns({"part": F.expr("conv_id DIV 8"), "pos": c("conv_id") * 1000 + c("turn")})
+    return A.coding_choice(rows, "part", "pos", "op", limit=16)
+
+
 @query("WITH f AS (SELECT conv_id, op, min(turn) AS t FROM v_ops GROUP BY 1, 2), i AS (SELECT conv_id, op, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY t) - 1 AS INT) AS idx FROM f) SELECT conv_id, turn, op, idx FROM v_ops JOIN i USING (conv_id, op)")
 def dictionary_encode(v):
     return A.dictionary_encode(v["ops"].dropDuplicates(["conv_id", "turn"]).alias("o").select("conv_id", "turn", "op"), "conv_id", "turn", "op").select("conv_id", "turn", "op", c("index").alias("idx"))
@@ -937,14 +954,12 @@ def mount_coverage(v):
 
 @query(_MOUNTS + " SELECT count(*) AS entities, count(*) FILTER (populated) AS populated, count(*) FILTER (textureless) AS textureless, CAST(sum(assigned) AS BIGINT) AS bound_slots, CAST(max(id) + 1 AS BIGINT) AS domain, count(*) = count(*) FILTER (populated) AND count(*) = max(id) + 1 AS complete FROM m")
 def mount_totals(v):
-    top = v["nested"].agg(F.max("id")).first()[0]
-    return A.mount_totals(_mounts(v), (top or 0) + 1)
+    return A.mount_totals(_mounts(v), F.max("id") + 1)
 
 
 @query(_MOUNTS + " SELECT 'mounts' AS gate, 'mounts' AS key, concat(count(*) FILTER (populated), ' of ', count(*)) AS reason FROM m HAVING count(*) FILTER (populated) <> count(*) OR count(*) <> max(id) + 1")
 def gate_mounts(v):
-    top = v["nested"].agg(F.max("id")).first()[0]
-    return G.gate_mounts(_mounts(v), (top or 0) + 1)
+    return G.gate_mounts(_mounts(v), F.max("id") + 1)
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -990,10 +1005,15 @@ def order_bytes(v):
     return W.ordered_rank(v["objects"], S.order_bytes(c("logical_key"))).select("logical_key", "rank")
 
 
-@query("SELECT logical_key, row_number() OVER (ORDER BY logical_key) AS rank FROM v_objects")
+_UNITS = "list_aggregate(list_transform(string_split(key, ''), lambda x: CASE WHEN unicode(x) > 65535 THEN printf('%04x%04x', 55296 + ((unicode(x) - 65536) >> 10), 56320 + ((unicode(x) - 65536) & 1023)) ELSE printf('%04x', unicode(x)) END), 'string_agg', '')"
+
+
+@query(f"WITH k AS (SELECT concat(chr(CAST(CASE doc_id % 3 WHEN 0 THEN 65536 + doc_id WHEN 1 THEN 57344 + doc_id % 5000 ELSE 107 END AS INT)), logical_key) AS key FROM v_objects) SELECT key, row_number() OVER (ORDER BY {_UNITS}) AS rank FROM k")
 def order_utf16(v):
-    """The keys are ASCII, where this order and that of bytes are one; the tests have keys where they differ."""
-    return W.ordered_rank(v["objects"], S.order_utf16(c("logical_key"))).select("logical_key", "rank")
+    """Keys that begin beyond the first plane, which come before those that begin near its end, as in no order of bytes."""
+    code = F.expr("CASE doc_id % 3 WHEN 0 THEN 65536 + doc_id WHEN 1 THEN 57344 + doc_id % 5000 ELSE 107 END")
+    first = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return W.ordered_rank(v["objects"].select(F.concat(first, "logical_key").alias("key")), S.order_utf16(c("key"))).select("key", "rank")
 
 
 @query("SELECT doc_id, {sha}(text{shaarg}) AS sha FROM documents")
