@@ -13,6 +13,7 @@ from ledgerloom.operators import graphs as R
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import tables as A
 from ledgerloom.operators import windows as W
+from ledgerloom.plans.views import gzipped
 from ledgerloom.sources import files as I
 from ledgerloom.streaming import ingest
 
@@ -267,7 +268,7 @@ def test_gzip_content_is_measured_decoded(spark):
     assert digest == hashlib.sha256(b"a" * 3_000_000 + b"b").hexdigest()
     described = I.measure_objects(df.filter("path <> 5"))
     assert rows(A.verify_objects(described.withColumn("decoded_bytes", F.coalesce("decoded_bytes", F.lit(0))), described)) == [(3, "decoded bytes"), (4, "decoded bytes")]
-    text = spark.createDataFrame([("x",), (None,)], "t string").select(I.gzipped("t").alias("content"))
+    text = spark.createDataFrame([("x",), (None,)], "t string").select(gzipped("t").alias("content"))
     assert sorted((r[0] for r in text.select(I.gzip_measure("content")["bytes"]).collect()), key=str) == [1, None]
 
 
