@@ -122,7 +122,7 @@ def _released(v):
 _RELEASED = "WITH f AS (SELECT 'items' AS family, id, name FROM v_items UNION ALL SELECT 'names', id, name FROM v_locale_en)"
 
 
-@query(_RELEASED + " SELECT family, CAST((row_number() OVER (PARTITION BY family ORDER BY id) - 1) % 64 AS BIGINT) AS pos, id, name, NULL AS error FROM f")
+@query(_RELEASED + " SELECT family, CAST((row_number() OVER (PARTITION BY family ORDER BY id) - 1) % 64 AS BIGINT) AS pos, id, name, CAST(NULL AS VARCHAR) AS error FROM f")
 def scan_release_by_pointer(v):
     """Packs, manifest and pointer are written, and the rows read back by way of the pointer."""
     rows = P.scan_release_by_pointer(v.spark, _released(v), "stable")
