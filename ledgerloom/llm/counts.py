@@ -9,8 +9,9 @@ piece costs the least score less 10, and neighbouring ones count as one piece.
 Pieces and scores are read from a piece file given by path. A text's words, which
 are runs without ASCII white space, are encoded each with the word mark before it.
 
-Defined results: a null text is an empty one and has no tokens; repeated rows count
-alike; an empty table gives an empty result; further columns are ignored.
+Defined results: a null text is an empty one and has no tokens; repeated rows, and a
+null doc_id, count alike and stay; texts and words of any length are counted whole; an
+empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.words import slices, texts_of
 
 MARK, UNKNOWN_COST, REMEMBERED = "▁", 10.0, 400_000
+#: Places of a word whose scores are kept besides those that a piece may begin at.
+KEPT = 1 << 12
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -45,35 +48,41 @@ class UnigramCounter:
             if i:
                 self.automaton.add_word(p, (len(p), s))
         self.automaton.make_automaton()
+        self.longest = max((len(p) for p, _ in pieces[1:]), default=1)
+        self.kept = KEPT + self.longest
         self.words: dict[bytes, int] = {}
 
     def count_word(self, s: str) -> int:
-        """Pieces of the best path over ``s``."""
-        n = len(s)
-        best, pieces, odd = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, found in self.automaton.iter(s):
-            ends[end].append(found)
-        unknown = self.unknown
-        for e in range(1, n + 1):
-            top, start, single = None, -1, False
-            found = ends[e - 1]
+        """Pieces of the best path over ``s``. Matches are read as the automaton gives them, by their ends; scores are kept no
+        farther back than the longest piece, so memory does not follow the word's length."""
+        best, pieces, odd, base = [0.0], [0], [False], 0
+        unknown, matches = self.unknown, self.automaton.iter(s)
+        end, match = next(matches, (-1, None))
+        for e in range(1, len(s) + 1):
+            found = []
+            while end == e - 1:
+                found.append(match)
+                end, match = next(matches, (-1, None))
             if len(found) > 1:
                 found.sort(reverse=True)
+            top, start, single, lone = None, -1, False, False
             for size, score in found:
                 single = single or size == 1
-                x = score + best[e - size]
+                x = score + best[e - size - base]
                 if top is None or x > top:
                     top, start = x, e - size
-            lone = False
             if not single:
-                x = unknown + best[e - 1]
+                x = unknown + best[e - 1 - base]
                 if top is None or x > top:
                     top, start, lone = x, e - 1, True
-            best[e] = top
-            odd[e] = lone
-            pieces[e] = pieces[start] + (0 if lone and odd[start] else 1)
-        return pieces[n]
+            best.append(top)
+            odd.append(lone)
+            pieces.append(pieces[start - base] + (0 if lone and odd[start - base] else 1))
+            if len(best) > self.kept:
+                gone = len(best) - self.longest
+                del best[:gone], pieces[:gone], odd[:gone]
+                base += gone
+        return pieces[-1]
 
     def count(self, text: bytes) -> int:
         known, total = self.words, 0

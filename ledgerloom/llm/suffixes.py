@@ -13,13 +13,15 @@ nothing to be sorted against and stays out of the rounds. The number of partitio
 follows the input, and an anchor with more than ``HOT`` fragments is not kept
 together: its strings are dealt one by one, by a hash of the whole string, to
 partitions of their own, where equal strings meet without a transform. So no
-partition grows with one passage. The arrays take the place of the external files,
-and Spark's shuffle files hold the fragments.
+partition's arrays grow with one passage; what it is asked does, by a row for each
+block that holds the passage. The arrays take the place of the external files, and
+Spark's shuffle files hold the fragments.
 
 Defined results: a null text is an empty one; a null ``doc_id`` takes no part and
 loses nothing; rows that share a ``doc_id`` do not count against each other; texts
 shorter than ``span`` lose nothing; an empty table gives an empty result;
-``remove_repeats`` keeps further columns, of any name, as they are.
+``remove_repeats`` keeps further columns, of any name and type, as they are; texts of
+any length are worked on whole, a longer one than a block's bytes in a block of its own.
 """
 
 from __future__ import annotations
