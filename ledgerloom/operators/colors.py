@@ -205,6 +205,8 @@ def lower_envelope(f: np.ndarray, weight: int) -> np.ndarray:
 
 #: A cube of 256^3 cells is worked on in slabs of so many planes.
 SIDE, SLAB = 256, 16
+#: A squared distance past any in the cube.
+PAST = 3 * 255 * 255 + 1
 
 
 def _planes(far: int, bound: int):
@@ -243,16 +245,23 @@ def _along_r(bound: int):
     return run
 
 
-def full_cube(candidates: DataFrame, rank: str, rank_bound: int = 65_536) -> DataFrame:
+def full_cube(candidates: DataFrame, rank: str, rank_bound: int | None = None) -> DataFrame:
     """(code, d2, rank) of all 2^24 cells, each with its nearest candidate, ties to the smaller rank.
 
     Distance and rank are one integer, of which lower envelopes are taken along b and g in slabs of planes, and then along r; the
-    planes move once, as a row for each line of 256 cells. Without candidates the distance is past any."""
+    planes move once, as a row for each line of 256 cells. Without candidates the distance is past any.
+
+    ``rank_bound`` is over all ranks, and is read off them if not given. A given one is the price of a step of distance: where
+    ranks reach it, the least of ``d2 * rank_bound + rank`` is found all the same, and divided by it into ``d2`` and ``rank``."""
     spark = candidates.sparkSession
     low, high = candidates.agg(F.min(rank), F.max(rank)).first()
-    if low is not None and not 0 <= low <= high < rank_bound:
-        raise ValueError(f"ranks from {low} to {high} are not within 0 and {rank_bound}")
-    far = (3 * 255 * 255 + 1) * rank_bound
+    most = int(high or 0)
+    rank_bound = rank_bound or most + 1
+    if low is not None and low < 0:
+        raise ValueError(f"ranks begin at {low}, below 0")
+    if PAST * rank_bound + most >= 1 << 62:
+        raise ValueError(f"ranks up to {most} and distances do not fit one integer")
+    far = PAST * rank_bound + most
     seeds = candidates.groupBy(rgb_pack(F.col("r"), F.col("g"), F.col("b")).cast("long").alias("code")).agg(F.min(rank).cast("long").alias("best"))
     slabs = spark.range(SIDE // SLAB).select(F.col("id").alias("slab"))
     both = seeds.select(F.floor(F.col("code") / (SLAB * SIDE * SIDE)).cast("long").alias("slab"), "code", "best").unionByName(slabs, allowMissingColumns=True)

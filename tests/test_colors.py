@@ -59,6 +59,27 @@ def test_whole_cube(spark):
     assert (got["d2"].to_numpy() * 65_536 + got["rank"].to_numpy() == best).all()
 
 
+@pytest.mark.parametrize("given", [None, 65_536])
+def test_whole_cube_of_many_ranks(spark, given):
+    """Ranks past 65,536, by a bound read off them and by a given one that is smaller than they are."""
+    r = np.random.default_rng(4)
+    seeds = r.integers(0, 256, (300, 3))
+    ranks = r.permutation(1_200_000)[: len(seeds)]
+    df = spark.createDataFrame([(*map(int, s), int(k)) for s, k in zip(seeds, ranks, strict=True)], "r int, g int, b int, rank int")
+    got = C.full_cube(df, "rank", given).filter("code % 1021 = 0").toPandas()
+    code = got["code"].to_numpy(np.int64)
+    bound = given or int(ranks.max()) + 1
+    best = brute(seeds, ranks, np.stack([code >> 16, code >> 8 & 255, code & 255], 1), bound)
+    assert (got["d2"].to_numpy() * bound + got["rank"].to_numpy() == best).all()
+    assert got["rank"].max() < bound and (got["rank"].max() >= 65_536) == (given is None)
+
+
+def test_ranks_out_of_bounds(spark):
+    for low, high in ((-1, 5), (0, 1 << 60)):
+        with pytest.raises(ValueError):
+            C.full_cube(spark.createDataFrame([(0, 0, 0, low), (1, 1, 1, high)], "r int, g int, b int, rank long"), "rank")
+
+
 def test_empty_cube(spark):
     none = C.full_cube(spark.createDataFrame([], "r int, g int, b int, rank int"), "rank")
     assert none.agg(F.count("*"), F.min("d2"), F.max("d2")).first()[:] == (1 << 24, 3 * 255 * 255 + 1, 3 * 255 * 255 + 1)
