@@ -19,6 +19,7 @@ import hashlib
 import json
 import struct
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import slices, starts_of, texts_of
 
-#: Words and chunks remembered by a worker, and the longest of them in bytes; more only costs a new start of the memory.
-REMEMBERED, LONGEST = 250_000, 64
+#: Words remembered by a worker, and pairs of tokens; more only costs a new start of the memory.
+REMEMBERED, PAIRS = 300_000, 500_000
 
 
 def read_file(spark: SparkSession, path: str) -> str:
@@ -58,6 +59,46 @@ def packed_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: Words are short forms, letters, single numbers and runs of other signs; texts split by this are cut as arrays.
+BY_KINDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """Of each code point: 0 for white space, 1 for a letter, 2 for a number, 3 for other signs."""
+    every = "".join(map(chr, range(0x110000)))
+    out = np.full(len(every), 3, np.uint8)
+    for kind, pattern in enumerate((r"\s+", r"\p{L}+", r"\p{N}+")):
+        for m in regex.finditer(pattern, every):
+            out[m.start() : m.end()] = kind
+    return out
+
+
+def words_by_kind(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as ``BY_KINDS`` finds them, and the place of each text's first one, with their number at the end."""
+    # White space parts the texts, and lets short forms look two signs ahead.
+    code = np.frombuffer("\n\n\n".join([*texts, ""]).encode("utf-32-le"), np.uint32)
+    kind = kinds()[code]
+    start = kind != 0
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    # A short form begins with the quote that begins a run of signs; what letters follow it are a word of their own.
+    quote = np.flatnonzero(start & (code == ord("'")))
+    one, two = code[quote + 1], code[quote + 2]
+    short = [quote[np.isin(one, [ord(c) for c in "stmd"])], quote[np.logical_or.reduce([(one == ord(a)) & (two == ord(b)) for a, b in ("re", "ve", "ll")])]]
+    for length, at in enumerate(short, 2):
+        start[at + 1] = False
+        start[at + length] |= kind[at + length] != 0
+    place = np.flatnonzero(start)
+    first = np.searchsorted(place, starts_of(np.fromiter((len(t) + 3 for t in texts), np.int64, len(texts))))
+    kept = code[kind != 0]
+    data = kept.tobytes().decode("utf-32-le").encode()
+    width = np.ones(len(kept), np.uint8)
+    for bound in (0x7F, 0x7FF, 0xFFFF):
+        width += kept > bound
+    offsets = np.append(starts_of(width)[np.flatnonzero(start[kind != 0])], len(data))
+    return pa.Array.from_buffers(pa.large_string(), len(place), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), first
+
+
 class WordBPE:
     """A word-level BPE vocabulary whose merged tokens are numbered in merge order."""
 
@@ -98,16 +139,18 @@ class WordBPE:
                     break
         self.fits: dict[tuple[int, int], bool] = {}
         split = next(p["pattern"]["Regex"] for p in j["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words_in = regex.compile(split).findall
+        self.split_by(split)
         self.cut = self.cutter(self.special)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
+        self.forget()
+
+    def split_by(self, pattern: str) -> None:
+        self.words_in, self.by_kinds = regex.compile(pattern).findall, pattern == BY_KINDS
 
     @staticmethod
     def added(j: dict) -> dict[str, int]:
         special = {t["content"]: t["id"] for t in j.get("added_tokens", [])}
         if any(s.split() != [s] for s in special):
-            raise ValueError("added tokens must not hold white space, which cuts texts into chunks")
+            raise ValueError("added tokens must not hold white space")
         return special
 
     @staticmethod
@@ -125,7 +168,7 @@ class WordBPE:
         known = self.fits.get((a, b))
         if known is not None:
             return known
-        if len(self.fits) > 2 * REMEMBERED:
+        if len(self.fits) > PAIRS:
             self.fits.clear()
         x, y, bound, ok = a, b, 1 << 60, True
         while True:
@@ -176,52 +219,66 @@ class WordBPE:
                 pos -= length[token]
         return out
 
-    def encode_word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            b = word.encode()
-            s = b.decode("latin-1")
-            got = packed_ids(self.encode_symbols(s[:-1] + self.end_of[s[-1]] if self.suffix else s))
-            self.remember(self.words, word, got)
-        return got
+    def word_ids(self, word: str) -> list[int]:
+        b = word.encode()
+        s = b.decode("latin-1")
+        return self.encode_symbols(s[:-1] + self.end_of[s[-1]] if self.suffix else s)
 
-    @staticmethod
-    def remember(known: dict, key: str | bytes, ids: bytes) -> None:
-        if len(key) <= LONGEST:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            known[key] = ids
+    def forget(self) -> None:
+        """A new memory: the place of each word, and where its ids end among those of all words."""
+        self.words: dict[str, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def make_room(self) -> None:
+        if len(self.words) >= REMEMBERED or len(self.ids) >= 8 * REMEMBERED:
+            self.forget()
+
+    def place(self, word: str) -> int:
+        at = self.words.get(word)
+        if at is None:
+            self.ids.extend(self.word_ids(word))
+            self.ends.append(len(self.ids))
+            at = self.words[word] = len(self.words)
+        return at
 
-    def _normal(self, s: str) -> list[str]:
+    @staticmethod
+    def normal(s: str) -> str:
         s = unicodedata.normalize("NFC", s)
-        s = "".join(c.lower() for c in s) if "Σ" in s else s.lower()
-        return self.words_in(s)
+        return "".join(c.lower() for c in s) if "Σ" in s else s.lower()
 
-    def encode_chunk(self, chunk: bytes) -> bytes:
-        """Ids of a run of text without ASCII white space, as little-endian 32-bit integers."""
-        s = chunk.decode()
-        out, at = [], 0
-        if self.cut is not None and self.cut.search(s):
-            for m in self.cut.finditer(s):
-                out += map(self.encode_word, self._normal(s[at : m.start()]))
-                out.append(packed_ids([self.special[m[0]]]))
-                at = m.end()
-        out += map(self.encode_word, self._normal(s[at:] if at else s))
-        return b"".join(out)
+    def _plain(self, s: str) -> bytes:
+        at = [self.place(w) for w in self.words_in(self.normal(s))]
+        return b"".join(self.ids[self.ends[i] : self.ends[i + 1]].tobytes() for i in at)
 
     def encode(self, text: bytes) -> bytes:
-        """Ids of a whole text. White space ends words in every rule, so chunks are independent."""
-        known, chunks = self.chunks, text.split()
-        out = list(map(known.get, chunks))
-        if None in out:
-            for i, c in enumerate(chunks):
-                if out[i] is None:
-                    got = known.get(c)
-                    if got is None:
-                        got = self.encode_chunk(c)
-                        self.remember(known, c, got)
-                    out[i] = got
-        return b"".join(out)
+        """Ids of a whole text, as little-endian 32-bit integers."""
+        self.make_room()
+        s = text.decode()
+        out, at = [], 0
+        for m in self.cut.finditer(s) if self.cut is not None else ():
+            out += [self._plain(s[at : m.start()]), packed_ids([self.special[m[0]]])]
+            at = m.end()
+        return b"".join([*out, self._plain(s[at:])])
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of whole texts. Those without added tokens are cut into words together, and each different word is looked up once."""
+        self.make_room()
+        shown = [t.decode() for t in texts]
+        apart = {i for i, s in enumerate(shown) if not self.by_kinds or any(t in s for t in self.special)}
+        words, first = words_by_kind(["" if i in apart else self.normal(s) for i, s in enumerate(shown)])
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        places = list(map(self.words.get, different))
+        for i, at in enumerate(places):
+            if at is None:
+                places[i] = self.place(different[i])
+        ids, ends = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
+        which = np.array(places, np.int64)[coded.indices.to_numpy()]
+        n = ends[which + 1] - ends[which]
+        to = starts_of(n)
+        ids = ids[np.repeat(ends[which] - to[:-1], n) + np.arange(to[-1])].astype("<u4")
+        of = to[first]
+        return [self.encode(t) if i in apart else ids[a:b].tobytes() for i, (t, a, b) in enumerate(zip(texts, of[:-1], of[1:], strict=True))]
 
     @property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +312,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         model = word_bpe(path)
         for whole in batches:
             for b in slices(whole, "text"):
-                ids = [model.encode(t) for t in texts_of(b.column("text"))]
+                ids = model.encode_all(texts_of(b.column("text")))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
@@ -282,8 +339,7 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
         for whole in batches:
             for b in slices(whole, "text"):
                 n, a, d = [], [], []
-                for t in texts_of(b.column("text")):
-                    ids = model.encode(t)
+                for ids in model.encode_all(texts_of(b.column("text"))):
                     n.append(len(ids) // 4)
                     a.append(hashlib.sha256(ids).hexdigest())
                     d.append(hashlib.sha256(model.decode(np.frombuffer(ids, "<u4"))).hexdigest())

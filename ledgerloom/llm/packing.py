@@ -32,7 +32,7 @@ BROADCAST_ROWS = 500_000
 
 
 class LibraryEncoder(WordBPE):
-    """The same chunks and words, each new word encoded by the tokenizers library's own model."""
+    """The same words, each new one encoded by the tokenizers library's own model."""
 
     def __init__(self, path: str):
         import os
@@ -47,21 +47,17 @@ class LibraryEncoder(WordBPE):
         self.shown = dict(enumerate(byte_symbols()))
         import json
 
-        import regex
-
         with open(path, encoding="utf-8") as f:
             j = json.load(f)
         self.special = self.added(j)
-        self.words_in = regex.compile(next(p["pattern"]["Regex"] for p in j["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")).findall
+        self.split_by(next(p["pattern"]["Regex"] for p in j["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.cut = self.cutter(self.special)
-        self.words, self.chunks = {}, {}
+        self.forget()
 
-    def encode_word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            got = packed_ids([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.shown))])
-            self.remember(self.words, word, got)
-        return got
+    def word_ids(self, word: str) -> list[int]:
+        # Printable ASCII stands for itself.
+        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.shown)
+        return [t.id for t in self.tokenize(shown)]
 
 
 @lru_cache(maxsize=1)
@@ -77,7 +73,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         end = packed_ids([end_id])
         for whole in batches:
             for b in slices(whole, "text"):
-                ids = [model.encode(t) + end for t in texts_of(b.column("text"))]
+                ids = [x + end for x in model.encode_all(texts_of(b.column("text")))]
                 n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 at = before + np.cumsum(n) - n
                 before += int(n.sum())
