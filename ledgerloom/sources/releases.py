@@ -137,9 +137,9 @@ class _ReleaseReader(DataSourceReader):
         except ReleaseError as e:
             return [Packs([Pack(None, None, None, None, None, str(e))])]
         out: list[Packs] = []
-        total = TASK_BYTES
+        total = 0
         for p in packs_of(found[1]) if found else []:
-            if total + (p.bytes or 0) > TASK_BYTES:
+            if not out or total + (p.bytes or 0) > TASK_BYTES:
                 out.append(Packs([]))
                 total = 0
             out[-1].packs.append(p)
