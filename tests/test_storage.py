@@ -299,3 +299,52 @@ def test_bad_packs_are_rows_beside_good_ones(spark, release):
     got = scanned(spark, release.root)
     assert sorted(r[3] for r in got if r[3]) == sorted(["pack has another digest or size", "pack is missing", "pack declares 3 rows and has 2", "family declares 10 rows, its packs 11", "pack's path is not that of its digest"])
     assert [r[2] for r in got if not r[3]] == ['{"id":8}', '{"id":9}']
+
+
+# --- stores of very many objects -------------------------------------------------------------------------------------
+
+
+def test_the_driver_lists_folders_alone(tmp_path, monkeypatch):
+    """A partition has a few folders, however many objects stand in them; loose files are read as well, hidden ones are not."""
+    for i in range(9):
+        (tmp_path / f"{i:02x}").mkdir()
+        for k in range(i):
+            (tmp_path / f"{i:02x}/{k}.bin").write_bytes(bytes([i, k]))
+    (tmp_path / "00/_temporary").write_bytes(b"x")
+    (tmp_path / "loose.bin").write_bytes(b"")
+    reader = O._StoredReader({"roots": f'["{tmp_path}"]'})
+    asked = []
+    monkeypatch.setattr(O, "below", lambda fs, folder, f=O.below: (asked.append(folder), f(fs, folder))[1])
+    parts = reader.partitions()
+    assert len(parts) == 4 and not asked
+    got = sorted(r[:3] for p in parts for r in reader.read(p))
+    assert got == sorted((p, os.path.getsize(p), hashlib.sha256(open(p, "rb").read()).hexdigest()) for p in (f"{tmp_path}/{x}" for x in files_below(str(tmp_path))) if "_temp" not in p)
+    assert len(asked) == 9
+
+
+def test_what_stands_is_not_written_again(tmp_path, monkeypatch):
+    """A second task with the same content opens no file for writing, and checks what is there."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pylist([{"content": x, "extension": ".bin"} for x in (b"a", b"b", b"a", None)])
+    first = O.ObjectWriter(str(tmp_path)).write(iter([batch]))
+    assert (first.written, first.present) == (2, 0)
+    opened = []
+
+    class Seen(O.files.LocalFileSystem):
+        def open_output_stream(self, *args, **more):
+            opened.append(args)
+            return super().open_output_stream(*args, **more)
+
+    monkeypatch.setattr(O, "opened", lambda uri: (Seen(), uri))
+    again = O.ObjectWriter(str(tmp_path)).write(iter([batch]))
+    assert (again.written, again.present, opened) == (0, 2, [])
+    (tmp_path / address("b", ".bin")).write_bytes(b"c")
+    with pytest.raises(ValueError, match="damaged"):
+        O.ObjectWriter(str(tmp_path)).write(iter([batch]))
+
+
+def test_empty_files_come_first(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.bin").write_bytes(b"")
+    assert O.scan_files(spark, f"file:{tmp_path}", [".bin"]).count() == 2
