@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,11 +36,12 @@ def _unzip(data: bytes, step: int = 1 << 20) -> dict:
     return {"bytes": size, "sha": sha.hexdigest()}
 
 
-@F.pandas_udf(T.StructType([T.StructField("bytes", T.LongType()), T.StructField("sha", T.StringType())]))
-def gzip_measure(content: pd.Series) -> pd.DataFrame:
-    """``bytes`` and ``sha`` of gzip content once decoded; nulls for null and for content that is no gzip."""
-    found = [{"bytes": None, "sha": None} if x is None else _unzip(x) for x in content]
-    return pd.DataFrame({"bytes": pd.array([f["bytes"] for f in found], "Int64"), "sha": [f["sha"] for f in found]})
+@F.arrow_udf(T.StructType([T.StructField("bytes", T.LongType()), T.StructField("sha", T.StringType())]))
+def gzip_measure(content: pa.Array) -> pa.Array:
+    """``bytes`` and ``sha`` of gzip content once decoded; nulls for null and for content that is no gzip. Objects leave their Arrow
+    batch, whose bytes Spark bounds, one at a time."""
+    found = [_unzip(x.as_py()) if x.is_valid else {"bytes": None, "sha": None} for x in content]
+    return pa.array(found, pa.struct([("bytes", pa.int64()), ("sha", pa.string())]))
 
 
 def measure_objects(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:

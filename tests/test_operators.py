@@ -336,3 +336,17 @@ def test_mount_totals_and_slots(spark):
     assert tuple(A.mount_totals(cover, 3).first()) == (3, 2, 2, 1, 3, False)
     assert A.mount_totals(cover.filter("populated"), 2).first()["complete"]
     assert A.mount_totals(cover.limit(0), 0).first()["complete"] is False
+
+
+def test_objects_leave_their_batch_one_at_a_time():
+    """The functions on gzip content take Arrow batches as they are, and give the same bytes and sizes for odd ones."""
+    import gzip
+
+    import pyarrow as pa
+
+    from ledgerloom.plans.views import gzipped
+
+    made = gzipped.func(pa.array(["é", None, ""]))
+    assert made.type == pa.binary() and made.to_pylist() == [gzip.compress("é".encode(), mtime=0), None, gzip.compress(b"", mtime=0)]
+    odd = pa.array([*made.to_pylist(), made[0].as_py()[:-3], b"plain", b""])
+    assert [x["bytes"] for x in I.gzip_measure.func(odd).to_pylist()] == [2, None, 0, None, None, 0]
