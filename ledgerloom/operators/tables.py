@@ -193,7 +193,8 @@ def mount_totals(coverage: DataFrame, domain: Column | int) -> DataFrame:
     size is a number, or an aggregate over ``coverage``."""
     size = domain if isinstance(domain, Column) else F.lit(domain)
     got = coverage.agg(F.coalesce(size, F.lit(0)).cast("long").alias("domain"), F.count("*").alias("entities"), F.count_if("populated").alias("populated"), F.count_if("textureless").alias("textureless"), F.coalesce(F.sum("assigned"), F.lit(0)).cast("long").alias("bound_slots"))
-    return got.withColumn("complete", (F.col("entities") > 0) & (F.col("entities") == F.col("populated")) & (F.col("entities") == F.col("domain")))
+    complete = (F.col("entities") > 0) & (F.col("entities") == F.col("populated")) & (F.col("entities") == F.col("domain"))
+    return got.select("entities", "populated", "textureless", "bound_slots", "domain", complete.alias("complete"))
 
 
 def distinct_styles(df: DataFrame, key: str, style: str) -> DataFrame:
